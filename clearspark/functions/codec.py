@@ -71,17 +71,33 @@ def zero_filled(record: Column, schema: T.StructType) -> Column:
     return F.struct(*fields)
 
 
-def _names(schema: T.StructType, kind: type) -> set[str]:
-    """Names of the fields of one type, at any depth."""
+# By kind of field, how its type may read in the type text of a record.
+_ACCEPTED_TEXT = {
+    "text": "STRING|VOID",
+    "long": "BIGINT|VOID",
+    "object": "OBJECT<|VOID",
+    "objects": "ARRAY<OBJECT<|ARRAY<VOID|VOID",
+    "texts": "ARRAY<STRING|ARRAY<VOID|VOID",
+}
+
+
+def _field_kind(kind: T.DataType) -> str:
+    if isinstance(kind, T.ArrayType):
+        return _field_kind(kind.elementType) + "s"
+    if isinstance(kind, T.StructType):
+        return "object"
+    return "long" if isinstance(kind, T.LongType) else "text"
+
+
+def _names(schema: T.StructType, wanted: str) -> set[str]:
+    """Names of the fields of one kind, at any depth."""
     found = set()
     for field in schema.fields:
-        inner = field.dataType
-        if isinstance(inner, kind):
+        if _field_kind(field.dataType) == wanted:
             found.add(field.name)
-        if isinstance(inner, T.ArrayType):
-            inner = inner.elementType
+        inner = getattr(field.dataType, "elementType", field.dataType)
         if isinstance(inner, T.StructType):
-            found |= _names(inner, kind)
+            found |= _names(inner, wanted)
     return found
 
 
@@ -92,14 +108,8 @@ def _plainly_typed(kind: Column, schema: T.StructType) -> Column:
     nested object reuses a known name; `_well_typed` then decides.
     """
     plain = kind.startswith("ARRAY<OBJECT<")
-    allowed = {
-        T.StringType: "STRING|VOID",
-        T.LongType: "BIGINT|VOID",
-        T.StructType: "OBJECT<|VOID",
-        T.ArrayType: "ARRAY<OBJECT<|ARRAY<VOID|VOID",
-    }
-    for field_type, accepted in allowed.items():
-        names = _names(schema, field_type)
+    for text_type, accepted in _ACCEPTED_TEXT.items():
+        names = _names(schema, text_type)
         if names:
             plain = plain & ~kind.rlike(
                 rf"[< ]({'|'.join(sorted(names))}): (?!{accepted})"
@@ -115,10 +125,11 @@ def _rarely(value: Column, test: Callable[[Column], Column]) -> Column:
 def bind(rows: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds a column that is computed once per row.
 
-    The optimizer copies a plain computed column into every filter that uses it; it
-    does not look through a generator, so an expensive parse is not repeated.
+    The optimizer copies a computed column into every later filter and projection that
+    uses it, which would repeat an expensive parse many times. It leaves a column
+    alone that it must take for non-deterministic; the condition here always holds.
     """
-    return rows.select("*", F.explode(F.array(value)).alias(name))
+    return rows.withColumn(name, F.when(F.spark_partition_id() >= 0, value))
 
 
 # Reading as strictly as the wire format asks; a malformed record is kept aside whole.
@@ -133,15 +144,23 @@ def _simple_text(text: Column, schema: T.StructType) -> Column:
     """True for text that can only be one flat, well-typed object, if it is JSON at all.
 
     One pair of braces leaves no room for nesting or for text after the record. With
-    no escapes about, a quoted name before a colon is a key and nothing else.
+    no escapes about, every key is a quote before a colon; all but the known integers
+    must then be followed by a string or null. Saying no costs only time.
     """
     if any(not isinstance(f.dataType, (T.StringType, T.LongType)) for f in schema.fields):
         return F.lit(False)
-    strings, longs = _names(schema, T.StringType), _names(schema, T.LongType)
+    longs = sorted(_names(schema, "long"))
+    bare = F.trim(text, F.lit(" \t\r\n"))
+    inner = F.substring(bare, F.lit(2), F.length(bare) - 2)
+    not_long = "".join(f'(?<!"{name}")' for name in longs)
     return (
-        text.rlike(r"^\s*[{][^{}\\]*[}]\s*\z")
-        & ~text.rlike(rf'"({"|".join(sorted(strings))})"\s*:\s*+(?!"|null)')
-        & ~text.rlike(rf'"({"|".join(sorted(longs))})"\s*:\s*+(?!-?[0-9]++\s*+[,}}]|null)')
+        bare.startswith("{")
+        & bare.endswith("}")
+        & ~inner.contains("{")
+        & ~inner.contains("}")
+        & ~inner.contains("\\")
+        & ~inner.rlike(rf'"{not_long}\s*+:\s*+(?!"|null)')
+        & ~text.rlike(rf'"({"|".join(longs)})"\s*+:\s*+(?!-?[0-9]++\s*+[,}}]|null)')
     )
 
 
@@ -194,23 +213,22 @@ def with_dead_letter(rows: DataFrame, value: str = "value") -> DataFrame:
 
 
 def with_raw_trades(rows: DataFrame, data: str = "data") -> DataFrame:
-    """Adds `raws`, the raw trades of a feed message; NULL when the array is undecodable."""
+    """Adds `raws`, the raw trades in a variant; NULL when it is no array of raw trades."""
     kind = T.ArrayType(schemas.RAW_TRADE)
-    staged = rows.withColumn("_json", F.try_parse_json(F.col(data))).select(
+    staged = rows.select(
         *rows.columns,
-        "_json",
-        F.schema_of_variant("_json").alias("_kind"),
-        F.from_json(F.col(data), kind).alias("_typed"),
+        F.schema_of_variant(data).alias("_kind"),
+        F.try_variant_get(data, "$", kind.simpleString()).alias("_typed"),
     )
-    valid = F.col("_json").isNotNull() & (
+    valid = F.col(data).isNotNull() & (
         _plainly_typed(F.col("_kind"), schemas.RAW_TRADE)
-        | _rarely(F.col("_json"), lambda j: _well_typed_array(j, schemas.RAW_TRADE))
+        | _rarely(F.col(data), lambda j: _well_typed_array(j, schemas.RAW_TRADE))
     )
     filled = F.transform(
         F.coalesce("_typed", F.array().cast(kind)),
         lambda item: zero_filled(item, schemas.RAW_TRADE),
     )
-    return bind(staged, "raws", F.when(valid, filled)).drop("_json", "_kind", "_typed")
+    return bind(staged, "raws", F.when(valid, filled)).drop("_kind", "_typed")
 
 
 def encode(record: Column, schema: T.StructType) -> Column:

@@ -51,11 +51,15 @@ def decimal_status(text: Column, spec: tuple[int, int] = PRICE) -> Column:
     )
 
 
-def notional(price: Column, size: Column) -> Column:
-    """Exact product as decimal(38,16); NULL when either side does not parse."""
+def product(price: Column, size: Column) -> Column:
+    """Exact product of two parsed decimals as decimal(38,16)."""
     # decimal(18,8) * decimal(18,8) is decimal(37,16), so nothing is lost.
-    product = parse_decimal(price) * parse_decimal(size)
-    return product.cast(f"decimal({MONEY[0]},{MONEY[1]})")
+    return (price * size).cast(f"decimal({MONEY[0]},{MONEY[1]})")
+
+
+def notional(price: Column, size: Column) -> Column:
+    """Exact product of two decimal texts; NULL when either does not parse."""
+    return product(parse_decimal(price), parse_decimal(size))
 
 
 def is_positive(text: Column) -> Column:

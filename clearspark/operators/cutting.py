@@ -18,6 +18,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
+from clearspark.operators import shipping
+
+shipping.send_by_value(__name__)
+
 NONE = -1  # no batch
 INHERIT = -2  # the batch that was open at the near edge
 

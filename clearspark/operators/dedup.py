@@ -6,7 +6,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearspark.operators import sequence
+from clearspark.operators import sequence, shipping
+
+shipping.send_by_value(__name__)
 
 LOG_ORDER = ("partition", "offset")
 

@@ -20,7 +20,7 @@ POSITION = ("topic", "partition", "offset", "timestamp")
 def route_messages(log: DataFrame) -> DataFrame:
     """Adds `channel` and `route`: trades, control, ignored or bad_envelope.
 
-    Only the envelope is read here; `data` stays text until the channel is known.
+    `data` stays an undecoded variant until the channel is known.
     """
     text = F.col("value").cast("string")
     envelope = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
@@ -34,6 +34,7 @@ def route_messages(log: DataFrame) -> DataFrame:
             & F.try_variant_get("_json", "$[1]", "variant").isNull()
         ).alias("_whole"),
         F.try_variant_get("_json", "$[0].channel", "variant").alias("_channel"),
+        F.try_variant_get("_json", "$[0].data", "variant").alias("data"),
     )
     kind = F.coalesce(F.schema_of_variant("_channel"), F.lit("VOID"))
     name = F.coalesce(F.try_variant_get("_channel", "$", "string"), F.lit(""))
@@ -41,7 +42,6 @@ def route_messages(log: DataFrame) -> DataFrame:
     return (
         codec.bind(staged, "channel", F.when(good, name))
         .drop("_whole", "_channel")
-        .withColumn("data", F.get_json_object(text, "$.data"))
         .withColumn(
             "route",
             F.when(F.col("channel").isNull(), "bad_envelope")
@@ -78,40 +78,39 @@ def trade_identifier(time_ms: Column, coin: Column, tid: Column) -> Column:
     return F.concat_ws("-", time_ms.cast("string"), coin, tid.cast("string"))
 
 
-def raw_reject_reason(raw: Column) -> Column:
-    """Why a raw trade cannot become a trade; NULL when it can. First rule wins."""
-    statuses = [(n, decimals.decimal_status(raw.getField(n))) for n in ("px", "sz")]
-    reason = (
+def raw_reject_reason(raw: Column, price: Column, size: Column) -> Column:
+    """Why a raw trade cannot become a trade; NULL when it can. First rule wins.
+
+    `price` and `size` are the parsed `px` and `sz`.
+    """
+    px, sz, side = (raw.getField(name) for name in ("px", "sz", "side"))
+    return (
         F.when(raw.isNull(), "undecodable trades")
         .when(
-            (raw.getField("coin") == "")
-            | (raw.getField("px") == "")
-            | (raw.getField("sz") == ""),
+            (raw.getField("coin") == "") | (px == "") | (sz == ""),
             "missing required field",
         )
         .when(
-            decode_side(raw.getField("side")).isNull(),
-            F.concat(F.lit('unknown side "'), raw.getField("side"), F.lit('"')),
+            decode_side(side).isNull(), F.concat(F.lit('unknown side "'), side, F.lit('"'))
         )
+        .when(price.isNull() & ~decimals.is_decimal_text(px), "unparseable px")
+        .when(size.isNull() & ~decimals.is_decimal_text(sz), "unparseable sz")
+        .when(price.isNull() | size.isNull(), decimals.OUT_OF_RANGE)
     )
-    for name, status in statuses:
-        reason = reason.when(status == decimals.NOT_A_NUMBER, f"unparseable {name}")
-    for name, status in statuses:
-        reason = reason.when(status == decimals.OUT_OF_RANGE, decimals.OUT_OF_RANGE)
-    return reason
 
 
-def to_trade(raw: Column, source: str, ingest_ms: Column) -> Column:
+def to_trade(
+    raw: Column, price: Column, size: Column, source: str, ingest_ms: Column
+) -> Column:
     """The trade struct of an accepted raw trade; `users` is not carried on."""
     coin, time_ms = raw.getField("coin"), raw.getField("time")
-    price, size = raw.getField("px"), raw.getField("sz")
     return F.struct(
         trade_identifier(time_ms, coin, raw.getField("tid")).alias("trade_id"),
         coin.alias("coin"),
         decode_side(raw.getField("side")).alias("side"),
-        price.alias("price"),
-        size.alias("size"),
-        decimals.canonical_text(decimals.notional(price, size)).alias("notional"),
+        raw.getField("px").alias("price"),
+        raw.getField("sz").alias("size"),
+        decimals.canonical_text(decimals.product(price, size)).alias("notional"),
         time_ms.alias("event_time_ms"),
         raw.getField("hash").alias("hash"),
         ingest_ms.alias("ingest_time_ms"),
@@ -125,6 +124,12 @@ def normalize(
     """N1-N7 over a feed log: one row per raw trade with `trade` or `reject_reason`."""
     stamp = clock.now_millis() if ingest_ms is None else ingest_ms
     raws = explode_trades(route_messages(log))
-    judged = codec.bind(raws, "reject_reason", raw_reject_reason(F.col("raw")))
-    made = F.when(F.col("reject_reason").isNull(), to_trade(F.col("raw"), source, stamp))
-    return codec.bind(judged, "trade", made)
+    price, size = F.col("_price"), F.col("_size")
+    parsed = raws.withColumn("_price", decimals.parse_decimal(F.col("raw.px"))).withColumn(
+        "_size", decimals.parse_decimal(F.col("raw.sz"))
+    )
+    judged = codec.bind(parsed, "reject_reason", raw_reject_reason(F.col("raw"), price, size))
+    made = F.when(
+        F.col("reject_reason").isNull(), to_trade(F.col("raw"), price, size, source, stamp)
+    )
+    return codec.bind(judged, "trade", made).drop("_price", "_size")

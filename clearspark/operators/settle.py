@@ -69,13 +69,15 @@ def decide(judged: DataFrame, results: DataFrame, max_attempts: int) -> DataFram
     A valid batch with tries left is pending; with none allowed at all it is exhausted.
     """
     submitted = results.select(
-        "batch_id",
+        F.col("batch_id").alias("_key"),
         F.col("ok").alias("_ok"),
         F.col("attempts").alias("_attempts"),
         F.col("last_error").alias("_error"),
     )
-    joined = judged.join(submitted, "batch_id", "left")
     invalid = F.col("reject_reason").isNotNull()
+    # Invalid batches may share one id, or none; their position spreads them evenly.
+    key = F.when(invalid, F.concat_ws("-", *POSITION)).otherwise(F.col("batch_id"))
+    joined = judged.withColumn("_key", key).join(submitted, "_key", "left")
     tried = F.col("_ok").isNotNull()
     exhausted = ~F.coalesce(F.col("_ok"), F.lit(max_attempts > 0))
     failure = (

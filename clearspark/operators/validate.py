@@ -27,12 +27,13 @@ def trade_reject_reason(trade: Column, strict_notional: bool = True) -> Column:
         )
     )
     for name, text in (("price", price), ("size", size)):
+        # Parsed once for a good trade; why a bad one is bad is looked into only then.
+        fits = decimals.decimal_status(text) != decimals.OUT_OF_RANGE
+        fault = F.when(fits, f"non-positive {name}").otherwise(
+            f"{decimals.OUT_OF_RANGE} {name}"
+        )
         reason = reason.when(
-            decimals.decimal_status(text) == decimals.OUT_OF_RANGE,
-            F.concat(F.lit(f"{decimals.OUT_OF_RANGE} {name}"), _quoted(text)),
-        ).when(
-            ~decimals.is_positive(text),
-            F.concat(F.lit(f"non-positive {name}"), _quoted(text)),
+            ~decimals.is_positive(text), F.concat(fault, _quoted(text))
         )
     if strict_notional:
         worth = trade.getField("notional")

@@ -20,8 +20,10 @@ from clearspark.operators import (
     settle,
     validate,
 )
-from clearspark.plans import fixtures, flows
+from clearspark.plans import fixtures, flows, streams
 from clearspark.sources import logs
+from clearspark.streaming import settle as stream_settling
+from clearspark.streaming import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -508,6 +510,82 @@ def run_event_summary(spark, folder):
     return metrics.run_summary(written)
 
 
+def _in_steps(events, log):
+    """A log cut into arrival steps, with the length of a step."""
+    low, high = streams.arrival_bounds(events, clock.wall_micros(F.col("ts")))
+    step = streams.arrival_step(F.unix_micros("timestamp"), low, high)
+    return log.withColumn("step", step), (high - low) // streams.STEPS + 1
+
+
+@query
+def stream_dedup(spark, folder):
+    """Streaming ingest; replays arrive one step after the first delivery."""
+    events = _events(spark, folder)
+    log, length_us = _in_steps(events, fixtures.trades_log(events))
+    replayed = F.col("offset") % 2 == 1
+    late = F.least(F.col("step") + replayed.cast("int"), F.lit(streams.STEPS - 1))
+    horizon = f"{2 * length_us // 1_000_000 + 1} seconds"
+    forwarded = streams.stream_ingest(spark, log.withColumn("step", late), horizon)
+    return forwarded.select(F.col("key").cast("string").alias("coin"), F.md5("value").alias("value_md5"))
+
+
+@query
+def stream_batches(spark, folder):
+    """Streaming batches are those of the batch form, wherever micro-batches end."""
+    events = _events(spark, folder)
+    log, _ = _in_steps(events, fixtures.clean_log(events))
+    built = streams.stream_publish(spark, log, _by_size_or_time(events))
+    return built.select(
+        "batch_id", "flush_reason", "trade_count", _money("total_notional").alias("total_notional")
+    )
+
+
+@query
+def stream_restart_no_loss(spark, folder):
+    """A run cut off after its writes and repeated loses and repeats nothing."""
+    events = _events(spark, folder)
+    log, _ = _in_steps(events, fixtures.clean_log(events))
+    built = streams.stream_publish(spark, log, _by_size_or_time(events), fail_at=1)
+    ids = built.select(
+        "batch_id", "trade_count", F.posexplode("trades.trade_id").alias("pos", "trade_id")
+    )
+    per_id = ids.groupBy("trade_id").agg(
+        F.count("*").alias("copies"),
+        F.count_if(F.col("pos") == 0).alias("batches"),
+    )
+    return per_id.agg(
+        F.sum("batches").alias("batches"),
+        F.count("*").alias("distinct_trade_ids"),
+        F.sum("copies").alias("trades"),
+    )
+
+
+@query
+def stream_settle(spark, folder):
+    """Every batch is delivered twice, in two steps; the ledger has it once."""
+    built = flows.publish(
+        fixtures.clean_log(_events(spark, folder)), _by_size(), _stamp(fixtures.CREATED_MS)
+    )
+    step = (F.col("offset") % (streams.STEPS - 1)).cast("int")
+    first = fixtures.corrupted_batches(built).withColumn("step", step)
+    again = first.withColumn("step", F.col("step") + 1)
+    out = streams.stream_settle(
+        spark, first.unionByName(again), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
+    )
+    ledger = tables.read_table(spark, f"{out}/{stream_settling.LEDGER}", stream_settling.LEDGER_SCHEMA)
+    return ledger.select("batch_id", "tx_hash", "attempts", "trade_count")
+
+
+@query
+def stream_fifo(spark, folder):
+    """The bounded memory carried from micro-batch to micro-batch."""
+    events = _events(spark, folder)
+    users = fixtures.keyed_by_user(events)
+    log, _ = _in_steps(events, users)
+    admitted = streams.stream_remember(spark, log, FIFO_CAPACITY, FIFO_SHARDS)
+    return admitted.select("partition", "offset")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Ingest, batch and settle one log: totals per coin and outcome."""
     events = _events(spark, folder)

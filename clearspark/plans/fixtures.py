@@ -165,6 +165,19 @@ def clean_log(events: DataFrame) -> DataFrame:
     return normalized_log(clean_events(events))
 
 
+def keyed_by_user(events: DataFrame) -> DataFrame:
+    """A log whose keys come back often: the users of `events`."""
+    micros = clock.wall_micros(F.col("ts"))
+    rows = events.select(
+        (F.col("event_id") % PARTITIONS).cast("int").alias("partition"),
+        (F.col("event_id") * 2).alias("offset"),
+        micros.alias("arrival_us"),
+        F.col("user_id").cast("string").alias("user"),
+        F.col("event_type").alias("text"),
+    )
+    return _as_log(rows, "users", F.col("user"))
+
+
 def corrupted_batches(batches: DataFrame) -> DataFrame:
     """FIXTURES.md B4 as a log: by first offset mod 7, and undecodable where it is 0 mod 17."""
     kind = F.col("first_offset") % 7

@@ -138,16 +138,17 @@ _BATCH_COLUMNS = "batch_id, reason AS flush_reason, n AS trade_count"
 _TOTAL = "CAST(total AS DECIMAL(38,16)) AS total_notional"
 
 
-def _fifo(capacity: int, shards: int) -> str:
+def _fifo(capacity: int, shards: int, steps: int = 1) -> str:
     seen = "list_contains(w.mem, r.key)"
     return f"""WITH RECURSIVE
 keyed AS (
   SELECT CAST(event_id % 4 AS INTEGER) AS partition, event_id * 2 AS "offset",
     CAST(user_id AS VARCHAR) AS key,
+    (epoch_us(ts) - lo) * {steps} // (hi - lo + 1) AS step,
     CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % {shards} AS shard
-  FROM events),
+  FROM events, (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)),
 num AS (
-  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY partition, "offset") AS rn FROM keyed),
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY step, partition, "offset") AS rn FROM keyed),
 walk AS (
   SELECT shard, rn, [key] AS mem, TRUE AS admitted FROM num WHERE rn = 1
   UNION ALL
@@ -398,3 +399,23 @@ ORACLES["settled_by_coin"] = (
 FROM seg JOIN batch USING (part, k) LEFT JOIN tries USING (part, k)
 GROUP BY 1, 2"""
 )
+
+ORACLES["stream_dedup"] = _with(_TRADE) + f"SELECT coin, md5({_JSON}) AS value_md5 FROM trade WHERE valid"
+
+ORACLES["stream_batches"] = ORACLES["batch_size_or_time"]
+
+ORACLES["stream_restart_no_loss"] = (
+    _with(_TRADE, _log(_CLEAN), _SEGMENT_BY_SIZE_OR_TIME, _BATCH, recursive=True)
+    + """SELECT count(*) AS batches, CAST(sum(n) AS BIGINT) AS distinct_trade_ids,
+  CAST(sum(n) AS BIGINT) AS trades FROM batch"""
+)
+
+ORACLES["stream_settle"] = (
+    _with(*_CLEAN_DECIDED)
+    + """SELECT batch_id, '0x' || sha256(batch_id) AS tx_hash, attempts, n AS trade_count
+FROM decided WHERE outcome = 'settled'"""
+)
+
+ORACLES["stream_fifo"] = (
+    f'SELECT partition, "offset" FROM ({_fifo(50, 16, 4)}) WHERE admitted'
+)

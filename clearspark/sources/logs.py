@@ -59,6 +59,18 @@ def stream_kafka(
     return reader.load().select(*schemas.LOG.fieldNames())
 
 
+def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
+    """S2 on Kafka, bounded: the keyed messages of a table."""
+    (
+        messages.select("key", "value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("kafka.acks", "all")
+        .option("topic", topic)
+        .save()
+    )
+
+
 def stream_to_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
     """S2 on Kafka: a write counts once every replica has it."""
     return (
