@@ -72,9 +72,28 @@ def decimals_equal(left: Column, right: Column) -> Column:
     return F.coalesce(parse_decimal(left, MONEY) == parse_decimal(right, MONEY), F.lit(False))
 
 
+def _spelled_out(value: Column) -> Column:
+    """Plain digits of a decimal whose text came in scientific notation."""
+    digits = MONEY[1]
+    whole = F.floor(F.abs(value))
+    # A remainder, as a difference of this width would be rounded.
+    rest = (F.abs(value) % F.lit(1).cast("decimal(1,0)")).cast(f"decimal({digits},{digits})")
+    scaled = (rest * F.lit(10**digits).cast("decimal(17,0)")).cast(f"decimal({digits},0)")
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(
+        sign,
+        whole.cast("string"),
+        F.lit("."),
+        F.lpad(scaled.cast("string"), digits, "0"),
+    )
+
+
 def canonical_text(value: Column) -> Column:
     """Shortest plain text of a decimal: no trailing zeros, no bare point."""
-    shown = F.regexp_replace(value.cast("string"), r"([.][0-9]*?)0+$", "$1")
+    text = value.cast("string")
+    # Outside ANSI mode tiny values, zero among them, are shown with an exponent.
+    plain = F.when(text.contains("E"), _spelled_out(value)).otherwise(text)
+    shown = F.regexp_replace(plain, r"([.][0-9]*?)0+$", "$1")
     return F.regexp_replace(shown, r"[.]$", "")
 
 

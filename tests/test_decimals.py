@@ -84,11 +84,27 @@ def test_sums(spark):
     assert [r[0] for r in sums] == ["40", "0", None]
 
 
-def test_canonical_text(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_canonical_text(spark, ansi):
     values = ["40.0000", "100", "0.0", "86.790870", "0.0000000000000001", "-1.50"]
-    df = column(spark, values).select(F.col("text").cast("decimal(38,16)").alias("d"))
-    shown = [r[0] for r in df.select(decimals.canonical_text(F.col("d"))).collect()]
-    assert shown == ["40", "100", "0", "86.79087", "0.0000000000000001", "-1.5"]
+    values += ["-0.0000000000000203", "1234567890123456789012"]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        df = column(spark, values).select(F.col("text").cast("decimal(38,16)").alias("d"))
+        shown = [r[0] for r in df.select(decimals.canonical_text(F.col("d"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert shown == [
+        "40",
+        "100",
+        "0",
+        "86.79087",
+        "0.0000000000000001",
+        "-1.5",
+        "-0.0000000000000203",
+        "1234567890123456789012",
+    ]
 
 
 def test_backoff(spark):
