@@ -53,9 +53,7 @@ def label_by_size(
     """B1 without a wait limit: the batch is the number of earlier trades over the size."""
     size = max(max_size, 1)
     placed = sequence.count_before(rows, F.col("trade").isNotNull(), "_place", chunk_bits)
-    return placed.withColumn(
-        "batch_key", F.floor(F.col("_place") / size).cast("bigint")
-    ).drop("_place")
+    return placed.withColumn("batch_key", F.expr(f"_place div {size}")).drop("_place")
 
 
 def batch_marks(
@@ -131,35 +129,44 @@ def label_by_size_or_time(
     """
     marks = batch_marks(rows, flush, chunk_bits, group_bits)
     mark = F.struct("batch_start", "batch_pred", "batch_first", "batch_base", "prior_clock")
-    marked = sequence.with_chunk(rows, chunk_bits).unionByName(
-        marks.select("partition", "_chunk", "offset", mark.alias("_mark")),
-        allowMissingColumns=True,
+    marked = (
+        sequence.with_chunk(rows, chunk_bits)
+        .withColumn("_is_row", F.lit(True))
+        .unionByName(
+            marks.select(
+                "partition",
+                "_chunk",
+                "offset",
+                mark.alias("_mark"),
+                F.lit(False).alias("_is_row"),
+            ),
+            allowMissingColumns=True,
+        )
     )
     # A mark sorts before the row at its offset; the edge mark before all rows.
     so_far = (
         Window.partitionBy("partition", "_chunk")
-        .orderBy("offset", F.col("_mark").isNull())
+        .orderBy("offset", "_is_row")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     is_trade = F.col("trade").isNotNull()
-    placed = (
-        marked.withColumn("_now", F.last("_mark", ignorenulls=True).over(so_far))
-        .withColumn("_count", F.sum(is_trade.cast("bigint")).over(so_far))
-        .withColumn("_clock", F.max(F.unix_micros("timestamp")).over(so_far))
-        .filter(F.col("_mark").isNull())
-    )
+    # One sort and one pass over the chunk serve all three.
+    placed = marked.select(
+        *rows.columns,
+        "_is_row",
+        F.last("_mark", ignorenulls=True).over(so_far).alias("_now"),
+        F.count_if(is_trade).over(so_far).alias("_count"),
+        F.max(F.unix_micros("timestamp")).over(so_far).alias("_clock"),
+    ).filter("_is_row")
     now = F.col("_now")
+    at = F.greatest("_clock", now["prior_clock"])
     full = F.col("_count") - now["batch_base"] >= flush.size
-    late = (
-        F.greatest("_clock", now["prior_clock"]) - now["batch_first"] >= flush.wait
-    )
+    late = at - now["batch_first"] >= flush.wait
     closed = ~is_trade & (now["batch_start"] >= 0) & (full | late)
-    return (
-        placed.withColumn(
-            "batch_key", F.when(closed, now["batch_start"]).otherwise(now["batch_pred"])
-        )
-        .withColumn("clock_us", F.greatest("_clock", now["prior_clock"]))
-        .drop("_chunk", "_mark", "_now", "_count", "_clock")
+    return placed.select(
+        *rows.columns,
+        F.when(closed, now["batch_start"]).otherwise(now["batch_pred"]).alias("batch_key"),
+        at.alias("clock_us"),
     )
 
 
