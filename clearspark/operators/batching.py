@@ -47,12 +47,20 @@ class Flush:
         return UNBOUNDED if self.max_wait_us is None else self.max_wait_us
 
 
+def is_trade(rows: DataFrame) -> Column:
+    """Whether a row decodes to a trade; from a flag column where there is one.
+
+    On a stored table the flag spares the scans that place batches all of `trade`.
+    """
+    return F.col("is_trade") if "is_trade" in rows.columns else F.col("trade").isNotNull()
+
+
 def label_by_size(
     rows: DataFrame, max_size: int, chunk_bits: int = sequence.CHUNK_BITS
 ) -> DataFrame:
     """B1 without a wait limit: the batch is the number of earlier trades over the size."""
     size = max(max_size, 1)
-    placed = sequence.count_before(rows, F.col("trade").isNotNull(), "_place", chunk_bits)
+    placed = sequence.count_before(rows, is_trade(rows), "_place", chunk_bits)
     return placed.withColumn("batch_key", F.expr(f"_place div {size}")).drop("_place")
 
 
@@ -72,7 +80,7 @@ def batch_marks(
             "partition",
             "offset",
             F.unix_micros("timestamp").alias("_arrival"),
-            F.col("trade").isNotNull().alias("is_trade"),
+            is_trade(rows).alias("is_trade"),
         ),
         chunk_bits,
     )
@@ -149,20 +157,20 @@ def label_by_size_or_time(
         .orderBy("offset", "_is_row")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    is_trade = F.col("trade").isNotNull()
+    trade = is_trade(rows)
     # One sort and one pass over the chunk serve all three.
     placed = marked.select(
         *rows.columns,
         "_is_row",
         F.last("_mark", ignorenulls=True).over(so_far).alias("_now"),
-        F.count_if(is_trade).over(so_far).alias("_count"),
+        F.count_if(trade).over(so_far).alias("_count"),
         F.max(F.unix_micros("timestamp")).over(so_far).alias("_clock"),
     ).filter("_is_row")
     now = F.col("_now")
     at = F.greatest("_clock", now["prior_clock"])
     full = F.col("_count") - now["batch_base"] >= flush.size
     late = at - now["batch_first"] >= flush.wait
-    closed = ~is_trade & (now["batch_start"] >= 0) & (full | late)
+    closed = ~trade & (now["batch_start"] >= 0) & (full | late)
     return placed.select(
         *rows.columns,
         F.when(closed, now["batch_start"]).otherwise(now["batch_pred"]).alias("batch_key"),
@@ -205,16 +213,16 @@ def build(
     the partition a batch may span partitions.
     """
     stamp = clock.now_millis() if created_at_ms is None else created_at_ms
-    is_trade = F.col("trade").isNotNull()
+    trade = F.col("trade").isNotNull()
     worth = decimals.parse_decimal(F.col("trade.notional"), decimals.MONEY)
     shares = (
         labelled.withColumn("_worth", worth)
         .groupBy(*dict.fromkeys([*keys, "partition"]))
         .agg(
             F.collect_list(
-                F.when(is_trade, F.struct("partition", "offset", "trade"))
+                F.when(trade, F.struct("partition", "offset", "trade"))
             ).alias("_ordered"),
-            F.count_if(is_trade & F.col("_worth").isNull()).alias("_bad"),
+            F.count_if(trade & F.col("_worth").isNull()).alias("_bad"),
             F.sum("_worth").cast("decimal(38,16)").alias("_total"),
             F.min("offset").alias("_lo"),
             F.max("offset").alias("_hi"),

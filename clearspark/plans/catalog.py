@@ -21,6 +21,7 @@ from clearspark.operators import (
     validate,
 )
 from clearspark.plans import fixtures, flows, streams
+from clearspark.session import landed
 from clearspark.sources import logs
 from clearspark.streaming import settle as stream_settling
 from clearspark.streaming import tables
@@ -37,7 +38,7 @@ def query(function: Query) -> Query:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return fixtures.table(spark, folder, "events")
+    return fixtures.spread(fixtures.table(spark, folder, "events"))
 
 
 def _by_size() -> batching.Flush:
@@ -349,10 +350,16 @@ def batch_validation(spark, folder):
     )
 
 
-def _decided(spark, folder):
+def _clean_batches(spark, folder):
+    """Batches of the clean log, as a table: several steps of a query read them."""
     built = flows.publish(
         fixtures.clean_log(_events(spark, folder)), _by_size(), _stamp(fixtures.CREATED_MS)
     )
+    return landed(built, "batches")
+
+
+def _decided(spark, folder):
+    built = _clean_batches(spark, folder)
     log = fixtures.corrupted_batches(built)
     return flows.decide(log, fixtures.attempts(built), fixtures.MAX_ATTEMPTS)
 
@@ -397,7 +404,7 @@ def submitter_counters(spark, folder):
 @query
 def settle_idempotent(spark, folder):
     """Batches delivered twice, a third of them settled before; each settles once."""
-    decided = _decided(spark, folder)
+    decided = landed(_decided(spark, folder), "decided")
     ledger = decided.filter(
         (F.col("outcome") == settle.SETTLED) & (F.col("offset") % 3 == 0)
     ).select("batch_id")
@@ -434,9 +441,7 @@ def jitter_bounds(spark, folder):
 
 def _both_logs(spark, folder):
     """All batches as published, and those of them that became dead letters."""
-    built = flows.publish(
-        fixtures.clean_log(_events(spark, folder)), _by_size(), _stamp(fixtures.CREATED_MS)
-    )
+    built = _clean_batches(spark, folder)
     decided = flows.decide(
         flows.batch_log(built), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
     )
@@ -482,7 +487,9 @@ def reconcile_trades(spark, folder):
 @query
 def run_event_summary(spark, folder):
     """M5: event lines of a run, counted by component and message."""
-    decided = _decided(spark, folder)
+    decided = landed(
+        _decided(spark, folder).select("outcome", "attempts"), "decided"
+    )
     flushed = decided.select(
         F.lit("batch-publisher").alias("component"),
         F.lit("batch flushed").alias("msg"),
@@ -563,9 +570,7 @@ def stream_restart_no_loss(spark, folder):
 @query
 def stream_settle(spark, folder):
     """Every batch is delivered twice, in two steps; the ledger has it once."""
-    built = flows.publish(
-        fixtures.clean_log(_events(spark, folder)), _by_size(), _stamp(fixtures.CREATED_MS)
-    )
+    built = _clean_batches(spark, folder)
     step = (F.col("offset") % (streams.STEPS - 1)).cast("int")
     first = fixtures.corrupted_batches(built).withColumn("step", step)
     again = first.withColumn("step", F.col("step") + 1)
@@ -590,7 +595,10 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Ingest, batch and settle one log: totals per coin and outcome."""
     events = _events(spark, folder)
     flush = _by_size_or_time(events)
-    built = flows.publish(flows.ingest(fixtures.trades_log(events)), flush, _stamp(fixtures.CREATED_MS))
+    normalized = landed(flows.ingest(fixtures.trades_log(events)), "normalized")
+    built = landed(
+        flows.publish(normalized, flush, _stamp(fixtures.CREATED_MS)), "batches"
+    )
     decided = flows.decide(
         flows.batch_log(built), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
     )

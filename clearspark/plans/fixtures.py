@@ -22,6 +22,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores, dealt out to all of them.
+
+    Parsing is the costly step here, and a small table is one file with one split. A
+    table of many files has splits enough and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def max_wait_us(events: DataFrame) -> int:
     """MaxWait of FIXTURES.md B1, 36 s over the scale factor; `events` has a million rows per unit."""
     return 36_000_000 * 1_000_000 // max(events.count(), 1)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clearspark.functions import codec
 from clearspark.operators import batching, dedup, settle, validate
+from clearspark.session import landed
 
 
 def ingest(trades: DataFrame, strict_notional: bool = True) -> DataFrame:
@@ -31,8 +32,15 @@ def publish(
     created_at_ms: Column | None = None,
     **options: int,
 ) -> DataFrame:
-    """Log of normalized trades to batches; undecodable records count in the offset span."""
-    rows = codec.with_trade(normalized).select("partition", "offset", "timestamp", "trade")
+    """Log of normalized trades to batches; undecodable records count in the offset span.
+
+    Placing batches reads the log more than once. So it is parsed once into a table;
+    the passes that only place batches read three narrow columns and a flag of it.
+    """
+    decoded = codec.with_trade(normalized).select(
+        "partition", "offset", "timestamp", "trade", F.col("trade").isNotNull().alias("is_trade")
+    )
+    rows = landed(decoded, "decoded")
     return batching.build(batching.label(rows, flush, **options), flush, created_at_ms)
 
 

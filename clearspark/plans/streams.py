@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clearspark.operators import batching
-from clearspark.session import fresh_folder
+from clearspark.session import fresh_folder, landed
 from clearspark.sources import logs
 from clearspark.streaming import ingest, memory, publish, settle
 
@@ -31,6 +31,11 @@ def arrival_bounds(events: DataFrame, clock_us) -> tuple[int, int]:
     return row["low"], row["high"]
 
 
+def staged_steps(log: DataFrame) -> DataFrame:
+    """The log with one folder per step, so that landing a step reads no other."""
+    return landed(log, "staged", "step")
+
+
 def land_step(log: DataFrame, folder: str, step: int) -> None:
     """Appends the rows of one step to a file log; later steps give later files."""
     rows = log.filter(F.col("step") == step).drop("step")
@@ -55,11 +60,12 @@ def run_handler(
 def stream_ingest(spark: SparkSession, log: DataFrame, horizon: str, steps: int = STEPS) -> DataFrame:
     """U1 on a stream: what a streaming ingest has written after all steps landed."""
     root = fresh_folder(spark, "ingest")
-    landed, out = os.path.join(root, "trades"), os.path.join(root, "normalized")
+    arrived, out = os.path.join(root, "trades"), os.path.join(root, "normalized")
+    staged = staged_steps(log)
     for step in range(steps):
-        land_step(log, landed, step)
+        land_step(staged, arrived, step)
         query = (
-            ingest.ingest_stream(logs.stream_log(spark, landed), horizon)
+            ingest.ingest_stream(logs.stream_log(spark, arrived), horizon)
             .writeStream.format("parquet")
             .option("checkpointLocation", os.path.join(root, "progress"))
             .trigger(availableNow=True)
@@ -82,7 +88,7 @@ def stream_publish(
     With `fail_at` the run of that step is cut off after its writes, and repeated.
     """
     root = fresh_folder(spark, "publish")
-    landed, out = os.path.join(root, "normalized"), os.path.join(root, "out")
+    arrived, out = os.path.join(root, "normalized"), os.path.join(root, "out")
     progress = os.path.join(root, "progress")
     handle = publish.publisher(out, flush, F.lit(0).cast("bigint"))
 
@@ -90,15 +96,16 @@ def stream_publish(
         handle(micro, step)
         raise Interrupted(f"after micro-batch {step}")
 
+    staged = staged_steps(log)
     for step in range(steps):
-        land_step(log, landed, step)
+        land_step(staged, arrived, step)
         if step == fail_at:
             try:
-                run_handler(spark, landed, progress, cut_off)
+                run_handler(spark, arrived, progress, cut_off)
             except Exception as error:
                 if Interrupted.__name__ not in str(error):
                     raise
-        run_handler(spark, landed, progress, handle)
+        run_handler(spark, arrived, progress, handle)
     publish.drain(spark, out, steps - 1, flush, F.lit(0).cast("bigint"))
     return publish.published(spark, out)
 
@@ -112,14 +119,15 @@ def stream_settle(
 ) -> str:
     """T2 on a stream: the folder holding ledger and dead letters after all steps."""
     root = fresh_folder(spark, "settle")
-    landed, out = os.path.join(root, "batches"), os.path.join(root, "out")
+    arrived, out = os.path.join(root, "batches"), os.path.join(root, "out")
     tries = os.path.join(root, "attempts")
     # Read by every micro-batch, so computed once.
     attempts.write.parquet(tries)
     handle = settle.settler(out, spark.read.parquet(tries), max_attempts, F.lit(0).cast("bigint"))
+    staged = staged_steps(log)
     for step in range(steps):
-        land_step(log, landed, step)
-        run_handler(spark, landed, os.path.join(root, "progress"), handle)
+        land_step(staged, arrived, step)
+        run_handler(spark, arrived, os.path.join(root, "progress"), handle)
     return out
 
 
@@ -128,9 +136,10 @@ def stream_remember(
 ) -> DataFrame:
     """U2 on a stream: rows admitted by a memory of the last keys; the key is the log's key."""
     root = fresh_folder(spark, "memory")
-    landed, out = os.path.join(root, "log"), os.path.join(root, "out")
+    arrived, out = os.path.join(root, "log"), os.path.join(root, "out")
     handle = memory.remember(out, "key", capacity, shards)
+    staged = staged_steps(log)
     for step in range(steps):
-        land_step(log, landed, step)
-        run_handler(spark, landed, os.path.join(root, "progress"), handle)
+        land_step(staged, arrived, step)
+        run_handler(spark, arrived, os.path.join(root, "progress"), handle)
     return spark.read.parquet(os.path.join(out, memory.ADMITTED))

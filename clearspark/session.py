@@ -4,7 +4,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "clearspark", cores: str = "*", **conf: str) -> SparkSession:
@@ -35,3 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def landed(rows: DataFrame, label: str, *partition_by: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    A stage whose result several later ones read is computed once, and a lost executor
+    costs a read of the table and not the stage.
+    """
+    path = fresh_folder(rows.sparkSession, label)
+    rows.write.partitionBy(*partition_by).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
