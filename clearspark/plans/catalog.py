@@ -524,18 +524,35 @@ def _in_steps(events, log):
     return log.withColumn("step", step), (high - low) // streams.STEPS + 1
 
 
-@query
-def stream_dedup(spark, folder):
-    """Streaming ingest; replays arrive one step after the first delivery."""
-    events = _events(spark, folder)
+def _replayed_late(events):
+    """The trades log in steps, replays one step behind; with the longest lag in micros."""
     log, length_us = _in_steps(events, fixtures.trades_log(events))
     replayed = F.col("offset") % 2 == 1
     late = F.least(F.col("step") + replayed.cast("int"), F.lit(streams.STEPS - 1))
-    horizon = f"{2 * length_us // 1_000_000 + 1} seconds"
-    forwarded = streams.stream_ingest(spark, log.withColumn("step", late), horizon)
+    return log.withColumn("step", late), 2 * length_us
+
+
+@query
+def stream_dedup(spark, folder):
+    """Streaming ingest by state store; replays come a step later."""
+    log, lag_us = _replayed_late(_events(spark, folder))
+    forwarded = streams.stream_ingest(spark, log, f"{lag_us // 1_000_000 + 1} seconds")
     return forwarded.select(F.col("key").cast("string").alias("coin"), F.md5("value").alias("value_md5"))
 
 
+@query
+def stream_dedup_by_table(spark, folder):
+    """Streaming ingest by looking up what was forwarded before."""
+    log, lag_us = _replayed_late(_events(spark, folder))
+    forwarded = streams.stream_forward(spark, log, lag_us)
+    return forwarded.select(
+        "partition",
+        "offset",
+        F.col("key").cast("string").alias("coin"),
+        F.md5("value").alias("value_md5"),
+    )
+
+
 @query
 def stream_batches(spark, folder):
     """Streaming batches are those of the batch form, wherever micro-batches end."""

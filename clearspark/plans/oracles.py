@@ -402,6 +402,8 @@ GROUP BY 1, 2"""
 
 ORACLES["stream_dedup"] = _with(_TRADE) + f"SELECT coin, md5({_JSON}) AS value_md5 FROM trade WHERE valid"
 
+ORACLES["stream_dedup_by_table"] = ORACLES["ingest_accepted"]
+
 ORACLES["stream_batches"] = ORACLES["batch_size_or_time"]
 
 ORACLES["stream_restart_no_loss"] = (

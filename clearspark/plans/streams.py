@@ -76,6 +76,20 @@ def stream_ingest(spark: SparkSession, log: DataFrame, horizon: str, steps: int
     return logs.read_log(spark, out)
 
 
+def stream_forward(
+    spark: SparkSession, log: DataFrame, horizon_us: int, steps: int = STEPS
+) -> DataFrame:
+    """U1 on a stream, by table: what a forwarder has written after all steps landed."""
+    root = fresh_folder(spark, "forward")
+    arrived, out = os.path.join(root, "trades"), os.path.join(root, "normalized")
+    handle = ingest.forwarder(out, horizon_us)
+    staged = staged_steps(log)
+    for step in range(steps):
+        land_step(staged, arrived, step)
+        run_handler(spark, arrived, os.path.join(root, "progress"), handle)
+    return logs.read_log(spark, out)
+
+
 def stream_publish(
     spark: SparkSession,
     log: DataFrame,

@@ -1,16 +1,43 @@
-"""Streaming ingest: judge, then drop repeats within a bounded time."""
+"""Streaming ingest: judge, then drop repeats within a bounded time.
+
+Two forms. `ingest_stream` keeps ids in the state store: the work per micro-batch
+does not depend on the horizon, but all copies of one id pass through one task and a
+row behind the watermark is lost. `forwarder` looks ids up in the table it has
+written: copies are folded before the shuffle and no row is ever lost, at the price
+of reading the ids of the horizon.
+"""
+
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clearspark.operators import validate
+from clearspark import schemas
+from clearspark.operators import dedup, validate
+from clearspark.streaming import tables
+
+NORMALIZED = T.StructType([*schemas.LOG.fields, T.StructField("trade_id", T.StringType())])
 
 
 class LateRows(Exception):
     """Rows came later than the dedup horizon and were dropped."""
 
 
+def _forwardable(trades: DataFrame, strict_notional: bool) -> DataFrame:
+    judged = validate.judge_trades(trades, strict_notional)
+    return validate.accepted(judged).select(
+        F.lit("trades.normalized").alias("topic"),
+        "partition",
+        "offset",
+        "timestamp",
+        F.col("trade.coin").cast("binary").alias("key"),
+        "value",
+        F.col("trade.trade_id").alias("trade_id"),
+    )
+
+
 def ingest_stream(trades: DataFrame, horizon: str = "1 hour", strict_notional: bool = True) -> DataFrame:
     """Valid, distinct trades of a stream, `value` untouched.
 
@@ -18,18 +45,8 @@ def ingest_stream(trades: DataFrame, horizon: str = "1 hour", strict_notional: b
     state. A record further behind than that would be dropped unseen, so the horizon
     must exceed the lag between partitions; `assert_nothing_late` checks that it did.
     """
-    good = validate.accepted(validate.judge_trades(trades, strict_notional))
     return (
-        good.withWatermark("timestamp", horizon)
-        .select(
-            F.lit("trades.normalized").alias("topic"),
-            "partition",
-            "offset",
-            "timestamp",
-            F.col("trade.coin").cast("binary").alias("key"),
-            "value",
-            F.col("trade.trade_id").alias("trade_id"),
-        )
+        _forwardable(trades.withWatermark("timestamp", horizon), strict_notional)
         .dropDuplicatesWithinWatermark(["trade_id"])
         .drop("trade_id")
     )
@@ -41,3 +58,31 @@ def assert_nothing_late(query: StreamingQuery) -> None:
         dropped = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
         if dropped:
             raise LateRows(f"{dropped} rows behind the horizon in micro-batch {progress['batchId']}")
+
+
+def forwarder(
+    folder: str, horizon_us: int | None = None, strict_notional: bool = True
+) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` handler that appends the valid, new trades of a stream to a table.
+
+    A repeat is recognized when its id was forwarded within `horizon_us` before the
+    oldest record of the micro-batch; None looks back to the beginning.
+    """
+
+    def handle(micro: DataFrame, step: int) -> None:
+        firsts = dedup.keep_first(_forwardable(micro, strict_notional)).persist()
+        try:
+            seen = tables.before_step(
+                tables.read_table(micro.sparkSession, folder, NORMALIZED), step
+            )
+            if horizon_us is not None:
+                oldest = firsts.agg(F.min(F.unix_micros("timestamp"))).first()[0]
+                # A plain bound on the stored column, which file statistics can answer.
+                bound = F.timestamp_micros(F.lit((oldest or 0) - horizon_us))
+                seen = seen.filter(F.col("timestamp") >= bound)
+            fresh = firsts.join(seen.select("trade_id"), "trade_id", "left_anti")
+            tables.write_step(fresh.select(*NORMALIZED.names), folder, step)
+        finally:
+            firsts.unpersist()
+
+    return handle

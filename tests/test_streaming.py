@@ -141,3 +141,21 @@ def test_batch_form_of_the_whole_log(spark):
     decoded = codec.with_trade(normalized(spark, rows)).select("partition", "offset", "timestamp", "trade")
     built = batching.build(batching.label(decoded, Flush(5, 40), **SMALL), Flush(5, 40))
     assert spans(built.collect()) == replay(rows, 5, 40)
+
+
+def test_forwarder_folds_copies_and_loses_nothing_late(spark, tmp_path):
+    folder, second = str(tmp_path / "out"), 1_000_000
+    handle = ingest.forwarder(folder, 30 * second)
+    rows = [(0, i, (1000 + i) * second, True) for i in range(10)]
+    some = normalized(spark, rows)
+    copies = some.unionByName(some.filter("offset = 3").withColumn("offset", F.lit(77).cast("bigint")))
+    handle(copies, 0)
+    handle(some.filter("offset < 5"), 1)
+    # A replayed micro-batch does not take its own first run for earlier deliveries.
+    handle(copies, 0)
+    far = normalized(spark, [(0, 500, 5000 * second, True)])
+    handle(far, 2)
+    late = normalized(spark, [(0, 11, 1 * second, True)])
+    handle(late.unionByName(some.filter("offset = 1")), 3)
+    found = sorted(r.offset for r in spark.read.parquet(folder).collect())
+    assert found == [*range(10), 11, 500]
