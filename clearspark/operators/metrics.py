@@ -35,6 +35,14 @@ def ingest_counters(judged: DataFrame) -> DataFrame:
     )
 
 
+def feed_counters(normalized: DataFrame) -> DataFrame:
+    """M4: one row, trades produced and raw trades or messages skipped."""
+    return normalized.agg(
+        F.count_if(F.col("trade").isNotNull()).alias("produced"),
+        F.count_if(F.col("trade").isNull()).alias("skipped"),
+    )
+
+
 def publisher_counters(batches: DataFrame) -> DataFrame:
     """M2: batches, trades and exact total per flush reason."""
     total = F.sum(F.col("total_notional").try_cast("decimal(38,16)"))

@@ -29,7 +29,7 @@ from clearspark.streaming import tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-FIFO_CAPACITY, FIFO_SHARDS = 50, 16
+FIFO_CAPACITY, FIFO_SHARDS = 4, 16
 
 
 def query(function: Query) -> Query:
@@ -154,6 +154,12 @@ def normalize_rejects(spark, folder):
     return skipped.groupBy("reject_reason").agg(F.count("*").alias("skipped"))
 
 
+@query
+def feed_counters(spark, folder):
+    """M4: trades made of a feed and raw trades that make none."""
+    return metrics.feed_counters(_normalized(spark, folder))
+
+
 @query
 def exact_notional_by_coin(spark, folder):
     """Exact sums of products, per coin and side."""

@@ -226,6 +226,15 @@ ORACLES["normalize_rejects"] = (
 GROUP BY reject_reason"""
 )
 
+ORACLES["feed_counters"] = (
+    _with(_TRADE, _FEED)
+    + """SELECT produced, bad_sides + halves + broken AS skipped FROM
+  (SELECT count(*) FILTER (WHERE letter <> 'X') AS produced,
+    count(*) FILTER (WHERE letter = 'X') AS bad_sides,
+    count(*) FILTER (WHERE e % 13 = 0) AS halves FROM raw),
+  (SELECT count(*) AS broken FROM feed WHERE whole AND channel = 'trades' AND e % 223 = 0)"""
+)
+
 ORACLES["exact_notional_by_coin"] = (
     _with(_TRADE, _FEED)
     + """SELECT coin, dir AS side, count(*) AS trades, CAST(sum(worth) AS DECIMAL(38,16)) AS notional
@@ -389,7 +398,7 @@ SELECT 'chain-submitter', 'submit attempt failed',
   CAST(sum(CASE WHEN outcome = 'settled' THEN attempts - 1 ELSE attempts END) AS BIGINT) FROM decided"""
 )
 
-ORACLES["dedup_fifo_bounded"] = _fifo(50, 16)
+ORACLES["dedup_fifo_bounded"] = _fifo(4, 16)
 
 ORACLES["settled_by_coin"] = (
     _with(_TRADE, _log(_CLEAN), _SEGMENT_BY_SIZE_OR_TIME, _BATCH, _TRIES, recursive=True)
@@ -419,5 +428,5 @@ FROM decided WHERE outcome = 'settled'"""
 )
 
 ORACLES["stream_fifo"] = (
-    f'SELECT partition, "offset" FROM ({_fifo(50, 16, 4)}) WHERE admitted'
+    f'SELECT partition, "offset" FROM ({_fifo(4, 16, 4)}) WHERE admitted'
 )

@@ -1,5 +1,6 @@
 """Session settings and the shared folder for state that must outlive an executor."""
 
+import functools
 import os
 import tempfile
 import uuid
@@ -22,14 +23,14 @@ def build_session(app: str = "clearspark", cores: str = "*", **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="clearspark-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; a temporary folder only where that is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    folder = tempfile.mkdtemp(prefix="clearspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
