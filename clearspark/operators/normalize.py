@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from clearspark.functions import clock, codec, decimals
 
-# Channels of the feed and the two taker sides.
+# Channels of the feed, the two taker sides, reasons, shape of a trade id.
 TRADES_CHANNEL = "trades"
 CONTROL_CHANNELS = ("subscriptionResponse", "pong")
 SIDE_OF = {"B": "buy", "A": "sell"}
+MISSING_FIELD = "missing required field"
+UNKNOWN_SIDE = 'unknown side "%s"'
+ID_SEPARATOR = "-"  # of time, coin and tid
+
+# Reasons of our own.
+UNDECODABLE = "undecodable trades"
+UNPARSEABLE = "unparseable %s"
 
 POSITION = ("topic", "partition", "offset", "timestamp")
 
@@ -75,7 +82,7 @@ def decode_side(side: Column) -> Column:
 
 def trade_identifier(time_ms: Column, coin: Column, tid: Column) -> Column:
     """`{time}-{coin}-{tid}`."""
-    return F.concat_ws("-", time_ms.cast("string"), coin, tid.cast("string"))
+    return F.concat_ws(ID_SEPARATOR, time_ms.cast("string"), coin, tid.cast("string"))
 
 
 def raw_reject_reason(raw: Column, price: Column, size: Column) -> Column:
@@ -85,16 +92,14 @@ def raw_reject_reason(raw: Column, price: Column, size: Column) -> Column:
     """
     px, sz, side = (raw.getField(name) for name in ("px", "sz", "side"))
     return (
-        F.when(raw.isNull(), "undecodable trades")
+        F.when(raw.isNull(), UNDECODABLE)
         .when(
             (raw.getField("coin") == "") | (px == "") | (sz == ""),
-            "missing required field",
-        )
-        .when(
-            decode_side(side).isNull(), F.concat(F.lit('unknown side "'), side, F.lit('"'))
+            MISSING_FIELD,
         )
-        .when(price.isNull() & ~decimals.is_decimal_text(px), "unparseable px")
-        .when(size.isNull() & ~decimals.is_decimal_text(sz), "unparseable sz")
+        .when(decode_side(side).isNull(), F.format_string(UNKNOWN_SIDE, side))
+        .when(price.isNull() & ~decimals.is_decimal_text(px), UNPARSEABLE % "px")
+        .when(size.isNull() & ~decimals.is_decimal_text(sz), UNPARSEABLE % "sz")
         .when(price.isNull() | size.isNull(), decimals.OUT_OF_RANGE)
     )
 

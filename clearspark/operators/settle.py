@@ -18,14 +18,7 @@ def judge_batches(log: DataFrame, strict_notional: bool = False) -> DataFrame:
     are never taken for one, and keeps its bytes in `value`.
     """
     decoded = codec.with_batch(log)
-    position = F.concat(
-        F.lit("unparseable-"),
-        F.col("topic"),
-        F.lit("-p"),
-        F.col("partition").cast("string"),
-        F.lit("_"),
-        F.col("offset").cast("string"),
-    )
+    position = F.format_string("unparseable-%s-p%s_%s", "topic", "partition", "offset")
     reason = validate.batch_reject_reason(F.col("batch"), strict_notional)
     identified = decoded.withColumn(
         "batch_id",

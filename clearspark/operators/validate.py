@@ -6,9 +6,23 @@ from pyspark.sql import functions as F
 from clearspark import schemas
 from clearspark.functions import codec, decimals
 
-
-def _quoted(text: Column) -> Column:
-    return F.concat(F.lit(' "'), text, F.lit('"'))
+# The reasons, in the order of the rules.
+EMPTY_TRADE_ID = "empty trade_id"
+EMPTY_COIN = "empty coin"
+INVALID_SIDE = 'invalid side "%s"'
+NON_POSITIVE = 'non-positive %s "%s"'
+EMPTY_BATCH_ID = "empty batch_id"
+NON_POSITIVE_COUNT = "non-positive trade_count %s"
+COUNT_MISMATCH = "trade_count %s != len(trades) %s"
+INVALID_TRADE = "trade[%s] invalid: %s"
+DUPLICATE_TRADE = 'duplicate trade_id "%s" in batch'
+TOTAL_MISMATCH = 'total_notional "%s" != recomputed "%s"'
+
+# Reasons of our own.
+UNPARSEABLE = "unparseable"
+OUT_OF_RANGE = decimals.OUT_OF_RANGE + ' %s "%s"'
+INVALID_NOTIONAL = 'invalid notional "%s"'
+NO_TOTAL = "sum notionals: unparseable notional"
 
 
 def trade_reject_reason(trade: Column, strict_notional: bool = True) -> Column:
@@ -18,28 +32,24 @@ def trade_reject_reason(trade: Column, strict_notional: bool = True) -> Column:
     trade would otherwise spoil the total of the whole batch it lands in.
     """
     price, size = trade.getField("price"), trade.getField("size")
+    side = trade.getField("side")
     reason = (
-        F.when(trade.getField("trade_id") == "", "empty trade_id")
-        .when(trade.getField("coin") == "", "empty coin")
-        .when(
-            ~trade.getField("side").isin(*schemas.SIDES),
-            F.concat(F.lit("invalid side"), _quoted(trade.getField("side"))),
-        )
+        F.when(trade.getField("trade_id") == "", EMPTY_TRADE_ID)
+        .when(trade.getField("coin") == "", EMPTY_COIN)
+        .when(~side.isin(*schemas.SIDES), F.format_string(INVALID_SIDE, side))
     )
     for name, text in (("price", price), ("size", size)):
         # Parsed once for a good trade; why a bad one is bad is looked into only then.
-        fits = decimals.decimal_status(text) != decimals.OUT_OF_RANGE
-        fault = F.when(fits, f"non-positive {name}").otherwise(
-            f"{decimals.OUT_OF_RANGE} {name}"
-        )
-        reason = reason.when(
-            ~decimals.is_positive(text), F.concat(fault, _quoted(text))
+        too_fine = decimals.decimal_status(text) == decimals.OUT_OF_RANGE
+        fault = F.when(too_fine, F.format_string(OUT_OF_RANGE, F.lit(name), text)).otherwise(
+            F.format_string(NON_POSITIVE, F.lit(name), text)
         )
+        reason = reason.when(~decimals.is_positive(text), fault)
     if strict_notional:
         worth = trade.getField("notional")
         reason = reason.when(
             decimals.parse_decimal(worth, decimals.MONEY).isNull(),
-            F.concat(F.lit("invalid notional"), _quoted(worth)),
+            F.format_string(INVALID_NOTIONAL, worth),
         )
     return reason
 
@@ -48,7 +58,7 @@ def judge_trades(log: DataFrame, strict_notional: bool = True) -> DataFrame:
     """V1, V6, V7: decodes `value` into `trade` and adds `reject_reason`; `value` is untouched."""
     return codec.with_trade(log).withColumn(
         "reject_reason",
-        F.when(F.col("trade").isNull(), "unparseable").otherwise(
+        F.when(F.col("trade").isNull(), UNPARSEABLE).otherwise(
             trade_reject_reason(F.col("trade"), strict_notional)
         ),
     )
@@ -71,9 +81,7 @@ def _first_bad_trade(trades: Column, strict_notional: bool) -> Column:
         ),
     )
     first = F.get(F.filter(findings, lambda f: f["why"].isNotNull()), 0)
-    message = F.concat(
-        F.lit("trade["), first["at"].cast("string"), F.lit("] invalid: "), first["why"]
-    )
+    message = F.format_string(INVALID_TRADE, first["at"], first["why"])
     return F.when(first.isNotNull(), F.struct(first["at"].alias("at"), message.alias("why")))
 
 
@@ -85,9 +93,7 @@ def _first_repeated_trade(trades: Column) -> Column:
         lambda e: F.array_position(ids, e["id"]) <= e["at"],
     )
     first = F.get(repeats, 0)
-    message = F.concat(
-        F.lit('duplicate trade_id "'), first["id"], F.lit('" in batch')
-    )
+    message = F.format_string(DUPLICATE_TRADE, first["id"])
     # The pairwise search runs only for batches the linear distinct test finds repeats in.
     return F.when(
         F.size(F.array_distinct(ids)) < F.size(ids),
@@ -109,27 +115,14 @@ def batch_reject_reason(batch: Column, strict_notional: bool = False) -> Column:
         total == decimals.parse_decimal(declared, decimals.MONEY), F.lit(False)
     )
     return (
-        F.when(batch.getField("batch_id") == "", "empty batch_id")
-        .when(count <= 0, F.concat(F.lit("non-positive trade_count "), count.cast("string")))
-        .when(
-            count != length,
-            F.concat(
-                F.lit("trade_count "),
-                count.cast("string"),
-                F.lit(" != len(trades) "),
-                length.cast("string"),
-            ),
-        )
+        F.when(batch.getField("batch_id") == "", EMPTY_BATCH_ID)
+        .when(count <= 0, F.format_string(NON_POSITIVE_COUNT, count))
+        .when(count != length, F.format_string(COUNT_MISMATCH, count, length))
         .when(repeat.isNotNull() & repeat_first, repeat["why"])
         .when(bad.isNotNull(), bad["why"])
-        .when(total.isNull(), "sum notionals: unparseable notional")
+        .when(total.isNull(), NO_TOTAL)
         .when(
             ~agrees,
-            F.concat(
-                F.lit("total_notional"),
-                _quoted(declared),
-                F.lit(" != recomputed"),
-                _quoted(decimals.canonical_text(total)),
-            ),
+            F.format_string(TOTAL_MISMATCH, declared, decimals.canonical_text(total)),
         )
     )
