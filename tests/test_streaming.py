@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearspark.functions import codec
-from clearspark.operators import batching
+from clearspark.operators import batching, metrics, validate
 from clearspark.operators.batching import Flush
 from clearspark.streaming import ingest, memory, publish, settle, tables
 from test_batching import random_log, replay, spans
@@ -159,3 +159,21 @@ def test_forwarder_folds_copies_and_loses_nothing_late(spark, tmp_path):
     handle(late.unionByName(some.filter("offset = 1")), 3)
     found = sorted(r.offset for r in spark.read.parquet(folder).collect())
     assert found == [*range(10), 11, 500]
+
+
+def test_ingest_is_counted_on_the_way(spark, tmp_path):
+    folder = str(tmp_path)
+    source = normalized(spark, [(0, i, i, i % 4 > 0) for i in range(8)])
+    source.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(source.schema).parquet(f"{folder}/in")
+    judged = metrics.watch_ingest(validate.judge_trades(stream), "ingest")
+    query = (
+        judged.writeStream.format("noop")
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["ingest"] for p in query.recentProgress if p["numInputRows"]]
+    totals = {k: sum(s.asDict()[k] for s in seen) for k in ("consumed", "accepted", "dropped")}
+    assert totals == {"consumed": 8, "accepted": 6, "dropped": 2}
