@@ -132,36 +132,46 @@ def advance(before: Open, table: Table, limits: Limits) -> Open:
     return table.left_open(at, before)
 
 
+def _advance_all(states: np.ndarray, table: Table, limits: Limits) -> np.ndarray:
+    """`advance` for many open batches at once; `states` has a row per field of Open."""
+    counts, firsts, starts, preds = states
+    by_time = np.searchsorted(table.clocks, firsts + limits.max_wait, side="left")
+    at = np.minimum(limits.max_size - counts, by_time)
+    inside = at < table.n
+    at = at[inside]
+    after = np.array([counts + table.n, firsts, starts, preds])
+    pred = table.preds[at]
+    after[:, inside] = (
+        table.counts[at],
+        table.firsts[at],
+        table.starts[at],
+        np.where(pred == INHERIT, starts[inside], pred),
+    )
+    return after
+
+
 def combine(tables: list[Table], limits: Limits) -> Table:
     """The table of consecutive stretches taken as one."""
-    total = sum(t.n for t in tables)
-    pending: dict[Open, list[int]] = {}
-    heads, wanted, seen = [], None, 0
-    inherit = Open(0, 0, INHERIT, INHERIT)
+    heads = np.empty(0, dtype=np.int64)
+    states = np.empty((4, 0), dtype=np.int64)
+    seen, horizon, complete = 0, None, False
     for table in tables:
-        moved: dict[Open, list[int]] = {}
-        for state, entries in pending.items():
-            moved.setdefault(advance(state, table, limits), []).extend(entries)
-        if table.n and (wanted is None or seen < wanted):
-            if wanted is None:
-                wanted = limits.max_size
-                horizon = int(table.clocks[0]) + max(limits.max_wait, 0)
-            for at, clock in enumerate(table.clocks[: wanted - seen].tolist()):
-                heads.append(clock)
-                moved.setdefault(table.left_open(at, inherit), []).append(len(heads) - 1)
-                if clock >= horizon:
-                    wanted = 0
-                    break
-            # A table that lists fewer trades than it holds has reached its own horizon,
-            # which is not before ours.
-            seen += table.n
-        pending = moved
-    open_at = [NOTHING_OPEN] * len(heads)
-    for state, entries in pending.items():
-        for entry in entries:
-            open_at[entry] = state
-    columns = np.array(open_at, dtype=np.int64).reshape(-1, 4)
-    return Table(total, np.array(heads, dtype=np.int64), *columns.T)
+        if not table.n:
+            continue
+        states = _advance_all(states, table, limits)
+        if not complete:
+            if horizon is None:
+                horizon = table.clocks[0] + max(limits.max_wait, 0)
+            # Up to the first trade no open batch can reach, by time or by size. A table
+            # lists all of its own such trades, and ours are among them.
+            reach = int(np.searchsorted(table.clocks, horizon, side="left")) + 1
+            taken = min(reach, limits.max_size - seen, len(table.clocks))
+            heads = np.concatenate((heads, table.clocks[:taken]))
+            fresh = (table.counts, table.firsts, table.starts, table.preds)
+            states = np.hstack((states, np.array([f[:taken] for f in fresh])))
+            complete = taken == reach or seen + table.n >= limits.max_size
+        seen += table.n
+    return Table(seen, heads, *states)
 
 
 def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:

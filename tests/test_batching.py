@@ -165,3 +165,14 @@ def test_bad_notional_leaves_no_total(spark):
     labelled = spoiled.withColumn("batch_key", F.lit(0))
     (b,) = batching.build(labelled, Flush(1, 1)).collect()
     assert b.total_notional == ""
+
+
+def test_combining_long_waits_takes_no_loop_over_trades():
+    # One batch spans many chunks, so no table can be short.
+    limits = cutting.Limits(batching.UNBOUNDED, 10_000_000)
+    clocks = np.arange(0, 2_000_000, 4)
+    chunks = [cutting.tabulate(c, c, limits) for c in np.split(clocks, 20)]
+    merged, whole = cutting.combine(chunks, limits), cutting.tabulate(clocks, clocks, limits)
+    assert merged.n == whole.n and merged.clocks.tolist() == whole.clocks.tolist()
+    for name in ("counts", "firsts", "starts", "preds"):
+        assert np.array_equal(getattr(merged, name), getattr(whole, name)), name
