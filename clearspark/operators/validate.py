@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clearspark import schemas
 from clearspark.functions import codec, decimals
 
-# The reasons, in the order of the rules.
+# The reasons in the order of the rules, the topic of valid trades.
 EMPTY_TRADE_ID = "empty trade_id"
 EMPTY_COIN = "empty coin"
 INVALID_SIDE = 'invalid side "%s"'
@@ -18,6 +18,8 @@ INVALID_TRADE = "trade[%s] invalid: %s"
 DUPLICATE_TRADE = 'duplicate trade_id "%s" in batch'
 TOTAL_MISMATCH = 'total_notional "%s" != recomputed "%s"'
 
+NORMALIZED_TOPIC = "trades.normalized"
+
 # Reasons of our own.
 UNPARSEABLE = "unparseable"
 OUT_OF_RANGE = decimals.OUT_OF_RANGE + ' %s "%s"'
@@ -72,6 +74,19 @@ def rejected(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("reject_reason").isNotNull())
 
 
+def forwardable(trades: DataFrame, strict_notional: bool = True) -> DataFrame:
+    """V6, V7: the valid records of a log, keyed by coin, with their bytes and `trade_id`."""
+    return accepted(judge_trades(trades, strict_notional)).select(
+        F.lit(NORMALIZED_TOPIC).alias("topic"),
+        "partition",
+        "offset",
+        "timestamp",
+        F.col("trade.coin").cast("binary").alias("key"),
+        "value",
+        F.col("trade.trade_id").alias("trade_id"),
+    )
+
+
 def _first_bad_trade(trades: Column, strict_notional: bool) -> Column:
     """V3: (index, message) of the first trade breaking V1, NULL when there is none."""
     findings = F.transform(

@@ -14,15 +14,7 @@ def ingest(trades: DataFrame, strict_notional: bool = True) -> DataFrame:
     Rows are judged before the shuffle of the dedup, and only id, position and the
     untouched message go through it.
     """
-    good = validate.accepted(validate.judge_trades(trades, strict_notional)).select(
-        F.lit("trades.normalized").alias("topic"),
-        "partition",
-        "offset",
-        "timestamp",
-        F.col("trade.coin").cast("binary").alias("key"),
-        "value",
-        F.col("trade.trade_id").alias("trade_id"),
-    )
+    good = validate.forwardable(trades, strict_notional)
     return dedup.keep_first(good).drop("trade_id")
 
 

@@ -25,19 +25,6 @@ class LateRows(Exception):
     """Rows came later than the dedup horizon and were dropped."""
 
 
-def _forwardable(trades: DataFrame, strict_notional: bool) -> DataFrame:
-    judged = validate.judge_trades(trades, strict_notional)
-    return validate.accepted(judged).select(
-        F.lit("trades.normalized").alias("topic"),
-        "partition",
-        "offset",
-        "timestamp",
-        F.col("trade.coin").cast("binary").alias("key"),
-        "value",
-        F.col("trade.trade_id").alias("trade_id"),
-    )
-
-
 def ingest_stream(trades: DataFrame, horizon: str = "1 hour", strict_notional: bool = True) -> DataFrame:
     """Valid, distinct trades of a stream, `value` untouched.
 
@@ -46,7 +33,7 @@ def ingest_stream(trades: DataFrame, horizon: str = "1 hour", strict_notional: b
     must exceed the lag between partitions; `assert_nothing_late` checks that it did.
     """
     return (
-        _forwardable(trades.withWatermark("timestamp", horizon), strict_notional)
+        validate.forwardable(trades.withWatermark("timestamp", horizon), strict_notional)
         .dropDuplicatesWithinWatermark(["trade_id"])
         .drop("trade_id")
     )
@@ -70,7 +57,7 @@ def forwarder(
     """
 
     def handle(micro: DataFrame, step: int) -> None:
-        firsts = dedup.keep_first(_forwardable(micro, strict_notional)).persist()
+        firsts = dedup.keep_first(validate.forwardable(micro, strict_notional)).persist()
         try:
             seen = tables.before_step(
                 tables.read_table(micro.sparkSession, folder, NORMALIZED), step
