@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import packing, token_counts, token_files
+from clearspark.llm import language_id, packing, suffix_tree, token_counts, token_files
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -42,7 +42,31 @@ def op4_token_counts(spark, folder):
     return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def id_remainder(parts: int):
+    """crc32 of the doc_id as text, modulo `parts`; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
+
+
+@query
+def op5_language_id(spark, folder):
+    """The language of each document, learned from four fifths of them."""
+    docs = table(spark, folder, "documents")
+    held = id_remainder(5) == 0
+    model = language_id.fit(docs.filter(~held))
+    rows = docs.select("doc_id", held.alias("held_out"), "text")
+    return language_id.identify(rows, model, keep=["doc_id", "held_out"])
+
+
 @query
 def op7_packing(spark, folder):
     """Each piece of each document and its place in a sequence."""
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1)
+
+
+@query
+def op10_suffix_tree(spark, folder):
+    """Each document's score under a suffix tree and under single-token counts."""
+    docs = table(spark, folder, "documents")
+    held = id_remainder(7) == 2
+    model = suffix_tree.fit(docs.filter(~held))
+    return suffix_tree.score(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"])
