@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import language_id, packing, suffix_tree, token_counts, token_files
+from clearspark.llm import language_id, ngram_join, packing, suffix_tree, token_counts, token_files
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -57,6 +57,12 @@ def op5_language_id(spark, folder):
     return language_id.identify(rows, model, keep=["doc_id", "held_out"])
 
 
+@query
+def op6_ngram_join(spark, folder):
+    """Each document's number of four-word shingles and its group of near copies."""
+    return ngram_join.near_duplicates(table(spark, folder, "documents"), width=4, percent=85)
+
+
 @query
 def op7_packing(spark, folder):
     """Each piece of each document and its place in a sequence."""
