@@ -1,12 +1,12 @@
 """Near-duplicates by an exact Jaccard join of word n-gram sets with prefix trees.
 
 Documents with one set of shingles are one class. Under a global order, rare shingles
-first, two alike sets share one of their first members (the prefix bound). Classes that
-share such a member meet in the group of the smallest class that has it, so a class goes to
-few groups whatever the length of its prefix. A group is dealt into blocks of bounded
-size, its smallest class in each, and every block is joined with itself by a trie. What a
-block does not connect to its smallest class is then held against the other blocks of its
-group, in tries again. Links are found only between sets that are not connected already;
+first, two alike sets share a known number of their first members (the prefix bound), so a
+class that shares fewer with all others together is like none. The rest meet in the group
+of the smallest class that has a shared member, so a class goes to few groups whatever the
+length of its prefix. A group is dealt into blocks of bounded size, its first class in
+each, and every block is joined with itself by a trie. What a block does not connect to
+that class is then held against the other blocks of its group, in tries again. Links are found only between sets that are not connected already;
 their components are those of all links.
 
 Shingles are 64-bit hashes. The global order needs the shingles that many classes share:
@@ -126,7 +126,7 @@ def prefixes(docs: DataFrame, text: str, width: int, limit: Threshold, often: tu
                         weight = np.where(common[at] == s, counts[at], 0)
                         if weight.any():
                             s = s[np.argsort(weight, kind="stable")]
-                    s = s[: limit.prefix(len(s))]
+                    s = s[: limit.prefix(len(s))[0]]
                     tokens.append(s)
                     names.append(np.full(len(s), name))
                 if tokens:
@@ -138,29 +138,57 @@ def prefixes(docs: DataFrame, text: str, width: int, limit: Threshold, often: tu
 
 
 def meetings(prefix: DataFrame) -> DataFrame:
-    """(hub, class): for each class, the smallest class of each of its prefix members, itself left out.
+    """(hub, class, shared): how many of a class's prefix members have `hub` as their smallest class.
 
-    A task streams its rows in order of token and class and keeps one token's state.
+    Members of one class alone do not count. A task streams its rows in order of token and
+    class and keeps one token's state.
     """
 
     def met(batches):
-        token = hub = None
+        # The hub's own row is sent when its second class comes.
+        token = hub = last = None
+        met_before = False
         for batch in batches:
             tokens, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(tokens):
+                continue
+            fresh = np.append(True, (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1]))
+            fresh[0] = tokens[0] != token or names[0] != last
+            tokens, names = tokens[fresh], names[fresh]
             if not len(tokens):
                 continue
             first = np.append(True, tokens[1:] != tokens[:-1])
             first[0] = tokens[0] != token
-            starts = np.where(first, np.arange(len(tokens)), -1)
-            at = np.maximum.accumulate(starts)
+            at = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
             hubs = np.where(at >= 0, names[np.maximum(at, 0)], hub if hub is not None else 0)
-            token, hub = tokens[-1], hubs[-1]
-            pairs = np.stack([hubs, names], 1)[hubs != names]
-            pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["hub", "class"])
+            second = np.append(False, first[:-1]) & ~first
+            second[0] = not first[0] and not met_before
+            others = np.stack([hubs[~first], names[~first]], 1)
+            own = np.stack([hubs[second], hubs[second]], 1)
+            pairs = np.concatenate([others, own])
+            met_before = bool(not first[-1])
+            token, hub, last = tokens[-1], hubs[-1], names[-1]
+            if len(pairs):
+                pairs, shared = np.unique(pairs, axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(shared.astype(np.int64))], names=["hub", "class", "shared"]
+                )
 
     dealt = prefix.repartition("token").sortWithinPartitions("token", "class")
-    return dealt.mapInArrow(met, "hub bigint, class bigint").distinct()
+    rows = dealt.mapInArrow(met, "hub bigint, class bigint, shared bigint")
+    return rows.groupBy("hub", "class").agg(F.sum("shared").alias("shared"))
+
+
+def candidates(met: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
+    """(hub, class, n) of classes that share as many prefix members as an alike class would have them share."""
+    shortest = F.expr(f"-floor(-n * {limit.percent} / 100.0BD)").cast("bigint")
+    spare = F.col("n") - shortest
+    least = F.greatest(spare + 1, F.floor(F.col("n") / 4)) - spare
+    total = met.groupBy("class").agg(F.sum("shared").alias("total")).join(classes, "class")
+    enough = landed(total.filter(F.col("total") >= least).select("class", "n"), "candidates")
+    rows = met.join(enough, "class").select("hub", "class", "n")
+    several = rows.groupBy("hub").agg(F.count("*").alias("k")).filter("k > 1").select("hub")
+    return rows.join(several, "hub")
 
 
 def sets_of(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -242,25 +270,25 @@ def links(met: DataFrame, sets: DataFrame, limit: Threshold, block: int, weight:
 
     A block has about `block` classes and about `weight` members at most.
     """
-    hubs = met.select("hub").distinct().select("hub", F.col("hub").alias("class"))
-    rows = met.join(sets, "class").select("hub", "class", "n", "members")
-    sizes = rows.groupBy("hub").agg(F.count("*").alias("k"), F.sum("n").alias("w"))
+    sizes = met.groupBy("hub").agg(F.count("*").alias("k"), F.sum("n").alias("w"), F.min("class").alias("centre"))
     parts = F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("w") / weight)).cast("long")
-    sizes = landed(sizes.select("hub", parts.alias("parts")), "group-sizes")
-    dealt = rows.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")))
-    seeds = hubs.join(sets, "class").join(sizes, "hub").withColumn("block", F.explode(F.expr("sequence(0L, parts - 1)")))
-    fields = ["hub", "block", "class", "members", "parts"]
-    blocks = dealt.select(*fields).unionByName(seeds.select(*fields))
+    sizes = sizes.select("hub", "centre", parts.alias("parts"))
+    dealt = met.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")))
+    dealt = landed(dealt.select("hub", "block", "class", "n", "centre", "parts"), "blocks")
+    seeds = dealt.filter("class = centre AND parts > 1")
+    seeds = seeds.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).filter("other <> block")
+    seeds = seeds.drop("block").withColumnRenamed("other", "block")
+    fields = ["hub", "block", "class", "members", "centre", "parts"]
+    blocks = dealt.unionByName(seeds).join(sets.select("class", "members"), "class").select(*fields)
 
     def joined(batches):
         for rows in _grouped(batches, ["hub", "block"]):
-            unique = list({r["class"]: r for r in rows}.values())
-            found = forest(_sets(unique), limit)
-            names = [r["class"] for r in unique]
+            found = forest(_sets(rows), limit)
+            names = [r["class"] for r in rows]
             out = [(names[i], names[j], None, None, None) for i, j in found]
             if rows[0]["parts"] > 1:
-                part = _reached(len(unique), found, names.index(rows[0]["hub"]))
-                out += [(None, None, r["hub"], r["class"], r["block"]) for i, r in enumerate(unique) if not part[i]]
+                part = _reached(len(rows), found, names.index(rows[0]["centre"]))
+                out += [(None, None, r["hub"], r["class"], r["block"]) for i, r in enumerate(rows) if not part[i]]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=shape)
 
@@ -290,18 +318,17 @@ def _reached(n: int, found: list[tuple[int, int]], start: int) -> list[bool]:
 
 
 def _between(apart: DataFrame, dealt: DataFrame, sets: DataFrame, limit: Threshold, block: int, weight: int) -> DataFrame:
-    """Links of classes that their block left apart from its smallest class with those of other blocks.
+    """Links of classes that their block left apart from its group's first class with those of other blocks.
 
     The former are dealt into tries, and each block of the group asks each of them.
     """
-    rows = apart.join(sets, "class")
+    rows = apart.join(dealt.select("hub", "class", "block", "n", "parts"), ["hub", "class", "block"])
     sizes = rows.groupBy("hub").agg(F.count("*").alias("k"), F.sum("n").alias("w"))
     tries = F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("w") / weight)).cast("long")
     sizes = landed(sizes.select("hub", tries.alias("tries")), "trie-sizes")
     own = rows.join(sizes, "hub").withColumn("trie", F.pmod(F.xxhash64(F.lit("trie"), "class"), F.col("tries")))
-    blocks = dealt.select("hub", "parts").distinct().select("hub", F.explode(F.expr("sequence(0L, parts - 1)")).alias("asker"))
-    fields = ["hub", "trie", "asker", "listed", "class", "members"]
-    listed = own.join(blocks, "hub").withColumn("listed", F.lit(True)).select(*fields)
+    fields = ["hub", "trie", "asker", "listed", "class"]
+    listed = own.withColumn("asker", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumn("listed", F.lit(True)).select(*fields)
     asking = dealt.join(sizes, "hub").withColumn("trie", F.explode(F.expr("sequence(0L, tries - 1)")))
     asking = asking.withColumn("listed", F.lit(False)).withColumn("asker", F.col("block")).select(*fields)
 
@@ -312,14 +339,15 @@ def _between(apart: DataFrame, dealt: DataFrame, sets: DataFrame, limit: Thresho
             others = [r for r in others if r["class"] not in mine]
             names = [r["class"] for r in own + others]
             found = [(names[i], names[j]) for i, j in forest(_sets(own), limit, _sets(others))]
+            if rows[0]["asker"] == 0:
+                found += [(names[i], names[j]) for i, j in forest(_sets(own), limit)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
-    # Classes of one trie meet each other when one of them asks in its own block.
-    both = listed.unionByName(asking)
-    return both.repartition("hub", "trie", "asker").sortWithinPartitions("hub", "trie", "asker", "listed").mapInArrow(
-        joined, "a bigint, b bigint"
-    )
+    # Classes of one trie are held against each other where the first block asks.
+    both = listed.unionByName(asking).join(sets.select("class", "members"), "class")
+    both = both.repartition("hub", "trie", "asker").sortWithinPartitions("hub", "trie", "asker", "listed")
+    return both.select(*fields, "members").mapInArrow(joined, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -347,8 +375,10 @@ def near_duplicates(
     found = often.filter(F.col("n") >= bounded_from(often, F.col("n"), common)).toPandas().sort_values("token")
     tokens = found["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    met = landed(meetings(prefixes(docs, text, width, limit, (tokens[order], found["n"].to_numpy(np.int64)[order]))), "meetings")
-    wanted = met.select("class").unionByName(met.select(F.col("hub").alias("class"))).distinct()
+    met = meetings(prefixes(docs, text, width, limit, (tokens[order], found["n"].to_numpy(np.int64)[order])))
+    classes = rows.filter("n > 0").select("class", "n").distinct()
+    met = landed(candidates(landed(met, "meetings"), classes, limit), "meetings")
+    wanted = met.select("class").distinct()
     sets = landed(sets_of(docs, text, width, wanted), "sets")
     roots = components(links(met, sets, limit, block, weight)).withColumnRenamed("node", "class")
     classed = rows.filter("n > 0").join(roots, "class", "left").select("_key", "n", F.coalesce("root", "class").alias("root"))

@@ -21,12 +21,17 @@ class Threshold:
         return -(-self.percent * both // (100 + self.percent))
 
     def shortest(self, size: int) -> int:
-        """The least size of a set that is alike to one of this size, and the least intersection."""
+        """The least size of a set that is alike to one of this size; also their least intersection."""
         return -(-self.percent * size // 100)
 
-    def prefix(self, size: int) -> int:
-        """So many first members of a set, one of which any like set has among its own first ones."""
-        return size - self.shortest(size) + 1 if size else 0
+    def prefix(self, size: int) -> tuple[int, int]:
+        """So many first members of a set, and how many of them any like set must have among its own first ones.
+
+        A quarter of the set where that is more than the least that must share one.
+        """
+        spare = size - self.shortest(size)
+        many = max(spare + 1, size // 4)
+        return (many, many - spare) if size else (0, 0)
 
 
 class Node:

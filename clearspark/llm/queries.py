@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import language_id, ngram_join, packing, suffix_tree, token_counts, token_files
+from clearspark.llm import decontamination, language_id, ngram_join, packing, suffix_tree, token_counts, token_files
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -69,6 +69,15 @@ def op7_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
+@query
+def op9_decontamination(spark, folder):
+    """Each benchmark item that a document holds, with the scores of its best passage."""
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = decontamination.with_leaks(docs, items, keep=["doc_id"])
+    leak = found.select("doc_id", F.explode("leaks").alias("leak"))
+    return leak.select("doc_id", "leak.item_id", "leak.overlap", "leak.score", "leak.question", "leak.answer")
+
+
 @query
 def op10_suffix_tree(spark, folder):
     """Each document's score under a suffix tree and under single-token counts."""
