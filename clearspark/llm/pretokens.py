@@ -90,6 +90,15 @@ def hashed(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         return mixed(words + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+def hashed_rows(symbols: np.ndarray) -> np.ndarray:
+    """The same hash of each row of a matrix of symbols."""
+    total = np.zeros(len(symbols), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(symbols.shape[1]):
+            total += _symbols()[symbols[:, i]] * np.uint64(pow(_BASE, i, 1 << 64))
+        return mixed(total + np.uint64(symbols.shape[1] * 0xA0761D6478BD642F & _M))
+
+
 def slices(sizes: list[int], most: int = SLICE):
     """Ranges of neighbours whose sizes add up to at most `most`; a larger one stands alone."""
     start = total = 0

@@ -5,7 +5,7 @@ what precedes them in the word, up to `DEPTH` bytes and with the word's beginnin
 A context becomes a state when its next bytes diverge from those of its own suffix by more
 than their number and weight explain; distributions are smoothed with the suffix's. All
 counts are gathered over all training texts, distributed and pre-aggregated. What is sent
-to the tasks is bounded: the `states` most divergent contexts, and the counts of at most
+to the tasks is bounded: the `most` most divergent contexts with their suffixes, and the counts of at most
 `frequent` words; the counts of all other words are joined.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from clearspark.llm.backoff import Backoff, WordScores, find, framed
 from clearspark.llm.bytewords import sliced
-from clearspark.llm.pretokens import hashed, slices
+from clearspark.llm.pretokens import hashed_rows, slices
 from clearspark.session import landed
 
 DEPTH = 6
@@ -141,7 +141,6 @@ def states(grams: DataFrame, most: int) -> DataFrame:
 
 def tree(edges: pd.DataFrame) -> Backoff:
     """Smoothed log probabilities of the states' next bytes, in sorted hash arrays."""
-    edges = edges.sort_values(["size", "context", "byte"], ignore_index=True)
     size, context = edges["size"].to_numpy(np.int64), edges["context"].to_numpy(np.int64).astype(np.uint64)
     byte, n = edges["byte"].to_numpy(np.uint32), edges["n"].to_numpy(float)
     grams, contexts = np.zeros(len(edges), np.uint64), np.zeros(len(edges), np.uint64)
@@ -151,15 +150,14 @@ def tree(edges: pd.DataFrame) -> Backoff:
         rows = np.flatnonzero(size == k)
         if not len(rows):
             continue
-        symbols = np.zeros((len(rows), k + 1), np.uint32)
+        symbols = np.zeros((len(rows), k + 1), np.uint8)
         for i in range(k):
             symbols[:, i] = (context[rows] >> np.uint64(8 * (k - 1 - i))) & np.uint64(255)
         symbols[:, k] = byte[rows]
-        flat, starts = symbols.reshape(-1), np.arange(len(rows)) * (k + 1)
-        grams[rows], contexts[rows] = hashed(flat, starts, starts + k + 1), hashed(flat, starts, starts + k)
+        grams[rows], contexts[rows] = hashed_rows(symbols), hashed_rows(symbols[:, :k])
         lower = np.full(len(rows), 1 / SYMBOLS)
         if k:
-            lower = values[find(known, hashed(flat, starts + 1, starts + k + 1))]
+            lower = values[find(known, hashed_rows(symbols[:, 1:]))]
         _, which = np.unique(contexts[rows], return_inverse=True)
         total, kinds = np.bincount(which, n[rows])[which], np.bincount(which)[which]
         chance[rows] = (n[rows] + kinds * lower) / (total + kinds)
@@ -173,7 +171,7 @@ def tree(edges: pd.DataFrame) -> Backoff:
     return Backoff(DEPTH + 1, grams[order], logs, listed, weights, np.array([-np.log10(SYMBOLS)]))
 
 
-def fit(texts: DataFrame, text: str = "text", most: int = 400_000, frequent: int = 1 << 19) -> Model:
+def fit(texts: DataFrame, text: str = "text", most: int = 150_000, frequent: int = 1 << 19) -> Model:
     """The model of all rows' whole texts; null texts are empty ones. No rows: no counts, every byte alike."""
     counts = landed(word_counts(texts, text), "word-counts")
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.length("word") == 0, F.col("n"))).alias("t")).first()
