@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import decontamination, language_id, ngram_join, packing, suffix_tree, token_counts, token_files
+from clearspark.llm import decontamination, language_id, ngram_join, packing, personal_data, suffix_tree, token_counts, token_files
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -36,6 +36,13 @@ def op1_token_files(spark, folder):
     )
 
 
+@query
+def op3_personal_data(spark, folder):
+    """The personal data in each document and the terms that reveal it."""
+    found = personal_data.find(table(spark, folder, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 @query
 def op4_token_counts(spark, folder):
     """Bytes and tokens of each document."""
