@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import decontamination, language_id, ngram_join, packing, personal_data, suffix_tree, token_counts, token_files
+from clearspark.llm import decontamination, kmeans_tree, language_id, ngram_join, packing, personal_data, suffix_tree, token_counts, token_files
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -76,6 +76,12 @@ def op7_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
+@query
+def op8_kmeans_tree(spark, folder):
+    """The 20 nearest vectors of every twentieth one by inner product."""
+    return kmeans_tree.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op9_decontamination(spark, folder):
     """Each benchmark item that a document holds, with the scores of its best passage."""
