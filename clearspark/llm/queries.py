@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import decontamination, kmeans_tree, language_id, ngram_join, packing, personal_data, suffix_tree, token_counts, token_files
+from clearspark.llm import decontamination, kmeans_tree, language_id, ngram_join, packing, personal_data, suffix_tree, token_counts, token_files, tool_calls, tool_messages
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -36,6 +36,26 @@ def op1_token_files(spark, folder):
     )
 
 
+@query
+def op2_tool_calls(spark, folder):
+    """Each tool call of the conversations, linked to its result, with its level and canonical message."""
+    messages = tool_messages.tool_messages(table(spark, folder, "conversations"))
+    linked = tool_calls.link(messages, tool_messages.SCHEMAS)
+    return linked.select(
+        F.col("conv").alias("conv_id"),
+        "turn",
+        "position",
+        F.col("id").alias("call_id"),
+        "name",
+        "level",
+        "status",
+        F.array_join("faults", "; ").alias("faults"),
+        "result_turn",
+        "results",
+        F.sha2("message", 256).alias("message_sha256"),
+    )
+
+
 @query
 def op3_personal_data(spark, folder):
     """The personal data in each document and the terms that reveal it."""
