@@ -17,7 +17,7 @@ never the result.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -126,7 +126,7 @@ def prefixes(docs: DataFrame, text: str, width: int, limit: Threshold, often: tu
                         weight = np.where(common[at] == s, counts[at], 0)
                         if weight.any():
                             s = s[np.argsort(weight, kind="stable")]
-                    s = s[: limit.prefix(len(s))[0]]
+                    s = s[: limit.prefix(len(s))]
                     tokens.append(s)
                     names.append(np.full(len(s), name))
                 if tokens:
@@ -137,58 +137,82 @@ def prefixes(docs: DataFrame, text: str, width: int, limit: Threshold, often: tu
     return _texts(docs, text).mapInArrow(cut, "token bigint, class bigint")
 
 
-def meetings(prefix: DataFrame) -> DataFrame:
-    """(hub, class, shared): how many of a class's prefix members have `hub` as their smallest class.
-
-    Members of one class alone do not count. A task streams its rows in order of token and
-    class and keeps one token's state.
+def _runs(batches):
+    """Per batch of rows sorted by (token, class), repeated rows left out: tokens, classes, each token's
+    first class, whether a row is its token's first, and whether the token's second row is here for the
+    first one, which may be in a batch before."""
+    token = hub = last = None
+    met = False
+    for batch in batches:
+        tokens, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(tokens):
+            continue
+        fresh = np.append(True, (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1]))
+        fresh[0] = tokens[0] != token or names[0] != last
+        tokens, names = tokens[fresh], names[fresh]
+        if not len(tokens):
+            continue
+        first = np.append(True, tokens[1:] != tokens[:-1])
+        first[0] = tokens[0] != token
+        at = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
+        hubs = np.where(at >= 0, names[np.maximum(at, 0)], hub if hub is not None else 0)
+        second = np.append(False, first[:-1]) & ~first
+        second[0] = not first[0] and not met
+        met = bool(not first[-1])
+        token, hub, last = tokens[-1], hubs[-1], names[-1]
+        yield tokens, names, hubs, first, second
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.select("token", "class").repartition("token").sortWithinPartitions("token", "class")
+
+
+def shared(prefix: DataFrame) -> DataFrame:
+    """The distinct rows (token, class) of tokens that several classes have; a task keeps one token's state."""
+
+    def kept(batches):
+        for tokens, names, hubs, first, second in _runs(batches):
+            pairs = [np.concatenate(c) for c in ((tokens[~first], tokens[second]), (names[~first], hubs[second]))]
+            if len(pairs[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["token", "class"])
+
+    return _sorted(prefix).mapInArrow(kept, "token bigint, class bigint")
+
+
+def candidates(rows: DataFrame, classes: DataFrame, limit: Threshold, rounds: int = 2) -> DataFrame:
+    """(hub, class, n): groups in which all alike classes meet.
+
+    A class that shares fewer prefix members with all others together than alike sets share
+    is left out, and again among those that remain. A class goes to the groups of its
+    members' smallest classes, but for its smallest groups that together hold under half of
+    what alike sets share: two classes cannot both miss each other so.
     """
+    shortest = F.expr(f"-floor(-n * {limit.percent} / 100.0BD)").cast("bigint")
+    least = F.greatest(F.lit(1), F.floor(shortest / 10))
+    rows = landed(shared(rows), "shared")
+    for _ in range(rounds):
+        total = rows.groupBy("class").agg(F.count("*").alias("total")).join(classes, "class")
+        enough = total.filter(F.col("total") >= least).select("class")
+        rows = landed(shared(rows.join(enough, "class")), "shared")
 
     def met(batches):
-        # The hub's own row is sent when its second class comes.
-        token = hub = last = None
-        met_before = False
-        for batch in batches:
-            tokens, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(tokens):
-                continue
-            fresh = np.append(True, (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1]))
-            fresh[0] = tokens[0] != token or names[0] != last
-            tokens, names = tokens[fresh], names[fresh]
-            if not len(tokens):
-                continue
-            first = np.append(True, tokens[1:] != tokens[:-1])
-            first[0] = tokens[0] != token
-            at = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
-            hubs = np.where(at >= 0, names[np.maximum(at, 0)], hub if hub is not None else 0)
-            second = np.append(False, first[:-1]) & ~first
-            second[0] = not first[0] and not met_before
-            others = np.stack([hubs[~first], names[~first]], 1)
-            own = np.stack([hubs[second], hubs[second]], 1)
-            pairs = np.concatenate([others, own])
-            met_before = bool(not first[-1])
-            token, hub, last = tokens[-1], hubs[-1], names[-1]
+        for _, names, hubs, first, second in _runs(batches):
+            pairs = np.concatenate([np.stack([hubs[~first], names[~first]], 1), np.stack([hubs[second], hubs[second]], 1)])
             if len(pairs):
-                pairs, shared = np.unique(pairs, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(shared.astype(np.int64))], names=["hub", "class", "shared"]
-                )
-
-    dealt = prefix.repartition("token").sortWithinPartitions("token", "class")
-    rows = dealt.mapInArrow(met, "hub bigint, class bigint, shared bigint")
-    return rows.groupBy("hub", "class").agg(F.sum("shared").alias("shared"))
-
-
-def candidates(met: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
-    """(hub, class, n) of classes that share as many prefix members as an alike class would have them share."""
-    shortest = F.expr(f"-floor(-n * {limit.percent} / 100.0BD)").cast("bigint")
-    spare = F.col("n") - shortest
-    least = F.greatest(spare + 1, F.floor(F.col("n") / 4)) - spare
-    total = met.groupBy("class").agg(F.sum("shared").alias("total")).join(classes, "class")
-    enough = landed(total.filter(F.col("total") >= least).select("class", "n"), "candidates")
-    rows = met.join(enough, "class").select("hub", "class", "n")
-    several = rows.groupBy("hub").agg(F.count("*").alias("k")).filter("k > 1").select("hub")
-    return rows.join(several, "hub")
+                pairs, count = np.unique(pairs, axis=0, return_counts=True)
+                columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(count.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["hub", "class", "count"])
+
+    groups = _sorted(rows).mapInArrow(met, "hub bigint, class bigint, count bigint")
+    groups = groups.groupBy("hub", "class").agg(F.sum("count").alias("count")).join(classes, "class")
+    by = Window.partitionBy("class").orderBy("count", "hub")
+    passed = F.sum("count").over(by.rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("count").over(Window.partitionBy("class"))
+    groups = groups.withColumn("passed", passed).withColumn("total", total)
+    groups = groups.filter((F.col("total") >= least) & (F.col("passed") * 2 > least - 1)).select("hub", "class", "n")
+    groups = landed(groups, "groups")
+    several = groups.groupBy("hub").agg(F.count("*").alias("k")).filter("k > 1").select("hub")
+    return groups.join(several, "hub")
 
 
 def sets_of(docs: DataFrame, text: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -375,9 +399,9 @@ def near_duplicates(
     found = often.filter(F.col("n") >= bounded_from(often, F.col("n"), common)).toPandas().sort_values("token")
     tokens = found["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    met = meetings(prefixes(docs, text, width, limit, (tokens[order], found["n"].to_numpy(np.int64)[order])))
-    classes = rows.filter("n > 0").select("class", "n").distinct()
-    met = landed(candidates(landed(met, "meetings"), classes, limit), "meetings")
+    order = (tokens[order], found["n"].to_numpy(np.int64)[order])
+    classes = landed(rows.filter("n > 0").select("class", "n").distinct(), "classes")
+    met = landed(candidates(prefixes(docs, text, width, limit, order), classes, limit), "meetings")
     wanted = met.select("class").distinct()
     sets = landed(sets_of(docs, text, width, wanted), "sets")
     roots = components(links(met, sets, limit, block, weight)).withColumnRenamed("node", "class")

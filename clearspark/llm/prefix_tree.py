@@ -24,14 +24,17 @@ class Threshold:
         """The least size of a set that is alike to one of this size; also their least intersection."""
         return -(-self.percent * size // 100)
 
-    def prefix(self, size: int) -> tuple[int, int]:
-        """So many first members of a set, and how many of them any like set must have among its own first ones.
+    def common(self, size: int) -> int:
+        """How many members the prefixes of two alike sets share at least, the smaller of this size."""
+        return max(1, size // 10)
 
-        A quarter of the set where that is more than the least that must share one.
+    def prefix(self, size: int) -> int:
+        """So many first members of a set.
+
+        Alike sets x and y overlap in at least max(shortest(|x|), shortest(|y|)) members, so
+        prefixes longer by k than what may be missing share at least k.
         """
-        spare = size - self.shortest(size)
-        many = max(spare + 1, size // 4)
-        return (many, many - spare) if size else (0, 0)
+        return size - self.shortest(size) + self.common(size) if size else 0
 
 
 class Node:
