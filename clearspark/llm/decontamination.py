@@ -3,10 +3,10 @@
 Weights are BM25's, as shares of what the item scores against itself. A passage is `2 L`
 words long and starts every `L` words, L being the longest item's length, so that a stretch
 of an item's length lies whole in one of them. Items are numbered, and a block is `BLOCK`
-neighbours; a term's block maximum is its largest weight there. A passage whose block
-maxima stay below the threshold in every block is left, all passages of a stretch at once;
-the rest traverse the postings by WAND with block maxima, which finds every item at or
-above the threshold. Found items are verified by the share of the word n-grams of their
+neighbours; a term's block maximum is its largest weight there. A passage is left where no
+item can reach the threshold with the weights of the item's rare terms in the passage and
+of all its common ones, for all passages of a stretch at once; the rest traverse the
+postings by WAND with block maxima, which finds every item at or above the threshold. Found items are verified by the share of the word n-grams of their
 question (all but the last sentence) and of their answer (the last one) in the passage.
 
 The index is sent to the tasks in parts of at most `most` items; each part is held against
@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 from clearspark.llm.backoff import find
 from clearspark.llm.bytewords import ByteWords, sliced
-from clearspark.llm.ngram_join import shingle_sets
+from clearspark.llm.ngram_join import shingle_sets, shingles_of, short_shingle
 
 K1, B = 1.2, 0.75
 BLOCK_BITS = 3
+#: A term is common when more than this share of the items, and more than two, have it.
+COMMON = 0.05
 WIDTH = 5
 #: Items of fewer words say too little to tell a leak from chance.
 SHORTEST = 5
@@ -59,6 +61,7 @@ class Index:
     question: list[np.ndarray]
     answer: list[np.ndarray]
     threshold: float
+    widths: set[int]
 
     def __post_init__(self):
         terms = np.repeat(np.arange(len(self.hashes)), np.diff(self.firsts))
@@ -66,18 +69,19 @@ class Index:
         pairs, which = np.unique(terms * self.blocks + (self.numbers >> BLOCK_BITS), return_inverse=True)
         peak = np.zeros(len(pairs))
         np.maximum.at(peak, which, self.weights)
-        self.pair_terms, self.pair_blocks, self.peaks = pairs // self.blocks, pairs % self.blocks, peak
-        self.pair_firsts = np.searchsorted(self.pair_terms, np.arange(len(self.hashes) + 1))
         self.peak_of = {int(p): float(v) for p, v in zip(pairs, peak, strict=True)}
+        self.rare = np.diff(self.firsts) <= max(2, COMMON * len(self.items))
+        self.rest = np.bincount(self.numbers, np.where(self.rare[terms], 0.0, self.weights), max(len(self.items), 1))
 
     def survivors(self, passages: np.ndarray, terms: np.ndarray, count: int) -> np.ndarray:
-        """Passages that reach the threshold in some block by their distinct terms' block maxima."""
-        spread = np.diff(self.pair_firsts)[terms]
-        at = np.repeat(self.pair_firsts[terms] - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())
-        cells, which = np.unique(np.repeat(passages, spread) * self.blocks + self.pair_blocks[at], return_inverse=True)
-        total = np.bincount(which, self.peaks[at], len(cells))
+        """Passages in which an item may reach the threshold, by their distinct rare terms."""
+        spread = np.diff(self.firsts)[terms]
+        at = np.repeat(self.firsts[terms] - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())
+        size = len(self.rest)
+        cells, which = np.unique(np.repeat(passages, spread) * size + self.numbers[at], return_inverse=True)
+        total = np.bincount(which, self.weights[at], len(cells)) + self.rest[cells % size]
         alive = np.zeros(count, bool)
-        alive[cells[total >= self.threshold - 1e-9] // self.blocks] = True
+        alive[cells[total >= self.threshold - 1e-9] // size] = True
         return alive
 
     def search(self, terms: np.ndarray) -> list[tuple[int, float]]:
@@ -145,8 +149,10 @@ def build(items: list, texts: list[str], frequency: dict[int, int], total: int,
     np.maximum.at(most, terms, weights)
     firsts = np.searchsorted(terms, np.arange(len(hashes) + 1))
     question, answer = zip(*map(parted, texts), strict=True) if texts else ((), ())
-    grams = [shingle_sets(words_of(list(p)), WIDTH) for p in (question, answer)]
-    return Index(items, hashes, firsts, numbers, weights, most, int(sizes.max(initial=32)), *grams, threshold)
+    spoken = [words_of(list(p)) for p in (question, answer)]
+    grams = [shingle_sets(w, WIDTH) for w in spoken]
+    widths = {min(int(n), WIDTH) for w in spoken for n in np.diff(w.firsts)} - {0}
+    return Index(items, hashes, firsts, numbers, weights, most, int(sizes.max(initial=32)), *grams, threshold, widths)
 
 
 def indexes(items: DataFrame, key: str, text: str, threshold: float, most: int) -> list[Index]:
@@ -195,24 +201,28 @@ def _found(index: Index, words: ByteWords, overlap: float) -> dict[int, dict[int
     sizes = np.diff(words.firsts)
     counts = np.maximum(-(-sizes // step), 1)
     bases = np.cumsum(counts) - counts
-    owner = np.searchsorted(words.firsts, hits, "right") - 1
-    window = bases[owner] + (hits - words.firsts[owner]) // step
+    rare = hits[index.rare[at[hits]]]
+    owner = np.searchsorted(words.firsts, rare, "right") - 1
+    window = bases[owner] + (rare - words.firsts[owner]) // step
     early = window > bases[owner]
-    passages = np.concatenate([window, window[early] - 1])
-    terms = np.concatenate([at[hits], at[hits][early]])
-    pairs = np.unique(passages * len(index.hashes) + terms)
-    passages, terms = pairs // len(index.hashes), pairs % len(index.hashes)
-    alive = index.survivors(passages, terms, int(counts.sum()))
+    size = len(index.hashes)
+    pairs = np.concatenate([window, window[early] - 1]) * size + np.concatenate([at[rare], at[rare][early]])
+    pairs = np.unique(pairs)
+    alive = index.survivors(pairs // size, pairs % size, int(counts.sum()))
+    # Items of common terms alone may be in any passage.
+    if (index.rest >= index.threshold - 1e-9).any():
+        alive[:] = True
     out: dict[int, dict[int, tuple]] = {}
     for p in np.flatnonzero(alive).tolist():
-        own = terms[np.searchsorted(passages, p) : np.searchsorted(passages, p, "right")]
-        items = index.search(own)
-        if not items:
-            continue
         text = int(np.searchsorted(bases, p, "right")) - 1
         start = int(words.firsts[text]) + (p - int(bases[text])) * step
         end = min(start + 2 * step, int(words.firsts[text + 1]))
-        grams = _grams(words, start, end)
+        own = np.unique(at[start:end])
+        own = own[own >= 0]
+        items = index.search(own)
+        if not items:
+            continue
+        grams = passage_grams(words.hashes[start:end], index.widths)
         for item, score in items:
             q, a = _share(index.question[item], grams), _share(index.answer[item], grams)
             n, m = len(index.question[item]), len(index.answer[item])
@@ -223,18 +233,17 @@ def _found(index: Index, words: ByteWords, overlap: float) -> dict[int, dict[int
     return out
 
 
-def _grams(words: ByteWords, start: int, end: int) -> np.ndarray:
-    part = ByteWords.__new__(ByteWords)
-    part.hashes, part.firsts = words.hashes[start:end], np.array([0, end - start])
-    full = shingle_sets(part, WIDTH)[0]
-    # Questions and answers of fewer words are one gram of their own length.
-    short = []
-    for n in range(1, WIDTH):
-        for i in range(0, end - start - n + 1):
-            piece = ByteWords.__new__(ByteWords)
-            piece.hashes, piece.firsts = part.hashes[i : i + n], np.array([0, n])
-            short.append(shingle_sets(piece, WIDTH)[0])
-    return np.unique(np.concatenate([full, *short]))
+def passage_grams(words: np.ndarray, widths: set[int]) -> np.ndarray:
+    """The distinct n-grams of a passage, for each n asked for, as `shingle_sets` names them."""
+    parts = [np.zeros(0, np.uint64)]
+    for n in widths:
+        if len(words) < n:
+            continue
+        if n == WIDTH:
+            parts.append(shingles_of(words, WIDTH))
+        else:
+            parts.append(short_shingle([words[k : len(words) - n + k + 1] for k in range(n)]))
+    return np.unique(np.concatenate(parts))
 
 
 def with_leaks(

@@ -35,25 +35,35 @@ FILTER_BITS = 23
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
-def shingle_sets(words: ByteWords, width: int) -> list[np.ndarray]:
-    """The ascending distinct shingle hashes of each text; a shorter text is one shingle, one without words none."""
-    counts, h = np.diff(words.firsts), words.hashes
+def shingles_of(words: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each stretch of `width` word hashes."""
+    total = np.zeros(max(len(words) - width + 1, 0), np.uint64)
     with np.errstate(over="ignore"):
-        total = np.zeros(max(len(h) - width + 1, 0), np.uint64)
         for k in range(width):
             step = np.uint64(pow(_STEPS[0], k + 1, 1 << 64) | 1)
-            total += mixed(h[k : k + len(total)] * step + np.uint64(k))
-        shingles = mixed(total)
+            total += mixed(words[k : k + len(total)] * step + np.uint64(k))
+        return mixed(total)
+
+
+def short_shingle(columns: list[np.ndarray]) -> np.ndarray:
+    """The hash of each row of fewer word hashes than a shingle has, given by columns."""
+    short = np.full(len(columns[0]), len(columns), np.uint64)
+    with np.errstate(over="ignore"):
+        for column in columns:
+            short = mixed(short * np.uint64(_STEPS[1]) + column)
+    return short
+
+
+def shingle_sets(words: ByteWords, width: int) -> list[np.ndarray]:
+    """The ascending distinct shingle hashes of each text; a shorter text is one shingle, one without words none."""
+    counts, h = np.diff(words.firsts), words.hashes
+    shingles = shingles_of(h, width)
     out = []
     for first, n in zip(words.firsts[:-1].tolist(), counts.tolist(), strict=True):
         if n >= width:
             out.append(np.unique(shingles[first : first + n - width + 1]))
         elif n:
-            with np.errstate(over="ignore"):
-                short = np.uint64(n)
-                for k in range(n):
-                    short = mixed(short * np.uint64(_STEPS[1]) + h[first + k : first + k + 1])[0]
-            out.append(np.array([short], np.uint64))
+            out.append(short_shingle([h[first + k : first + k + 1] for k in range(n)]))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
