@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from clearspark.llm.bytewords import ByteWords, sliced
 from clearspark.llm.components import components
@@ -112,7 +113,8 @@ def profiles(docs: DataFrame, key: str, text: str, width: int) -> tuple[DataFram
 
     fields = ["_key", "n", "class", "token"]
     kind = to_arrow_type(docs.schema[key].dataType)
-    schema = docs.select(F.col(key).alias("_key")).schema.add("n", "long").add("class", "long").add("token", "long")
+    # The rows of tokens have no key, so the column is nullable whatever the key is.
+    schema = StructType().add("_key", docs.schema[key].dataType, True).add("n", "long").add("class", "long").add("token", "long")
     rows = landed(_texts(docs, text, F.col(key).alias("_key")).mapInArrow(profiled, schema), "profiles")
     return rows.filter("token IS NULL").drop("token"), rows.filter("token IS NOT NULL").select("token", "n")
 

@@ -3,18 +3,62 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clearspark.llm import packing
+from clearspark.llm import decontamination, language_id, ngram_join, packing, personal_data
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import landed
 
 
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach; a null lang becomes the one found.
+
+    Those that identification rejects go: null texts, texts without a letter, and texts
+    that are unlikely even in their nearest language.
+    """
+    found = language_id.identify(docs, language_id.fit(docs))
+    kept = found.filter("NOT rejected").withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return kept.select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five words, 0.8): the one with the smallest doc_id.
+
+    Rows are told apart by doc_id and text; of rows with both alike one stays.
+    """
+    named = docs.withColumn("_name", F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")))
+    groups = ngram_join.near_duplicates(named, key="_name")
+    first = groups.filter(F.col("_name") == F.col("component_id")).select("_name.id", "_name.text").distinct()
+    first = first.select(F.col("id").alias("_id"), F.col("text").alias("_text"))
+    rows = docs.withColumn("_hash", F.xxhash64("text"))
+    kept = rows.join(first, rows["doc_id"].eqNullSafe(first["_id"]) & (rows["_hash"] == first["_text"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.with_leaks(docs, items).filter(F.size("leaks") == 0).select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with labels for personal data and for terms that reveal it; n_chars follows."""
+    masked = personal_data.sanitise(docs)
+    return masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), "n_chars")).select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document kept and their places in sequences."""
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", pack)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", keep_languages),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("benchmark decontamination", drop_leaks),
+    ("PII", mask_personal_data),
+    ("packing", pack),
+]
 
 #: Tokens, language models and windows are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL: str | None = None
