@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from clearspark.llm.backoff import find
 from clearspark.llm.bytewords import ByteWords, sliced
+from clearspark.llm.names import free
 from clearspark.llm.ngram_join import shingle_sets, shingles_of, short_shingle
 
 K1, B = 1.2, 0.75
@@ -256,8 +257,9 @@ def with_leaks(
     threshold: float = 0.4,
     overlap: float = 0.5,
     most: int = 50_000,
+    into: str = "leaks",
 ) -> DataFrame:
-    """The columns `keep` (default: all) and `leaks`: the items that a row's text holds.
+    """The columns `keep` (default: all) and one named `into`: the items that a row's text holds.
 
     An item is a leak when a passage scores at least `threshold` of the item's own score
     and holds at least `overlap` of its word n-grams; each leak has the item's key, both
@@ -265,11 +267,12 @@ def with_leaks(
     row is kept; no shuffle.
     """
     keep = keep if keep is not None else docs.columns
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"), F.expr(f"cast(array() as {_KIND})").alias("leaks"))
+    (content,) = free([*keep, into], "content")
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(content), F.expr(f"cast(array() as {_KIND})").alias(into))
     shape = rows.schema
     for index in indexes(items, item_key, item_text, threshold, most):
         rows = rows.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(index), len(keep), overlap), shape)
-    return rows.drop("_text")
+    return rows.drop(content)
 
 
 _KIND = "array<struct<item_id: bigint, overlap: double, score: double, question: double, answer: double>>"

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearspark.llm.backoff import Backoff, WordScores, find, framed
+from clearspark.llm.names import free
 from clearspark.llm.pretokens import _lower, hashed, slices
 
 ORDER = 5
@@ -214,8 +215,14 @@ def _words(texts: list[str]) -> pd.DataFrame:
 
 
 
-def identify(rows: DataFrame, model: Identifier, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (default: all) with lang_pred, score and rejected.
+def identify(
+    rows: DataFrame,
+    model: Identifier,
+    text: str = "text",
+    keep: list[str] | None = None,
+    into: tuple[str, str, str] = ("lang_pred", "score", "rejected"),
+) -> DataFrame:
+    """The columns `keep` (default: all) with the language, the score and the rejection, named `into`.
 
     Null texts and texts without a letter are `und` with score 0, and rejected. Whole texts
     are scored; no shuffle. The model is bounded by its sample and sent to the tasks once.
@@ -228,7 +235,10 @@ def identify(rows: DataFrame, model: Identifier, text: str = "text", keep: list[
         for batch in batches:
             names, score, rejected = own.predict(batch.column(len(keep)).to_pylist())
             columns = [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *into])
 
-    schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rows.select(*keep, F.col(text).alias("_text")).mapInArrow(predicted, schema)
+    schema = rows.select(*keep).schema
+    for name, kind in zip(into, ("string", "double", "boolean"), strict=True):
+        schema = schema.add(name, kind)
+    (content,) = free(keep, "content")
+    return rows.select(*keep, F.col(text).alias(content)).mapInArrow(predicted, schema)

@@ -13,6 +13,7 @@ have a match and carry the number of their copies; other rows are not shuffled.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clearspark.llm.names import free
 from clearspark.session import landed
 
 #: Kinds in their order. Quantifiers are possessive where nothing that follows could take
@@ -194,8 +195,10 @@ def sanitise(docs: DataFrame, text: str = "text", threshold: float = 0.8, contex
     pattern = "|".join(f"(?:{p})" for p in PATTERNS.values())
     may = content.rlike(pattern)
     names = docs.columns
-    marked = docs.filter(may).withColumn("_a", F.xxhash64(content)).withColumn("_b", F.xxhash64(F.lit("b"), content))
-    marked = marked.join(found, ["_a", "_b"], "left")
+    a, b, own = free(names, "_a", "_b", "_found")
+    found = found.select(F.col("_a").alias(a), F.col("_b").alias(b), F.col("_found").alias(own))
+    marked = docs.filter(may).withColumn(a, F.xxhash64(content)).withColumn(b, F.xxhash64(F.lit("b"), content))
+    marked = marked.join(found, [a, b], "left")
     label = F.create_map(*[F.lit(x) for k in KINDS for x in (k, LABELS[k])])
     state = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
@@ -207,5 +210,5 @@ def sanitise(docs: DataFrame, text: str = "text", threshold: float = 0.8, contex
     def finish(acc):
         return F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.char_length(F.col(text))))
 
-    changed = F.when(F.col("_found").isNull(), F.col(text)).otherwise(F.aggregate("_found", state, put, finish))
+    changed = F.when(F.col(own).isNull(), F.col(text)).otherwise(F.aggregate(own, state, put, finish))
     return docs.filter(~may).unionByName(marked.withColumn(text, changed).select(*names))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearspark.llm import decontamination, language_id, ngram_join, packing, personal_data
+from clearspark.llm.names import free
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import landed
 
@@ -16,29 +17,31 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Those that identification rejects go: null texts, texts without a letter, and texts
     that are unlikely even in their nearest language.
     """
-    found = language_id.identify(docs, language_id.fit(docs))
-    kept = found.filter("NOT rejected").withColumn("lang", F.coalesce("lang", "lang_pred"))
+    names = free(docs.columns, "lang_pred", "score", "rejected")
+    found = language_id.identify(docs, language_id.fit(docs), into=tuple(names))
+    kept = found.filter(~F.col(names[2])).withColumn("lang", F.coalesce("lang", names[0]))
     return kept.select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8): the one with the smallest doc_id.
+    """One document of each group of near copies (five words, 0.8): the one with the smallest doc_id, null last.
 
     Rows are told apart by doc_id and text; of rows with both alike one stays.
     """
-    named = docs.withColumn("_name", F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")))
-    groups = ngram_join.near_duplicates(named, key="_name")
-    first = groups.filter(F.col("_name") == F.col("component_id")).select("_name.id", "_name.text").distinct()
-    first = first.select(F.col("id").alias("_id"), F.col("text").alias("_text"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = rows.join(first, rows["doc_id"].eqNullSafe(first["_id"]) & (rows["_hash"] == first["_text"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    name = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.xxhash64("text", F.col("text").isNull()).alias("hash"))
+    groups = ngram_join.near_duplicates(docs.select(name.alias("name"), "text"), key="name")
+    first = groups.filter(F.col("name") == F.col("component_id")).select(F.col("name").alias("first")).distinct()
+    (own,) = free(docs.columns, "name")
+    rows = docs.withColumn(own, name)
+    kept = rows.join(first, rows[own].eqNullSafe(first["first"]), "left_semi")
+    return kept.dropDuplicates([own]).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.with_leaks(docs, items).filter(F.size("leaks") == 0).select(*docs.columns)
+    (leaks,) = free(docs.columns, "leaks")
+    return decontamination.with_leaks(docs, items, into=leaks).filter(F.size(leaks) == 0).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
