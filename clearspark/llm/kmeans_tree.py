@@ -204,7 +204,7 @@ def nearest(
     k: int = 20,
     target: float = 0.97,
     sample: int = 20_000,
-    leaf: int = 128,
+    leaf: int = 1024,
     probes: int = 64,
     block: int = 4096,
 ) -> DataFrame:

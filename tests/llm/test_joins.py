@@ -118,7 +118,7 @@ def test_neighbours_reach_the_recall(spark):
     own = (centres[rng.integers(0, 40, 3000)] + 0.4 * rng.normal(size=(3000, 16))).astype(np.float32)
     own[1000:1400] = own[1000]
     table = vectors(spark, [(i, v.tolist(), "x", 1) for i, v in enumerate(own)])
-    found = kmeans_tree.nearest(table, F.col("vec_id") % 20 == 0, block=64).collect()
+    found = kmeans_tree.nearest(table, F.col("vec_id") % 20 == 0, leaf=64, block=64).collect()
     exact, hits = own.astype(float), 0
     for q in range(0, 3000, 20):
         scores = (exact * exact[q]).sum(1)
