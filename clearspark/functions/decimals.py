@@ -106,11 +106,45 @@ def exact_sum(value: Column) -> Column:
 
 
 def exact_array_sum(texts: Column) -> Column:
-    """D2 within a row: the sum of an array of decimal texts, NULL if one is unparseable."""
+    """D2 within a row: the sum of an array of decimal texts, NULL if one is unparseable.
+
+    The sum of two decimals of full width loses their last place, so the whole and the
+    fractional parts are summed apart, each in a type that holds its sum.
+    """
     # NULL propagates through +, which is the wanted "one bad item spoils the sum".
-    kind = f"decimal({MONEY[0]},{MONEY[1]})"
+    parts = F.transform(texts, lambda text: _parted(parse_decimal(text, MONEY)))
+    zero = F.struct(F.lit(0).cast("decimal(30,0)").alias("whole"), F.lit(0).cast("decimal(28,0)").alias("rest"))
     return F.aggregate(
-        texts,
-        F.lit(0).cast(kind),
-        lambda total, text: (total + parse_decimal(text, MONEY)).cast(kind),
+        parts,
+        zero,
+        lambda total, part: F.struct(
+            (total["whole"] + part["whole"]).cast("decimal(30,0)").alias("whole"),
+            (total["rest"] + part["rest"]).cast("decimal(28,0)").alias("rest"),
+        ),
+        _joined,
     )
+
+
+def _parted(value: Column) -> Column:
+    """Whole part, and fraction in units of the last place, both with the sign of the value."""
+    digits = MONEY[1]
+    rest = (value % F.lit(1).cast("decimal(1,0)")).cast(f"decimal({digits},{digits})")
+    units = (rest * F.lit(10**digits).cast(f"decimal({digits + 1},0)")).cast(f"decimal({digits},0)")
+    whole = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("decimal(30,0)")
+    return F.struct(whole.alias("whole"), units.alias("rest"))
+
+
+def _joined(total: Column) -> Column:
+    """The decimal of a whole part and of units of the last place, by way of its digits."""
+    digits = MONEY[1]
+    one = F.lit(10**digits).cast("decimal(28,0)")
+    carry = F.floor(total["rest"] / one).cast("decimal(30,0)")
+    units = F.pmod(total["rest"], one).cast("decimal(28,0)")
+    whole = (total["whole"] + carry).cast("decimal(30,0)")
+    # Below zero the digits of whole + units/one are those of -(whole + 1) and one - units.
+    below = (whole < 0) & (units > 0)
+    front = F.when(below, (whole + 1).cast("decimal(30,0)")).otherwise(whole)
+    back = F.when(below, (one - units).cast("decimal(28,0)")).otherwise(units)
+    sign = F.when(whole < 0, "-").otherwise("")
+    text = F.concat(sign, F.abs(front).cast("string"), F.lit("."), F.lpad(back.cast("string"), digits, "0"))
+    return text.try_cast(f"decimal({MONEY[0]},{MONEY[1]})")

@@ -19,9 +19,12 @@ def keep_first(
     """The first row of each key in log order.
 
     A rank limit of one is applied per map task before the shuffle, so a key that
-    fills a third of the rows sends one row per task, not all of them.
+    fills a third of the rows sends one row per task, not all of them. A row without a
+    key repeats nothing and is kept.
     """
-    turn = Window.partitionBy(*keys).orderBy(*order)
+    missing = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1
+    alone = F.when(missing, F.struct(*order))
+    turn = Window.partitionBy(*keys, alone).orderBy(*order)
     ranked = rows.withColumn("_turn", F.row_number().over(turn))
     return ranked.filter(F.col("_turn") == 1).drop("_turn")
 

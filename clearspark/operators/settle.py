@@ -140,9 +140,16 @@ def dead_letters(decided: DataFrame, failed_at_ms: Column | None = None) -> Data
 
 
 def dead_letter_messages(letters: DataFrame) -> DataFrame:
-    """Keyed messages for the dead-letter log."""
+    """Keyed messages for the dead-letter log.
+
+    Where the batch could not be decoded, the message has its bytes in base64 as one
+    field more, `raw_value`.
+    """
     record = F.struct(*[F.col(f.name) for f in schemas.DEAD_LETTER.fields])
-    return letters.select(
+    text = codec.encode_dead_letter(record)
+    kept = F.concat(F.expr("left(_text, length(_text) - 1)"), F.lit(',"raw_value":"'), F.base64("raw_value"), F.lit('"}'))
+    rows = letters.select("batch_id", "raw_value", text.alias("_text"))
+    return rows.select(
         F.col("batch_id").cast("binary").alias("key"),
-        codec.encode_dead_letter(record).cast("binary").alias("value"),
+        F.when(F.col("raw_value").isNull(), F.col("_text")).otherwise(kept).cast("binary").alias("value"),
     )

@@ -2,6 +2,7 @@
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,8 +30,11 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; a temporary folder only where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The cluster's `spark.checkpoint.dir`; a temporary folder only on one machine without it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or _own_folder()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

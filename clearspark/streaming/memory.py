@@ -31,7 +31,8 @@ def remember(
         rows = micro.persist()
         try:
             slim = rows.select("partition", "offset", key)
-            remembered = tables.read_step(spark, os.path.join(folder, MEMORY), step - 1)
+            tables.claim(spark, folder)
+            remembered = tables.handed_over(spark, os.path.join(folder, MEMORY), step)
             if remembered is not None:
                 # Partition -1 sorts before the log; the offset is the place in the memory.
                 slim = slim.unionByName(

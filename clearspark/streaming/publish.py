@@ -72,7 +72,8 @@ def publisher(
     def handle(micro: DataFrame, step: int) -> None:
         spark = micro.sparkSession
         rows = codec.with_trade(micro).select(*ROW)
-        carried = tables.read_step(spark, os.path.join(folder, OPEN), step - 1)
+        tables.claim(spark, folder)
+        carried = tables.handed_over(spark, os.path.join(folder, OPEN), step)
         if carried is not None:
             rows = rows.unionByName(carried.select(*ROW))
         now = _pinned_clock(spark, folder, step, now_us) if now_us else None

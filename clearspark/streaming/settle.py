@@ -35,14 +35,16 @@ def _span(batch_id: Column) -> Column:
 
 def settler(
     folder: str,
-    attempts: DataFrame,
+    attempts: DataFrame | Callable[[], DataFrame],
     max_attempts: int,
     failed_at_ms: Column | None = None,
     strict_notional: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` handler for a log of batches.
 
-    Batches whose tries are not used up wait for the next micro-batch.
+    Batches whose tries are not used up wait for the next micro-batch. `attempts` as a
+    function is called for each micro-batch, so that tries written meanwhile are seen; a
+    table is what it was when the handler was made.
     """
     ledger_folder = os.path.join(folder, LEDGER)
 
@@ -50,11 +52,14 @@ def settler(
         spark = micro.sparkSession
         columns = ["topic", "partition", "offset", "value"]
         rows = micro.select(*columns)
-        waiting = tables.read_step(spark, os.path.join(folder, PENDING), step - 1)
+        tables.claim(spark, folder)
+        waiting = tables.handed_over(spark, os.path.join(folder, PENDING), step)
         if waiting is not None:
             rows = rows.unionByName(waiting.select(*columns))
-        results = settle.submission_results(attempts, max_attempts)
         judged = settle.judge_batches(rows, strict_notional)
+        tries = attempts() if callable(attempts) else attempts
+        tries = tries.join(judged.select("batch_id").distinct(), "batch_id", "left_semi")
+        results = settle.submission_results(tries, max_attempts)
         decided = settle.decide(judged, results, max_attempts).persist()
         try:
             settled = decided.filter(F.col("outcome") == settle.SETTLED)

@@ -39,6 +39,50 @@ def read_step(spark: SparkSession, folder: str, step: int) -> DataFrame | None:
         return None
 
 
+class MissingStep(Exception):
+    """What an earlier micro-batch handed over is gone; going on would lose its rows."""
+
+
+class ForeignFolder(Exception):
+    """The folder belongs to another streaming query."""
+
+
+def handed_over(spark: SparkSession, folder: str, step: int) -> DataFrame | None:
+    """What the micro-batch before `step` wrote for it; None before the first one only."""
+    if step == 0:
+        return None
+    path = step_path(folder, step - 1)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        _raise_unless_absent(error)
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingStep(path) from error
+        return None
+
+
+def claim(spark: SparkSession, folder: str) -> None:
+    """Lets one streaming query only write to a folder.
+
+    Spark keeps a query's id in its checkpoint, so a restart has the same one, and a new
+    checkpoint, whose micro-batches would overwrite the old ones, another. Outside a
+    streaming query nothing is claimed.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        return
+    path = os.path.join(folder, "owner")
+    try:
+        owner = spark.read.schema("query string").parquet(path).first()
+    except AnalysisException as error:
+        _raise_unless_absent(error)
+        owner = None
+    if owner is None:
+        spark.range(1).select(F.lit(query).alias("query")).write.mode("overwrite").parquet(path)
+    elif owner["query"] != query:
+        raise ForeignFolder(f"{folder} was written by query {owner['query']}")
+
+
 def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All micro-batches; an empty table before the first."""
     columns = T.StructType([*schema.fields, T.StructField(STEP, T.LongType())])

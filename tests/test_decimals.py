@@ -70,6 +70,22 @@ def test_equal_is_numeric(spark):
     assert [r[0] for r in df.select(equal).collect()] == [True, False, False, True]
 
 
+def test_array_sums_keep_the_last_place(spark):
+    cases = {
+        ("0.0000000000000001", "0.0000000000000002"): "0.0000000000000003",
+        ("-0.3", "0.1"): "-0.2",
+        ("-1.25", "-2.75", "0.5"): "-3.5",
+        ("9999999999999999999.9999999999999999", "0.0000000000000001"): "10000000000000000000",
+        ("0.9999999999999999", "0.0000000000000002"): "1.0000000000000001",
+        ("-1", "0.0000000000000001"): "-0.9999999999999999",
+        (): "0",
+        ("1", "x"): None,
+    }
+    rows = spark.createDataFrame([(list(c),) for c in cases], "texts array<string>")
+    found = rows.select(decimals.canonical_text(decimals.exact_array_sum(F.col("texts")))).collect()
+    assert [r[0] for r in found] == list(cases.values())
+
+
 def test_sums(spark):
     parsed = column(spark, ["650.005", "1.1", "0.895"]).select(
         decimals.parse_decimal(F.col("text"), decimals.MONEY).alias("d")

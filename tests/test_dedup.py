@@ -81,3 +81,9 @@ def test_shards_are_memories_of_their_own(spark):
         for place, fresh in zip(places, replay([keys[i] for i in places], 2)):
             expected[place] = fresh
     assert verdicts(rows, capacity=2, shards=4) == expected
+
+
+def test_rows_without_a_key_are_no_repeats(spark):
+    rows = spark.createDataFrame([(0, 0, "a"), (0, 1, None), (0, 2, None), (0, 3, "a")], "partition int, offset bigint, trade_id string")
+    found = dedup.keep_first(rows).orderBy("offset").collect()
+    assert [(r.offset, r.trade_id) for r in found] == [(0, "a"), (1, None), (2, None)]

@@ -1,3 +1,4 @@
+import base64
 import json
 
 import pytest
@@ -136,3 +137,11 @@ def test_unaccounted(spark):
         ("c", "repeated", 2, 2),
         ("z", "unknown", 0, 1),
     ]
+
+
+def test_bytes_of_an_undecodable_batch_reach_the_message(spark):
+    letters = settle.dead_letters(decided(spark, ["{broken", batch("ok", "a")], fails("ok", 6, False)))
+    found = [json.loads(bytes(r.value)) for r in settle.dead_letter_messages(letters).collect()]
+    kept = {r["failure_reason"]: r.get("raw_value") for r in found}
+    assert base64.b64decode(kept["unparseable_batch"]) == b"{broken"
+    assert kept["submit_exhausted"] is None

@@ -88,6 +88,38 @@ def test_settler_has_each_batch_once(spark, tmp_path):
     assert sorted(r.batch_id for r in found) == ["batch-p0_1_2", "batch-p0_9_9", "waits"]
 
 
+def test_settler_sees_tries_that_come_later(spark, tmp_path):
+    folder, tries = str(tmp_path / "out"), str(tmp_path / "tries")
+    spark.createDataFrame(fails("other", 1), TRIES).write.parquet(tries)
+    handle = settle.settler(folder, lambda: spark.read.schema(TRIES).parquet(tries), 3)
+    waits = log(spark, batch("waits", "w"))
+    handle(waits, 0)
+    handle(waits.limit(0), 1)
+    spark.createDataFrame(fails("waits", 0), TRIES).write.mode("append").parquet(tries)
+    handle(waits.limit(0), 2)
+    found = tables.read_table(spark, f"{folder}/ledger", settle.LEDGER_SCHEMA).collect()
+    assert [r.batch_id for r in found] == ["waits"]
+
+
+def test_a_missing_hand_over_stops_the_stream(spark, tmp_path):
+    some = normalized(spark, [(0, 0, 0, True)])
+    with pytest.raises(tables.MissingStep):
+        publish.publisher(str(tmp_path), Flush(5, 100), **SMALL)(some, 3)
+
+
+def test_a_folder_has_one_owner(spark, tmp_path):
+    context, folder = spark.sparkContext, str(tmp_path)
+    try:
+        for query in ("one", "one", None):
+            context.setLocalProperty("sql.streaming.queryId", query)
+            tables.claim(spark, folder)
+        context.setLocalProperty("sql.streaming.queryId", "two")
+        with pytest.raises(tables.ForeignFolder):
+            tables.claim(spark, folder)
+    finally:
+        context.setLocalProperty("sql.streaming.queryId", None)
+
+
 def test_memory_is_carried_over(spark, tmp_path):
     keys, folder = "abacabdbaeffaabbccdd", str(tmp_path)
     rows = [(0, i, k) for i, k in enumerate(keys)]
