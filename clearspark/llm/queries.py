@@ -118,3 +118,28 @@ def op10_suffix_tree(spark, folder):
     held = id_remainder(7) == 2
     model = suffix_tree.fit(docs.filter(~held))
     return suffix_tree.score(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"])
+
+
+ORACLES["op6_ngram_join"] = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+    FROM split),
+grams AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM grams a JOIN grams b ON a.t = b.t AND a.doc_id <> b.doc_id
+    GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached AS (
+    SELECT doc_id, doc_id AS root FROM sets
+    UNION
+    SELECT links.y, reached.root FROM reached JOIN links ON links.x = reached.doc_id)
+SELECT sets.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM sets JOIN reached USING (doc_id) GROUP BY sets.doc_id, g
+"""
