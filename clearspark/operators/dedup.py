@@ -64,13 +64,14 @@ def bounded_memory_verdicts(
     rows: DataFrame,
     key: str = "trade_id",
     capacity: int = 100_000,
-    shards: int = 1024,
+    shards: int = 1,
     chunk_bits: int = sequence.CHUNK_BITS,
 ) -> DataFrame:
     """(partition, offset, admitted) under a memory of the last `capacity` admitted keys.
 
-    The memory is split into `shards` independent ones of `capacity` keys each, by
-    key hash; one shard is the literal single memory, for small logs. A shard is replayed in log
+    One shard is one memory over the whole log, which only one task can replay. More
+    `shards` are independent memories of `capacity` keys each, by key hash: the work
+    spreads, and a key is remembered longer. A shard is replayed in log
     order by one task with state bounded by `capacity`. Copies that directly follow
     one another within a shard are settled before the replay, without Python: the
     later one is always a repeat. That leaves a hot key at most one row per other

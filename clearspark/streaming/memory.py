@@ -21,7 +21,7 @@ def remember(
     folder: str,
     key: str,
     capacity: int = 100_000,
-    shards: int = 1024,
+    shards: int = 1,
     chunk_bits: int = sequence.CHUNK_BITS,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` handler that writes the admitted rows of a log stream."""
