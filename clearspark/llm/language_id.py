@@ -183,8 +183,15 @@ def fit(
     out of the sample. Rows with null text or lang teach nothing. No labelled row: no
     language, and every text is rejected as unknown.
     """
-    labelled = rows.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), F.xxhash64(key, text).alias("_order"))
+    order = F.shiftrightunsigned(F.xxhash64(key, text), 1)
+    labelled = rows.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), order.alias("_order"))
     labelled = labelled.filter("_lang IS NOT NULL AND _text IS NOT NULL")
+    # Three times as many as wanted are below this share of the hashes, so few rows are ranked.
+    # The counts go through the driver, as the model does: one for each language.
+    counts = labelled.groupBy("_lang").count().collect()
+    most = [F.lit(x) for r in counts for x in (r["_lang"], 3.0 * (sample + held) * 2**63 / r["count"])]
+    if most:
+        labelled = labelled.filter(F.col("_order") < F.try_element_at(F.create_map(*most), F.col("_lang")))
     by = Window.partitionBy("_lang").orderBy("_order", "_text")
     ranked = labelled.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= sample + held)
     sizes = F.sum(F.length("_text")).over(by.rowsBetween(Window.unboundedPreceding, -1))
