@@ -89,16 +89,17 @@ def parsed(messages: DataFrame, conv: str, turn: str, role: str, text: str) -> D
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, id, level) of the first call of each id; no row for those that wait in a circle.
 
-    A call that waits for an id without a call does not wait for it.
+    A call that waits for an id without a call does not wait for it. Rows of a repeated
+    message are one call here; calls of one place that differ in `after` alone wait for all of it.
     """
-    nodes = calls.filter("copy = 0").select("conv", "id", "after")
+    nodes = calls.filter("copy = 0").select("conv", "id", "after").distinct()
     waits = nodes.select("conv", "id", F.explode("after").alias("dep")).distinct()
-    known = nodes.select(F.col("conv").alias("_c"), F.col("id").alias("dep"))
+    known = nodes.select(F.col("conv").alias("_c"), F.col("id").alias("dep")).distinct()
     waits = waits.join(known, F.col("conv").eqNullSafe(F.col("_c")) & (waits["dep"] == known["dep"])).select("conv", "id", waits["dep"])
     waits = landed(waits, "waits")
     waiting = waits.select("conv", "id").distinct()
     same = lambda a, b: a["conv"].eqNullSafe(b["conv"]) & (a["id"] == b["id"])
-    free, rest = nodes.select("conv", "id"), waiting
+    free, rest = nodes.select("conv", "id").distinct(), waiting
     done = landed(free.join(rest, same(free, rest), "left_anti").withColumn("level", F.lit(0)), "levels")
     out, left = done, waits
     while True:

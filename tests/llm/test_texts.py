@@ -178,6 +178,18 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert tool_calls.link(table.filter("false"), tool_messages.SCHEMAS).count() == 0
 
 
+def test_a_message_given_three_times_gives_its_calls_three_times(spark):
+    rows = [message("a", 1, call("x"), call("y", after=["x"])), message("a", 2, to="x", content="1"), message(None, 1, call("x"), call("v"))]
+    other = message("a", 1, call("x", after=["y"]))
+    table = lambda rows: spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    found = Counter((r.conv, r.id, r.level, r.status) for r in tool_calls.link(table(rows * 3), tool_messages.SCHEMAS).collect())
+    assert found == {
+        ("a", "x", 0, "ok"): 3, ("a", "y", 1, "unanswered"): 3, (None, "x", 0, "unanswered"): 3, (None, "v", 0, "unanswered"): 3,
+    }
+    found = Counter((r.conv, r.id, r.status) for r in tool_calls.link(table([*rows[:1], other, other]), tool_messages.SCHEMAS).collect())
+    assert found == {("a", "x", "circular"): 3, ("a", "y", "circular"): 1}
+
+
 def test_levels_of_a_table_of_conversations(spark):
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     messages = tool_messages.tool_messages(turns)
