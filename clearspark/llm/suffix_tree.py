@@ -4,12 +4,14 @@ The tree predicts a word's bytes and its end from the longest state that is a su
 what precedes them in the word, up to `DEPTH` bytes and with the word's beginning as one.
 A context becomes a state when its next bytes diverge from those of its own suffix by more
 than their number and weight explain; distributions are smoothed with the suffix's. All
-counts are gathered over all training texts, distributed and pre-aggregated. What is sent
-to the tasks is bounded: the `most` most divergent contexts with their suffixes, and the counts of at most
-`frequent` words; the counts of all other words are joined.
+counts are gathered over all training texts, distributed and pre-aggregated. The tree is a
+table of all states; the scores of the distinct bytes with their contexts are joined from
+it. What is sent to the tasks only saves joins and is bounded: the scores of at most
+`frequent` of these and the counts of at most `frequent` words; all others are joined.
 """
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -19,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from clearspark.llm.backoff import Backoff, WordScores, find, framed
-from clearspark.llm.bytewords import sliced
-from clearspark.llm.pretokens import hashed_rows, slices
+from clearspark.llm.backoff import Backoff, find
+from clearspark.llm.bytewords import ByteWords, sliced
+from clearspark.llm.pretokens import hashed_rows
 from clearspark.session import landed
 
 DEPTH = 6
@@ -33,15 +35,21 @@ SYMBOLS = 257
 
 @dataclass
 class Model:
-    """Counts of all training tokens (a table), their sums, and the tree."""
+    """Counts of all training tokens (a table), their sums, and the next bytes of the tree's states (a table)."""
 
     counts: DataFrame
     tokens: int
     distinct: int
     texts: int
-    tree: Backoff
+    edges: DataFrame
     common: tuple[np.ndarray, np.ndarray]
     common_from: int
+    frequent: int
+
+    @cached_property
+    def tree(self) -> Backoff:
+        """The whole tree in memory, to look into a small one; `score` does not use it."""
+        return tree(self.edges.toPandas())
 
 
 def word_counts(texts: DataFrame, text: str) -> DataFrame:
@@ -77,52 +85,63 @@ def bounded_from(rows: DataFrame, measure: Column, most: int) -> float:
     return float("inf") if least is None else 2.0 ** (least / 8)
 
 
-def long_contexts(counts: DataFrame) -> DataFrame:
-    """(gram, n): the longest context of each predicted byte and the byte itself, packed; their weight."""
+def long_contexts(texts: DataFrame, text: str) -> DataFrame:
+    """(gram, n): each predicted byte with the DEPTH bytes before it, packed, and how often the texts have it."""
 
     def cut(batches):
         for batch in batches:
-            for packed, weights in _parts(batch):
-                grams, which = np.unique(packed, return_inverse=True)
-                n = np.bincount(which, weights, len(grams)).astype(np.int64)
+            for _, _, words in sliced(batch.column(0)):
+                grams, n = np.unique(packed(words)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
-    rows = counts.filter(F.length("word") > 0).select("word", "n").mapInArrow(cut, "gram bigint, n bigint")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
-
+    content = texts.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    return content.mapInArrow(cut, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
-def _parts(batch: pa.RecordBatch):
-    """Packed contexts of the words of a table of counts, and the counts, by stretches of bounded size."""
-    words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-    for a, b in slices([len(w) for w in words], 1 << 19):
-        arrays = [np.frombuffer(w, np.uint8) for w in words[a:b]]
-        symbols, places, within = framed(arrays, EDGE)
-        yield _packed(symbols, places, within), np.repeat(n[a:b], [len(w) + 1 for w in arrays])
 
+def packed(words: ByteWords) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's bytes and its end with the DEPTH bytes before each, 8 bits a byte, the last one lowest; the first of each text.
 
-def _packed(symbols: np.ndarray, places: np.ndarray, within: np.ndarray) -> np.ndarray:
-    """The byte at each place and up to DEPTH before it in its word: 8 bits each, their number above."""
-    out = symbols[places].astype(np.uint64)
-    size = np.minimum(within, DEPTH)
+    Edges fill what a word's beginning leaves of the DEPTH bytes.
+    """
+    sizes = words.ends - words.starts
+    before = np.full(len(sizes), DEPTH)
+    starts = np.cumsum(before + sizes + 1) - sizes - 1
+    total = int((before + sizes + 1).sum())
+    symbols = np.full(total, EDGE, np.uint64)
+    inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    symbols[np.repeat(starts, sizes) + inner] = words.symbols[np.repeat(words.starts, sizes) + inner]
+    predicted = np.ones(total, bool)
     for k in range(1, DEPTH + 1):
-        has = size >= k
-        out[has] |= symbols[places[has] - k].astype(np.uint64) << np.uint64(8 * k)
-    return out | (size.astype(np.uint64) << np.uint64(56))
+        predicted[(starts - k)[before >= k]] = False
+    places = np.flatnonzero(predicted)
+    out = symbols[places]
+    for k in range(1, DEPTH + 1):
+        out |= symbols[places - k] << np.uint64(8 * k)
+    ends = np.append(0, np.cumsum(sizes + 1))
+    return out, ends[words.firsts]
+
 
+def shorter(size: Column | str, context: Column) -> Column:
+    """The last `size` bytes of a packed context."""
+    return context.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.lit(8) * F.col(size)).cast("int")) - 1)
 
-def states(grams: DataFrame, most: int) -> DataFrame:
-    """(size, context, byte, n): next bytes of the contexts that the divergence test keeps, suffix-closed."""
-    size, body = F.shiftrightunsigned("gram", 56), F.col("gram").bitwiseAND((1 << 56) - 1)
-    mask = F.expr("shiftleft(1L, int(8 * size)) - 1L")
-    each = grams.select(F.explode(F.sequence(F.lit(0), size.cast("int"))).alias("size"), body.alias("body"), "n")
+
+def contexts(grams: DataFrame) -> DataFrame:
+    """(size, context, byte, n): the byte of each gram after each suffix of its context."""
+    each = grams.select(F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("size"), "gram", "n")
     each = each.select(
-        "size", F.shiftright("body", 8).bitwiseAND(mask).alias("context"), F.col("body").bitwiseAND(255).cast("int").alias("byte"), "n"
+        "size", shorter("size", F.shiftright("gram", 8)).alias("context"), F.col("gram").bitwiseAND(255).cast("int").alias("byte"), "n"
     )
-    edges = landed(each.groupBy("size", "context", "byte").agg(F.sum("n").alias("n")), "edges")
+    return each.groupBy("size", "context", "byte").agg(F.sum("n").alias("n"))
+
+
+def states(grams: DataFrame) -> DataFrame:
+    """(size, context, byte, n): next bytes of all contexts that pass the divergence test, suffix-closed."""
+    edges = landed(contexts(grams), "edges")
     nodes = edges.groupBy("size", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     weighty = edges.join(nodes.filter(F.col("total") >= WEIGHT), ["size", "context"])
-    shorter = F.expr("context & (shiftleft(1L, int(8 * (size - 1))) - 1L)")
-    child = weighty.filter("size > 0").select("size", "context", "byte", "n", "total", "kinds", shorter.alias("suffix"))
+    suffix = shorter("_up", F.col("context"))
+    child = weighty.filter("size > 0").withColumn("_up", F.col("size") - 1).select("size", "context", "byte", "n", "total", "kinds", suffix.alias("suffix"))
     parent = weighty.select(
         (F.col("size") + 1).alias("size"), F.col("context").alias("suffix"), "byte", F.col("n").alias("up_n"), F.col("total").alias("up_total")
     )
@@ -130,15 +149,38 @@ def states(grams: DataFrame, most: int) -> DataFrame:
     tested = child.join(parent, ["size", "suffix", "byte"]).groupBy("size", "context").agg(
         F.sum(gain).alias("gain"), F.first("kinds").alias("kinds"), F.first("total").alias("total")
     )
-    passed = landed(tested.filter(F.col("gain") > F.lit(0.5) * F.col("kinds") * F.log("total")), "states")
-    least = bounded_from(passed, F.col("gain"), most // DEPTH)
-    kept = passed.filter(F.col("gain") >= least)
-    closed = kept.select(F.explode(F.sequence(F.lit(0), "size")).alias("size"), F.col("context").alias("long"))
-    closed = closed.select("size", F.col("long").bitwiseAND(mask).alias("context")).distinct()
+    passed = tested.filter(F.col("gain") > F.lit(0.5) * F.col("kinds") * F.log("total"))
+    closed = passed.select(F.explode(F.sequence(F.lit(0), "size")).alias("size"), F.col("context").alias("long"))
+    closed = closed.select("size", shorter("size", F.col("long")).alias("context")).distinct()
     root = edges.filter("size = 0")
     return edges.filter("size > 0").join(closed.filter("size > 0"), ["size", "context"]).unionByName(root)
 
 
+def chances(grams: DataFrame, edges: DataFrame) -> DataFrame:
+    """(gram, log): the log10 probability of each gram's byte after its context.
+
+    From the empty context up, a state smooths its counts with its suffix's probability and
+    any other context has its suffix's. A byte and context meet at most one row of each table
+    and at most 256 longer contexts, so no key of these joins is hot.
+    """
+    own = F.map_from_entries(F.collect_list(F.struct("byte", "n")))
+    nodes = edges.groupBy("size", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), own.alias("ns"))
+    asked = contexts(grams).drop("n").join(nodes, ["size", "context"], "left")
+    asked = landed(asked.withColumn("n", F.coalesce(F.try_element_at("ns", F.col("byte")), F.lit(0))).drop("ns"), "asked")
+    lower = None
+    for k in range(DEPTH + 1):
+        rows = asked.filter(F.col("size") == k)
+        if lower is None:
+            rows = rows.withColumn("lower", F.lit(1 / SYMBOLS))
+        else:
+            rows = rows.withColumn("_up", F.col("size") - 1).withColumn("suffix", shorter("_up", F.col("context")))
+            rows = rows.join(lower, ["suffix", "byte"])
+        smoothed = (F.col("n") + F.col("kinds") * F.col("lower")) / (F.col("total") + F.col("kinds"))
+        lower = rows.select(F.col("context").alias("suffix"), "byte", F.coalesce(smoothed, "lower").alias("lower"))
+    gram = F.shiftleft("suffix", 8).bitwiseOR(F.col("byte").cast("bigint"))
+    return lower.select(gram.alias("gram"), F.log10("lower").alias("log"))
+
+
 def tree(edges: pd.DataFrame) -> Backoff:
     """Smoothed log probabilities of the states' next bytes, in sorted hash arrays."""
     size, context = edges["size"].to_numpy(np.int64), edges["context"].to_numpy(np.int64).astype(np.uint64)
@@ -171,7 +213,7 @@ def tree(edges: pd.DataFrame) -> Backoff:
     return Backoff(DEPTH + 1, grams[order], logs, listed, weights, np.array([-np.log10(SYMBOLS)]))
 
 
-def fit(texts: DataFrame, text: str = "text", most: int = 150_000, frequent: int = 1 << 19) -> Model:
+def fit(texts: DataFrame, text: str = "text", frequent: int = 1 << 19) -> Model:
     """The model of all rows' whole texts; null texts are empty ones. No rows: no counts, every byte alike."""
     counts = landed(word_counts(texts, text), "word-counts")
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.length("word") == 0, F.col("n"))).alias("t")).first()
@@ -179,9 +221,9 @@ def fit(texts: DataFrame, text: str = "text", most: int = 150_000, frequent: int
     own = counts.filter((F.col("n") >= least) & (F.length("word") > 0)).select("h", "n").toPandas()
     h, n = own["h"].to_numpy(np.int64).view(np.uint64), own["n"].to_numpy(np.int64)
     order = np.argsort(h)
-    grams = landed(long_contexts(counts), "long-contexts")
-    edges = states(grams, most).toPandas()
-    return Model(counts, sums["n"] or 0, sums["v"] or 0, sums["t"] or 0, tree(edges), (h[order], n[order]), least)
+    grams = landed(long_contexts(texts, text), "long-contexts")
+    edges = landed(states(grams), "states")
+    return Model(counts, sums["n"] or 0, sums["v"] or 0, sums["t"] or 0, edges, (h[order], n[order]), least, frequent)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
@@ -192,63 +234,78 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     probability of the text, whose end comes after a word with the training share of ends.
     Null and empty texts are an end alone. Rows stay as they are, repeated ones too.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.tree, model.common))
+    content = F.coalesce(F.col(text), F.lit(""))
+    grams = landed(long_contexts(docs.select(content.alias("_text")), "_text"), "long-contexts")
+    logs = landed(grams.join(chances(grams, model.edges), "gram"), "chances")
+    often = bounded_from(logs, F.col("n"), model.frequent)
+    own = logs.filter(F.col("n") >= often).select("gram", "log").toPandas().sort_values("gram")
+    best = own["gram"].to_numpy(np.int64).view(np.uint64), own["log"].to_numpy(np.float64)
+    sent = docs.sparkSession.sparkContext.broadcast((best, model.common))
     below = np.log10(model.tokens + model.distinct + 1)
     ends = (model.texts + 1) / (model.tokens + 2)
     stop, go = np.log10(ends), np.log10(1 - ends) if ends < 1 else -np.inf
     end_count, kept = model.texts, len(keep)
 
     def scored(batches):
-        own, (common, counts) = sent.value
-        cache = WordScores(own, EDGE)
+        (often_grams, often_logs), (common, counts) = sent.value
         serial = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = batch.num_rows
             tokens, known = np.ones(rows, np.int64), np.full(rows, int(end_count > 0), np.int64)
             base, value = np.full(rows, np.log10(end_count + 1) - below), np.full(rows, stop)
             rare: list[np.ndarray] = [np.zeros(0, np.int64)] * rows
+            unlisted: list[np.ndarray] = [np.zeros(0, np.int64)] * rows
             for a, b, words in sliced(batch.column(kept)):
                 at = find(common, words.hashes)
                 listed = at >= 0
                 shares = np.where(listed, np.log10(counts[at] + 1.0) - below, 0.0) if len(counts) else np.zeros(len(at))
-                logs = cache.of(words.hashes, words.symbols, words.starts, words.ends)[:, 0].astype(float) + go
+                spelled, starts = packed(words)
+                spot = find(often_grams, spelled)
+                logs = np.where(spot >= 0, often_logs[spot], 0.0) if len(often_logs) else np.zeros(len(spot))
                 tokens[a:b] += np.diff(words.firsts)
-                for sums, part in ((known, listed), (base, shares), (value, logs)):
-                    sums[a:b] += _sums(part, words.firsts)
-                others = np.flatnonzero(~listed)
-                edges = np.searchsorted(others, words.firsts)
-                left = words.hashes[others].view(np.int64)
-                for k in range(b - a):
-                    rare[a + k] = left[edges[k] : edges[k + 1]]
-            sizes = np.append(0, np.cumsum([len(r) for r in rare])).astype(np.int32)
-            flat = pa.array(np.concatenate(rare) if rows else np.zeros(0, np.int64))
+                value[a:b] += np.diff(words.firsts) * go
+                for sums, part, firsts in ((known, listed, words.firsts), (base, shares, words.firsts), (value, logs, starts)):
+                    sums[a:b] += _sums(part, firsts)
+                for lists, left, missed, firsts in ((rare, words.hashes, ~listed, words.firsts), (unlisted, spelled, spot < 0, starts)):
+                    others = np.flatnonzero(missed)
+                    edges = np.searchsorted(others, firsts)
+                    left = left[others].view(np.int64)
+                    for k in range(b - a):
+                        lists[a + k] = left[edges[k] : edges[k + 1]]
             columns = [pa.array(np.arange(serial, serial + rows)), pa.array(tokens), pa.array(known), pa.array(base), pa.array(value)]
             serial += rows
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:kept], *columns, pa.ListArray.from_arrays(pa.array(sizes), flat)], names=[*keep, *names]
+                [*batch.columns[:kept], *columns, _lists(rare), _lists(unlisted)], names=[*keep, *names]
             )
 
-    names = ["serial", "n_tokens", "known", "base", "score", "rare"]
+    names = ["serial", "n_tokens", "known", "base", "score", "rare", "unlisted"]
     schema = docs.select(*keep).schema
-    for name, kind in zip(names, ("long", "long", "long", "double", "double", ArrayType(LongType())), strict=True):
+    for name, kind in zip(names, ("long", "long", "long", "double", "double", ArrayType(LongType()), ArrayType(LongType())), strict=True):
         schema = schema.add(name, kind)
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = docs.select(*keep, content.alias("_text"))
     rows = landed(rows.mapInArrow(scored, schema), "scored")
     rest = rows.select("serial", F.explode("rare").alias("h"))
     uncommon = model.counts.filter((F.col("n") < model.common_from) & (F.length("word") > 0)).select("h", F.col("n").alias("c"))
     share = F.log10(F.coalesce(F.col("c"), F.lit(0)) + 1) - F.lit(float(below))
     added = rest.join(uncommon, "h", "left").groupBy("serial").agg(F.count("c").alias("_known"), F.sum(share).alias("_base"))
-    total = rows.drop("rare").join(added, "serial", "left")
+    others = rows.select("serial", F.explode("unlisted").alias("gram")).join(logs.filter(F.col("n") < often).select("gram", "log"), "gram")
+    others = others.groupBy("serial").agg(F.sum("log").alias("_score"))
+    total = rows.drop("rare", "unlisted").join(added, "serial", "left").join(others, "serial", "left")
     return total.select(
         *keep,
         "n_tokens",
         (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(int(model.tokens)).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
     )
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    sizes = np.append(0, np.cumsum([len(r) for r in parts])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+
+
 def _sums(part: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Sums of the stretches between neighbouring `firsts`."""
     total = np.zeros(len(part) + 1, np.int64 if part.dtype == bool else np.float64)

@@ -108,6 +108,40 @@ def test_tree_knows_the_language_better_than_chance(spark):
     assert a > b + 0.2
 
 
+def plain_states(texts):
+    """The suffix-closed contexts that pass the divergence test, over texts of one word."""
+    nexts = {}
+    for text, n in Counter(texts).items():
+        padded = b" " * 6 + text.encode() + b" "
+        for i in range(6, len(padded)):
+            for k in range(7):
+                nexts.setdefault(padded[i - k : i], Counter())[padded[i]] += n
+    total = {c: sum(own.values()) for c, own in nexts.items()}
+    kept = {b""}
+    for c, own in nexts.items():
+        if c and total[c] >= suffix_tree.WEIGHT:
+            gain = sum(n * math.log((n / total[c]) / (nexts[c[1:]][b] / total[c[1:]])) for b, n in own.items())
+            if gain > 0.5 * len(own) * math.log(total[c]):
+                kept |= {c[i:] for i in range(len(c))}
+    return kept
+
+
+def test_all_contexts_that_pass_are_kept_and_scored(spark):
+    rng = np.random.default_rng(4)
+    listed = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (30_000, 6))]
+    docs = spark.createDataFrame([(w,) for w in listed], "text string").crossJoin(spark.range(14).select("id"))
+    expected = plain_states(listed * 14)
+    assert len(expected) > 150_000 / suffix_tree.DEPTH
+    for frequent in (1 << 19, 1000):
+        model = suffix_tree.fit(docs, frequent=frequent)
+        assert len(model.tree.contexts) == len(expected)
+        found = suffix_tree.score(docs.filter("id = 0").limit(2000), model, ["text"]).collect()
+        assert len(found) == 2000
+        ends = (14 * len(listed) + 1) / (28 * len(listed) + 2)
+        whole = model.tree.words([np.frombuffer(r.text.encode(), np.uint8) for r in found], 32)[:, 0] + math.log10(ends * (1 - ends))
+        assert np.allclose([r.score for r in found], whole, atol=1e-4)
+
+
 def test_scores_without_training_rows(spark):
     model = suffix_tree.fit(empty_table(spark))
     found = suffix_tree.score(odd_table(spark), model, keep=["doc_id"]).collect()
