@@ -1,7 +1,8 @@
 """Language model scores by a probabilistic suffix tree.
 
 The tree predicts a word's bytes and its end from the longest state that is a suffix of
-what precedes them in the word, up to `DEPTH` bytes and with the word's beginning as one.
+what precedes them in the text, up to `DEPTH` bytes across the words before, which one edge
+parts, and with `DEPTH` edges as the text's beginning.
 A context becomes a state when its next bytes diverge from those of its own suffix by more
 than their number and weight explain; distributions are smoothed with the suffix's. All
 counts are gathered over all training texts, distributed and pre-aggregated. The tree is a
@@ -101,10 +102,11 @@ def long_contexts(texts: DataFrame, text: str) -> DataFrame:
 def packed(words: ByteWords) -> tuple[np.ndarray, np.ndarray]:
     """Each word's bytes and its end with the DEPTH bytes before each, 8 bits a byte, the last one lowest; the first of each text.
 
-    Edges fill what a word's beginning leaves of the DEPTH bytes.
+    The bytes before run over the words before, one edge after each; edges fill what a text's beginning leaves.
     """
     sizes = words.ends - words.starts
-    before = np.full(len(sizes), DEPTH)
+    before = np.zeros(len(sizes), np.int64)
+    before[words.firsts[:-1][np.diff(words.firsts) > 0]] = DEPTH
     starts = np.cumsum(before + sizes + 1) - sizes - 1
     total = int((before + sizes + 1).sum())
     symbols = np.full(total, EDGE, np.uint64)

@@ -142,6 +142,24 @@ def test_all_contexts_that_pass_are_kept_and_scored(spark):
         assert np.allclose([r.score for r in found], whole, atol=1e-4)
 
 
+def test_shuffled_words_score_lower(spark):
+    rng = np.random.default_rng(1)
+    follows = {"red": "ox", "ox": "sees", "sees": "old", "old": "mill", "mill": "by", "by": "red"}
+    texts, word = [], "red"
+    for _ in range(300):
+        own = []
+        for _ in range(20):
+            own.append(word)
+            word = follows[word] if rng.random() < 0.9 else rng.choice(list(follows))
+        texts.append(" ".join(own))
+    model = suffix_tree.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    pairs = [(i, t) for k, text in enumerate(texts[:20]) for i, t in ((2 * k, text), (2 * k + 1, " ".join(rng.permutation(text.split()))))]
+    for spaced in (" ", " \n"):
+        rows = [(i, t.replace(" ", spaced)) for i, t in pairs]
+        found = dict((r.doc_id, r.score) for r in suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), model, ["doc_id"]).collect())
+        assert all(found[2 * k] > found[2 * k + 1] + 1 for k in range(20))
+
+
 def test_scores_without_training_rows(spark):
     model = suffix_tree.fit(empty_table(spark))
     found = suffix_tree.score(odd_table(spark), model, keep=["doc_id"]).collect()
