@@ -76,6 +76,20 @@ def test_terms_that_reveal_an_entity(spark):
     assert "Contact <TERM> at <EMAIL> for the rest" in masked[0] and "Marwenna" not in "".join(masked.values())
 
 
+def test_terms_are_found_and_masked_wherever_they_stand(spark):
+    far = "of the and " * 30
+    rows = [f"Quillon {prose(i, 9)} {far} write to q.x@mail.org {far} so Quillon said quillon@host.org" for i in range(3)]
+    rows += ["Here is Quillon alone"] + [f"the rest of {prose(100 + i, 50)} and so to write" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r for r in personal_data.find(docs, ["doc_id"]).collect()}
+    for i, text in enumerate(rows):
+        terms = [(int(a), text[int(a) : int(b)]) for k, a, b in (s.split(":") for s in found[i].spans.split(",") if s) if k == "term"]
+        assert [a for a, t in terms if t == "Quillon"] == [m.start() for m in re.finditer("Quillon", text)]
+        assert not {"write", "the", "quillon", "host"} & {t for _, t in terms}
+    masked = {r.doc_id: r.text for r in personal_data.sanitise(docs).collect()}
+    assert masked[3] == "Here is <TERM> alone" and "Quillon" not in "".join(masked.values()) and len(masked) == len(rows)
+
+
 def test_sanitised_odd_rows(spark):
     docs = odd_table(spark)
     found = personal_data.sanitise(docs)
