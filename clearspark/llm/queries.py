@@ -5,7 +5,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearspark.llm import decontamination, kmeans_tree, language_id, ngram_join, packing, personal_data, suffix_tree, token_counts, token_files, tool_calls, tool_messages
+from clearspark.llm import (
+    collocations,
+    decontamination,
+    kmeans_tree,
+    language_id,
+    main_text,
+    ngram_join,
+    packing,
+    periodic_runs,
+    personal_data,
+    suffix_tree,
+    token_counts,
+    token_files,
+    tool_calls,
+    tool_messages,
+)
 from clearspark.llm.tokenizer_files import vocabulary
 from clearspark.session import fresh_folder, landed
 
@@ -120,6 +135,52 @@ def op10_suffix_tree(spark, folder):
     return suffix_tree.score(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"])
 
 
+@query
+def op11_collocations(spark, folder):
+    """Each language's first 2000 phrases by how much more often their parts meet than they stand apart."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op12_main_text(spark, folder):
+    """The main text of each page."""
+    pages = table(spark, folder, "pages")
+    return main_text.extract(pages, main_text.fit(pages), keep=["page_id", "url"])
+
+
+def repeating(doc_id, text):
+    """Where h = crc32(doc_id) is a multiple of 10, the words from a = h//10 % n on repeat their first p ones; a null id's text stays."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))
+    repeated = F.array_join(F.transform(place, lambda i: F.get(words, i)), " ")
+    return F.when((h % 10 == 0) & F.coalesce(n > 0, F.lit(False)), repeated).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    """The runs of each document's words, the longest one, and the text that they collapse to."""
+    docs = table(spark, folder, "documents")
+    docs = docs.select("doc_id", repeating(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find(docs, keep=["doc_id"])
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = F.array_max(ranked)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 ORACLES["op6_ngram_join"] = r"""
 WITH RECURSIVE split AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
@@ -143,3 +204,37 @@ reached AS (
 SELECT sets.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(root) AS component_id
 FROM sets JOIN reached USING (doc_id) GROUP BY sets.doc_id, g
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+    SELECT lang, 1 AS s, unnest(w) AS g FROM words
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words),
+counts AS MATERIALIZED (SELECT lang, s, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cuts AS MATERIALIZED (
+    SELECT lang, g, f AS a, k, array_to_string(string_split(g, ' ')[1:k], ' ') AS front, array_to_string(string_split(g, ' ')[k + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, s)) AS k FROM counts WHERE s > 1)),
+scored AS (
+    SELECT cuts.*, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.g = front JOIN counts y ON y.lang = cuts.lang AND y.g = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+within AS (
+    SELECT lang, part, max(f) AS longer
+    FROM (SELECT lang, f, string_split(g, ' ') AS w, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM counts WHERE s = 3)
+    GROUP BY ALL),
+kept AS (
+    SELECT best.lang, g AS phrase, a, l, r, score
+    FROM best LEFT JOIN within ON within.lang = best.lang AND part = g
+    WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
