@@ -150,14 +150,20 @@ def op12_main_text(spark, folder):
 
 def repeating(doc_id, text):
     """Where h = crc32(doc_id) is a multiple of 10, the words from a = h//10 % n on repeat their first p ones; a null id's text stays."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     h = F.crc32(doc_id.cast("string").cast("binary"))
-    g, n = F.floor(h / 10), F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))
-    repeated = F.array_join(F.transform(place, lambda i: F.get(words, i)), " ")
-    return F.when((h % 10 == 0) & F.coalesce(n > 0, F.lit(False)), repeated).otherwise(text)
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        # Bound once a row, as are the words: lambdas evaluate what they close over for each item.
+        return F.get(F.transform(F.array(F.struct(a.alias("a"), p.alias("p"))), lambda own: F.array_join(F.transform(words, lambda word, i: F.when(
+            i >= own["a"], F.get(words, (own["a"] + (i - own["a"]) % own["p"]).cast("int"))).otherwise(word)), " ")), 0)
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    altered = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise("")), 0)
+    return F.when((h % 10 == 0) & text.isNotNull(), altered).otherwise(text)
 
 
 @query
