@@ -1,9 +1,11 @@
 """Phrases whose words stand together more often than apart, mined in two passes.
 
 The first pass counts fingerprints of all phrases into Misra-Gries summaries, one for each
-hash partition. Tasks send partial counts; a partition merges them and keeps fewer than
-its mass divided by the threshold, plus one, which no phrase at the threshold falls out of.
-The second pass counts the phrases that survive exactly.
+hash partition. Tasks send partial counts; a partition merges them into a summary of a
+capacity above its mass divided by the threshold, out of which no phrase at the threshold
+falls. What a summary counts is short of the truth by at most what it took off, so whatever
+cannot reach the threshold even with that goes too. The second pass counts the phrases that
+survive exactly.
 """
 
 import math
@@ -26,9 +28,9 @@ _LOWER[65:91] += 32
 #: Words of a phrase at most.
 LONGEST = 3
 #: Bytes handled as one array, and fingerprints gathered before a task sends their counts.
-SLICE, GATHERED = 1 << 21, 1 << 22
-#: Occurrences that one hash partition is laid out for, and the most partitions.
-MASS, PARTITIONS = 1 << 23, 1 << 16
+SLICE, GATHERED = 1 << 19, 1 << 21
+#: Occurrences that one hash partition is laid out for, the most partitions, and what a summary keeps at least.
+MASS, PARTITIONS, CAPACITY = 1 << 21, 1 << 16, 1 << 19
 #: Bits of the filter of survivors: for each of them, and at most in all. It only saves work.
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Copies of a part's count, so that the phrases of a frequent word spread over as many tasks.
@@ -63,16 +65,17 @@ class Grams:
             self.firsts.append(at)
             self.keys.append(mixed(total))
 
-    def spelled(self, size: int, at: list[int]) -> list[bytes]:
+    def spelled(self, size: int, at: np.ndarray) -> list[bytes]:
         """The phrases of `size` words from each of the words `at` on, joined by one space."""
-        data, out = self.symbols.tobytes(), []
-        starts, ends = self.starts.tolist(), self.ends.tolist()
-        for i in at:
-            if self.tight[i : i + size - 1].all():
-                out.append(data[starts[i] : ends[i + size - 1]])
-            else:
-                out.append(b" ".join(data[starts[k] : ends[k]] for k in range(i, i + size)))
-        return out
+        data = self.symbols.tobytes()
+        tight = np.ones(len(at), bool)
+        for k in range(size - 1):
+            tight &= self.tight[at + k]
+        spans = zip(tight.tolist(), self.starts[at].tolist(), self.ends[at + size - 1].tolist(), at.tolist(), strict=True)
+        return [
+            data[a:b] if whole else b" ".join(data[x:y] for x, y in zip(self.starts[i : i + size].tolist(), self.ends[i : i + size].tolist(), strict=True))
+            for whole, a, b, i in spans
+        ]
 
 
 def grams(batches):
@@ -98,15 +101,15 @@ def _seeds(listed: list[str]) -> np.ndarray:
     return mixed(hashed(np.frombuffer(b"".join(spelled), np.uint8), starts, ends))
 
 
-def merged(keys: list[np.ndarray], counts: list[np.ndarray], capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The Misra-Gries summary of all of them: at most `capacity` keys, each count short of the truth by the same at most."""
+def merged(keys: list[np.ndarray], counts: list[np.ndarray], capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The Misra-Gries summary of all of them: at most `capacity` keys with their counts, and what was taken off each."""
     unique, which = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(which, np.concatenate(counts), len(unique)).astype(np.int64)
-    if len(unique) > capacity:
-        least = np.partition(total, len(total) - capacity - 1)[len(total) - capacity - 1]
-        stays = total > least
-        unique, total = unique[stays], total[stays] - least
-    return unique, total
+    if len(unique) <= capacity:
+        return unique, total, 0
+    off = int(np.partition(total, len(total) - capacity - 1)[len(total) - capacity - 1])
+    stays = total > off
+    return unique[stays], total[stays] - off, off
 
 
 def survivors(rows: DataFrame, partitions: int, threshold: int) -> DataFrame:
@@ -144,16 +147,17 @@ def survivors(rows: DataFrame, partitions: int, threshold: int) -> DataFrame:
 
     def summed(sent: pd.DataFrame) -> pd.DataFrame:
         mass = sum(int(np.frombuffer(c, np.uint8).sum(dtype=np.int64)) for c in sent["counts"])
-        capacity = mass // threshold + 1
+        capacity = max(CAPACITY, mass // threshold + 1)
         keys, counts = [], []
-        size = 0
+        size = off = 0
         for k, c in zip(sent["keys"], sent["counts"], strict=True):
             keys.append(np.frombuffer(k, "<u4")), counts.append(np.frombuffer(c, np.uint8).astype(np.int64))
             size += len(keys[-1])
             if size > 2 * capacity:
-                own, total = merged(keys, counts, capacity)
-                keys, counts, size = [own], [total], len(own)
-        own, _ = merged(keys, counts, capacity)
+                own, total, less = merged(keys, counts, capacity)
+                keys, counts, size, off = [own], [total], len(own), off + less
+        own, total, less = merged(keys, counts, capacity)
+        own = own[total + off + less >= threshold]
         return pd.DataFrame({"part": [int(sent["part"].iloc[0])], "n": [len(own)], "keys": [own.astype("<u4").tobytes()]})
 
     sent_rows = rows.mapInArrow(counted, "part bigint, keys binary, counts binary")
@@ -195,27 +199,48 @@ def exact_counts(rows: DataFrame, filled: np.ndarray) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(filled)
 
     def counted(batches):
-        bits = sent.value
+        bits, gathered, size = sent.value, [], 0
         for listed, codes, part in grams(batches):
             n = np.bincount(codes[part.texts], minlength=len(listed))
-            langs, sizes, phrases, counts = [], [], [], []
-            for code in np.flatnonzero(n).tolist():
-                langs.append(listed[code]), sizes.append(0), phrases.append(b""), counts.append(int(n[code]))
-            for size, (at, keys) in enumerate(zip(part.firsts, part.keys, strict=True), 1):
+            own = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for at, keys in zip(part.firsts, part.keys, strict=True):
                 places = (keys >> shift).astype(np.int64) if partitions > 1 else np.zeros(len(keys), np.int64)
                 stays = np.ones(len(keys), bool)
                 for probe in probes(keys & np.uint64(0xFFFFFFFF), each):
                     stays &= (bits[places, probe >> 3] >> (7 - (probe & 7)).astype(np.uint8)) & 1 == 1
                 unique, first, times = np.unique(keys[stays], return_index=True, return_counts=True)
-                words = at[stays][first]
-                langs += [listed[c] for c in codes[part.texts[words]].tolist()]
-                sizes += [size] * len(unique)
-                phrases += part.spelled(size, words.tolist())
-                counts += times.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())],
-                names=["lang", "size", "phrase", "n"],
-            )
+                own.append((unique, at[stays][first], times))
+                size += len(keys)
+            gathered.append((listed, codes, part, n, own))
+            if size >= GATHERED:
+                yield summed(gathered)
+                gathered, size = [], 0
+        if gathered:
+            yield summed(gathered)
+
+    def summed(gathered):
+        langs, sizes, phrases, counts = [], [], [], []
+        for listed, _, _, n, _ in gathered:
+            for code in np.flatnonzero(n).tolist():
+                langs.append(listed[code]), sizes.append(0), phrases.append(b""), counts.append(int(n[code]))
+        for words in range(1, LONGEST + 1):
+            found = [own[words] for *_, own in gathered]
+            edges = np.cumsum([0, *(len(keys) for keys, _, _ in found)])
+            unique, first, which = np.unique(np.concatenate([f[0] for f in found]), return_index=True, return_inverse=True)
+            total = np.bincount(which, np.concatenate([f[2] for f in found]), len(unique)).astype(np.int64)
+            # Spelled by the slice that has a phrase first.
+            source = np.searchsorted(edges, first, "right") - 1
+            for k, (listed, codes, part, _, _) in enumerate(gathered):
+                mine = np.flatnonzero(source == k)
+                at = found[k][1][first[mine] - edges[k]]
+                langs += [listed[c] for c in codes[part.texts[at]].tolist()]
+                sizes += [words] * len(mine)
+                phrases += part.spelled(words, at)
+                counts += total[mine].tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())],
+            names=["lang", "size", "phrase", "n"],
+        )
 
     found = rows.mapInArrow(counted, "lang string, size int, phrase string, n bigint")
     return found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))

@@ -145,12 +145,13 @@ def test_summaries_lose_nothing_at_the_threshold():
     truth = Counter(np.concatenate(keys).tolist())
     mass, threshold = sum(truth.values()), 200
     capacity = mass // threshold + 1
-    own = parts[0]
+    keys, counts, off = *parts[0], 0
     for k, n in parts[1:]:
-        own = collocations.merged([own[0], k], [own[1], n], capacity)
-        assert len(own[0]) <= capacity
-    assert {k for k, n in truth.items() if n >= threshold} <= set(own[0].tolist())
-    assert all(0 <= truth[k] - n < threshold for k, n in zip(*(x.tolist() for x in own), strict=True))
+        keys, counts, less = collocations.merged([keys, k], [counts, n], capacity)
+        off += less
+        assert len(keys) <= capacity
+    assert 0 < off < threshold and {k for k, n in truth.items() if n >= threshold} <= set(keys.tolist())
+    assert all(0 <= truth[k] - n <= off for k, n in zip(keys.tolist(), counts.tolist(), strict=True))
 
 
 def test_a_narrow_filter_only_costs_work(spark, monkeypatch):
@@ -158,6 +159,7 @@ def test_a_narrow_filter_only_costs_work(spark, monkeypatch):
     expected = sorted(tuple(r) for r in collocations.collocations(docs).collect())
     monkeypatch.setattr(collocations, "MOST_BITS", 8)
     monkeypatch.setattr(collocations, "MASS", 1 << 10)
+    monkeypatch.setattr(collocations, "CAPACITY", 1)
     assert sorted(tuple(r) for r in collocations.collocations(docs).collect()) == expected
 
 
