@@ -242,7 +242,7 @@ def lookup(indexed: DataFrame, keys: DataFrame) -> DataFrame:
 
     def found(keys: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(keys):
-            return pd.DataFrame({"key": [], "shard": [], "run": [], "n_tokens": [], "n_records": []})
+            return pd.DataFrame({"key": np.zeros(0, object), **{name: np.zeros(0, np.int64) for name in ("shard", "run", "n_tokens", "n_records")}})
         row = rows.iloc[0]
         n = int(row["keys"])
         take = lambda name, kind: np.frombuffer(row[name], kind)
