@@ -214,7 +214,7 @@ def build(
     """
     stamp = clock.now_millis() if created_at_ms is None else created_at_ms
     trade = F.col("trade").isNotNull()
-    worth = decimals.parse_decimal(F.col("trade.notional"), decimals.MONEY)
+    worth = decimals.plain_decimal(F.col("trade.notional"), decimals.MONEY)
     shares = (
         labelled.withColumn("_worth", worth)
         .groupBy(*dict.fromkeys([*keys, "partition"]))
@@ -222,8 +222,8 @@ def build(
             F.collect_list(
                 F.when(trade, F.struct("partition", "offset", "trade"))
             ).alias("_ordered"),
-            F.count_if(trade & F.col("_worth").isNull()).alias("_bad"),
-            F.sum("_worth").cast("decimal(38,16)").alias("_total"),
+            F.count_if(trade & F.col("_worth").isNull()).alias("_odd"),
+            F.sum("_worth").cast(decimals.TOTAL).alias("_total"),
             F.min("offset").alias("_lo"),
             F.max("offset").alias("_hi"),
         )
@@ -237,12 +237,14 @@ def build(
     if "partition" not in keys:
         shares = shares.groupBy(*keys).agg(
             F.flatten(F.collect_list("_ordered")).alias("_ordered"),
-            F.sum("_bad").alias("_bad"),
-            F.sum("_total").cast("decimal(38,16)").alias("_total"),
+            F.sum("_odd").alias("_odd"),
+            F.sum("_total").cast(decimals.TOTAL).alias("_total"),
             F.array_sort(F.flatten(F.collect_list("_spans"))).alias("_spans"),
         )
     count = F.size("_ordered").cast("bigint")
-    total = decimals.canonical_text(F.col("_total"))
+    # Only a batch with an amount that is not plain is summed again, from its trades.
+    odd = decimals.exact_array_sum(F.transform("_ordered", lambda e: e["trade"]["notional"]))
+    total = F.when(F.col("_odd") == 0, decimals.canonical_text(F.col("_total"))).otherwise(odd)
     return shares.filter(F.size("_ordered") > 0).select(
         F.col("_spans")[0]["partition"].alias("first_partition"),
         F.col("_spans")[0]["lo"].alias("first_offset"),
@@ -253,7 +255,7 @@ def build(
         .alias("flush_reason"),
         count.alias("trade_count"),
         # An unparseable notional leaves no total; the batch then fails validation.
-        F.when(F.col("_bad") == 0, total).otherwise("").alias("total_notional"),
+        F.coalesce(total, F.lit("")).alias("total_notional"),
         F.transform(F.array_sort("_ordered"), lambda e: e["trade"]).alias("trades"),
         F.lit(schemas.BATCH_PRODUCER).alias("producer"),
     )

@@ -2,8 +2,12 @@
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+
+from clearspark.functions import decimals
 from pyspark.sql import types as T
 
+from clearspark.functions import decimals
+
 # Event lines that a run summary counts.
 EVENT_LINES = (
     "batch flushed",
@@ -45,11 +49,8 @@ def feed_counters(normalized: DataFrame) -> DataFrame:
 
 def publisher_counters(batches: DataFrame) -> DataFrame:
     """M2: batches, trades and exact total per flush reason."""
-    total = F.sum(F.col("total_notional").try_cast("decimal(38,16)"))
-    return batches.groupBy("flush_reason").agg(
-        F.count("*").alias("batches_out"),
-        F.sum("trade_count").alias("trades_out"),
-        total.cast("decimal(38,16)").alias("total_notional"),
+    return decimals.exact_totals(
+        batches, ["flush_reason"], F.col("total_notional"), "total_notional", "batches_out", {"trades_out": F.col("trade_count")}
     )
 
 

@@ -85,11 +85,8 @@ def trade_identifier(time_ms: Column, coin: Column, tid: Column) -> Column:
     return F.concat_ws(ID_SEPARATOR, time_ms.cast("string"), coin, tid.cast("string"))
 
 
-def raw_reject_reason(raw: Column, price: Column, size: Column) -> Column:
-    """Why a raw trade cannot become a trade; NULL when it can. First rule wins.
-
-    `price` and `size` are the parsed `px` and `sz`.
-    """
+def raw_reject_reason(raw: Column) -> Column:
+    """Why a raw trade cannot become a trade; NULL when it can. First rule wins."""
     px, sz, side = (raw.getField(name) for name in ("px", "sz", "side"))
     return (
         F.when(raw.isNull(), UNDECODABLE)
@@ -98,15 +95,12 @@ def raw_reject_reason(raw: Column, price: Column, size: Column) -> Column:
             MISSING_FIELD,
         )
         .when(decode_side(side).isNull(), F.format_string(UNKNOWN_SIDE, side))
-        .when(price.isNull() & ~decimals.is_decimal_text(px), UNPARSEABLE % "px")
-        .when(size.isNull() & ~decimals.is_decimal_text(sz), UNPARSEABLE % "sz")
-        .when(price.isNull() | size.isNull(), decimals.OUT_OF_RANGE)
+        .when(~decimals.is_number(px), UNPARSEABLE % "px")
+        .when(~decimals.is_number(sz), UNPARSEABLE % "sz")
     )
 
 
-def to_trade(
-    raw: Column, price: Column, size: Column, source: str, ingest_ms: Column
-) -> Column:
+def to_trade(raw: Column, source: str, ingest_ms: Column) -> Column:
     """The trade struct of an accepted raw trade; `users` is not carried on."""
     coin, time_ms = raw.getField("coin"), raw.getField("time")
     return F.struct(
@@ -115,7 +109,7 @@ def to_trade(
         decode_side(raw.getField("side")).alias("side"),
         raw.getField("px").alias("price"),
         raw.getField("sz").alias("size"),
-        decimals.canonical_text(decimals.product(price, size)).alias("notional"),
+        decimals.notional(raw.getField("px"), raw.getField("sz")).alias("notional"),
         time_ms.alias("event_time_ms"),
         raw.getField("hash").alias("hash"),
         ingest_ms.alias("ingest_time_ms"),
@@ -129,12 +123,6 @@ def normalize(
     """N1-N7 over a feed log: one row per raw trade with `trade` or `reject_reason`."""
     stamp = clock.now_millis() if ingest_ms is None else ingest_ms
     raws = explode_trades(route_messages(log))
-    price, size = F.col("_price"), F.col("_size")
-    parsed = raws.withColumn("_price", decimals.parse_decimal(F.col("raw.px"))).withColumn(
-        "_size", decimals.parse_decimal(F.col("raw.sz"))
-    )
-    judged = codec.bind(parsed, "reject_reason", raw_reject_reason(F.col("raw"), price, size))
-    made = F.when(
-        F.col("reject_reason").isNull(), to_trade(F.col("raw"), price, size, source, stamp)
-    )
-    return codec.bind(judged, "trade", made).drop("_price", "_size")
+    judged = codec.bind(raws, "reject_reason", raw_reject_reason(F.col("raw")))
+    made = F.when(F.col("reject_reason").isNull(), to_trade(F.col("raw"), source, stamp))
+    return codec.bind(judged, "trade", made)

@@ -22,7 +22,6 @@ NORMALIZED_TOPIC = "trades.normalized"
 
 # Reasons of our own.
 UNPARSEABLE = "unparseable"
-OUT_OF_RANGE = decimals.OUT_OF_RANGE + ' %s "%s"'
 INVALID_NOTIONAL = 'invalid notional "%s"'
 NO_TOTAL = "sum notionals: unparseable notional"
 
@@ -41,18 +40,11 @@ def trade_reject_reason(trade: Column, strict_notional: bool = True) -> Column:
         .when(~side.isin(*schemas.SIDES), F.format_string(INVALID_SIDE, side))
     )
     for name, text in (("price", price), ("size", size)):
-        # Parsed once for a good trade; why a bad one is bad is looked into only then.
-        too_fine = decimals.decimal_status(text) == decimals.OUT_OF_RANGE
-        fault = F.when(too_fine, F.format_string(OUT_OF_RANGE, F.lit(name), text)).otherwise(
-            F.format_string(NON_POSITIVE, F.lit(name), text)
-        )
+        fault = F.format_string(NON_POSITIVE, F.lit(name), text)
         reason = reason.when(~decimals.is_positive(text), fault)
     if strict_notional:
         worth = trade.getField("notional")
-        reason = reason.when(
-            decimals.parse_decimal(worth, decimals.MONEY).isNull(),
-            F.format_string(INVALID_NOTIONAL, worth),
-        )
+        reason = reason.when(~decimals.is_number(worth), F.format_string(INVALID_NOTIONAL, worth))
     return reason
 
 
@@ -95,9 +87,9 @@ def _first_bad_trade(trades: Column, strict_notional: bool) -> Column:
             i.alias("at"), trade_reject_reason(t, strict_notional).alias("why")
         ),
     )
-    first = F.get(F.filter(findings, lambda f: f["why"].isNotNull()), 0)
-    message = F.format_string(INVALID_TRADE, first["at"], first["why"])
-    return F.when(first.isNotNull(), F.struct(first["at"].alias("at"), message.alias("why")))
+    broken = F.filter(findings, lambda f: f["why"].isNotNull())
+    # The first of none is NULL.
+    return F.get(F.transform(broken, lambda f: F.struct(f["at"].alias("at"), F.format_string(INVALID_TRADE, f["at"], f["why"]).alias("why"))), 0)
 
 
 def _first_repeated_trade(trades: Column) -> Column:
@@ -120,24 +112,31 @@ def batch_reject_reason(batch: Column, strict_notional: bool = False) -> Column:
     """V2-V5: why a batch is invalid, NULL when it is valid."""
     trades, count = batch.getField("trades"), batch.getField("trade_count")
     length = F.size(trades)
-    bad, repeat = _first_bad_trade(trades, strict_notional), _first_repeated_trade(trades)
-    # Trades are checked in order, rule set before repeat, so the lower index speaks
-    # first and the rule set wins on a tie.
-    repeat_first = F.coalesce(repeat["at"] < bad["at"], bad.isNull())
-    total = decimals.exact_array_sum(F.transform(trades, lambda t: t["notional"]))
     declared = batch.getField("total_notional")
-    agrees = F.coalesce(
-        total == decimals.parse_decimal(declared, decimals.MONEY), F.lit(False)
+
+    def of_total(total: Column) -> Column:
+        return F.when(total.isNull(), NO_TOTAL).when(
+            ~decimals.decimals_equal(total, declared), F.format_string(TOTAL_MISMATCH, declared, total)
+        )
+
+    def of_trades(found: Column) -> Column:
+        bad, repeat = found["bad"], found["repeat"]
+        # Trades are checked in order, rule set before repeat, so the lower index speaks
+        # first and the rule set wins on a tie.
+        repeat_first = F.coalesce(repeat["at"] < bad["at"], bad.isNull())
+        worths = F.transform(trades, lambda t: t["notional"])
+        return (
+            F.when(repeat.isNotNull() & repeat_first, repeat["why"])
+            .when(bad.isNotNull(), bad["why"])
+            .otherwise(decimals.let(decimals.exact_array_sum(worths), of_total))
+        )
+
+    findings = F.struct(
+        _first_bad_trade(trades, strict_notional).alias("bad"), _first_repeated_trade(trades).alias("repeat")
     )
     return (
         F.when(batch.getField("batch_id") == "", EMPTY_BATCH_ID)
         .when(count <= 0, F.format_string(NON_POSITIVE_COUNT, count))
         .when(count != length, F.format_string(COUNT_MISMATCH, count, length))
-        .when(repeat.isNotNull() & repeat_first, repeat["why"])
-        .when(bad.isNotNull(), bad["why"])
-        .when(total.isNull(), NO_TOTAL)
-        .when(
-            ~agrees,
-            F.format_string(TOTAL_MISMATCH, declared, decimals.canonical_text(total)),
-        )
+        .otherwise(decimals.let(findings, of_trades))
     )

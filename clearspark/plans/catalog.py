@@ -163,17 +163,13 @@ def feed_counters(spark, folder):
 
 @query
 def exact_notional_by_coin(spark, folder):
-    """Exact sums of products, per coin and side."""
+    """Exact sums of products, per coin and side; prices range over forty places."""
     made = _normalized(spark, folder).filter(F.col("trade").isNotNull())
-    worth = decimals.notional(F.col("trade.price"), F.col("trade.size"))
-    return (
-        made.withColumn("worth", worth)
-        .groupBy(F.col("trade.coin").alias("coin"), F.col("trade.side").alias("side"))
-        .agg(
-            F.count("*").alias("trades"),
-            decimals.exact_sum(F.col("worth")).alias("notional"),
-        )
-    )
+    kind = F.floor(F.col("offset") / 2) % 3
+    moved = F.when(kind == 0, "e-20").when(kind == 1, "e20").otherwise("")
+    worth = decimals.notional(F.concat(F.col("trade.price"), moved), F.col("trade.size"))
+    rows = made.select(F.col("trade.coin").alias("coin"), F.col("trade.side").alias("side"), worth.alias("worth"))
+    return decimals.exact_totals(rows, ["coin", "side"], F.col("worth"), "notional", "trades")
 
 
 def _line_texts(spark, folder):
@@ -190,29 +186,27 @@ def _line_texts(spark, folder):
 def canonical_decimal(spark, folder):
     """Exact products of decimal texts in shortest form."""
     worth = decimals.notional(F.col("price"), F.col("quantity"))
-    return _line_texts(spark, folder).select(
-        "l_orderkey", "l_linenumber", decimals.canonical_text(worth).alias("worth")
-    )
+    return _line_texts(spark, folder).select("l_orderkey", "l_linenumber", worth.alias("worth"))
 
 
 @query
 def decimal_checks(spark, folder):
     """What is a number, what is positive, what is equal by value."""
     rows = _line_texts(spark, folder)
-    odd = F.col("l_linenumber") % 4
+    odd = F.col("l_linenumber") % 7
     text = (
         F.when(odd == 0, F.col("price"))
         .when(odd == 1, F.concat(F.lit("-"), F.col("price")))
         .when(odd == 2, F.concat(F.col("price"), F.lit("000000001")))
-        .otherwise(F.concat(F.col("price"), F.lit("x")))
+        .when(odd == 3, F.concat(F.col("price"), F.lit("x")))
+        .when(odd == 4, F.concat(F.col("price"), F.lit("e-9")))
+        .when(odd == 5, F.concat(F.lit("1234567890" * 4), F.col("price")))
+        .otherwise(F.lit("0.0000012345"))
     )
     shorter = F.regexp_replace("price", r"[.]?0+\z", "")
     return rows.withColumn("text", text).groupBy("l_linenumber").agg(
         F.count("*").alias("n_rows"),
-        F.count_if(decimals.decimal_status(F.col("text")) == decimals.OK).alias("numbers"),
-        F.count_if(decimals.decimal_status(F.col("text")) == decimals.OUT_OF_RANGE).alias(
-            "out_of_range"
-        ),
+        F.count_if(decimals.is_number(F.col("text"))).alias("numbers"),
         F.count_if(decimals.is_positive(F.col("text"))).alias("positive"),
         F.count_if(decimals.decimals_equal(F.col("text"), F.col("price"))).alias("equal"),
         F.count_if(
@@ -626,12 +620,14 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     decided = flows.decide(
         flows.batch_log(built), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
     )
-    trades = decided.select("batch_id", "outcome", F.explode("batch.trades").alias("trade"))
-    worth = decimals.parse_decimal(F.col("trade.notional"), decimals.MONEY)
-    return trades.groupBy(F.col("trade.coin").alias("coin"), "outcome").agg(
-        F.count("*").alias("trades"),
-        F.countDistinct("batch_id").alias("batches"),
-        F.sum(worth).cast("decimal(38,16)").alias("notional"),
+    coins = F.transform("batch.trades", lambda trade: trade["coin"])
+    # A batch counts once for each of its coins, with the first trade in it.
+    listed = F.transform("batch.trades", lambda trade, i: F.struct(
+        trade["coin"].alias("coin"), trade["notional"].alias("worth"), (F.array_position("coins", trade["coin"]) == i + 1).alias("first")
+    ))
+    trades = decided.withColumn("coins", coins).select("outcome", F.inline(listed))
+    return decimals.exact_totals(
+        trades, ["coin", "outcome"], F.col("worth"), "notional", "trades", {"batches": F.col("first").cast("bigint")}
     )
 
 

@@ -191,9 +191,11 @@ def keyed_by_user(events: DataFrame) -> DataFrame:
 def corrupted_batches(batches: DataFrame) -> DataFrame:
     """FIXTURES.md B4 as a log: by first offset mod 7, and undecodable where it is 0 mod 17."""
     kind = F.col("first_offset") % 7
+    larger = F.transform("trades", lambda t: t.withField("notional", F.concat(t["notional"], F.lit("e30"))))
     trades = (
         F.when(kind == 2, F.concat("trades", F.slice("trades", 1, 1)))
         .when(kind == 4, F.slice("trades", 1, 0))
+        .when(kind == 5, larger)
         .otherwise(F.col("trades"))
     )
     count = (
@@ -201,15 +203,17 @@ def corrupted_batches(batches: DataFrame) -> DataFrame:
         .when(kind == 4, 0)
         .otherwise(F.col("trade_count"))
     )
+    point = F.when(F.col("total_notional").contains("."), "").otherwise(".")
     more = F.col("total_notional").cast("decimal(38,16)") + F.lit(1).cast("decimal(1,0)")
     changed = (
         batches.withColumn("trades", trades)
         .withColumn("trade_count", count.cast("bigint"))
         .withColumn(
             "total_notional",
-            F.when(kind == 1, more.cast("decimal(38,2)").cast("string")).otherwise(
-                F.col("total_notional")
-            ),
+            F.when(kind == 1, more.cast("decimal(38,2)").cast("string"))
+            .when(kind == 5, F.concat("total_notional", F.lit("e30")))
+            .when(kind == 6, F.concat("total_notional", point, F.lit("0" * 30 + "1")))
+            .otherwise(F.col("total_notional")),
         )
         .withColumn("batch_id", F.when(kind == 3, "").otherwise(F.col("batch_id")))
     )

@@ -90,6 +90,8 @@ judged AS (
       WHEN lo % 7 = 2 THEN 'duplicate trade_id "' || head || '" in batch'
       WHEN lo % 7 = 1 THEN 'total_notional "' || CAST(total + 1 AS DECIMAL(38,2))
         || '" != recomputed "' || {_canonical("total")} || '"'
+      WHEN lo % 7 = 6 THEN 'total_notional "' || {_canonical("total")} || CASE WHEN contains({_canonical("total")}, '.')
+        THEN '' ELSE '.' END || repeat('0', 30) || '1" != recomputed "' || {_canonical("total")} || '"'
     END AS reject
   FROM batch b JOIN opening o USING (part, k) LEFT JOIN bad USING (part, k))"""
 
@@ -237,8 +239,14 @@ ORACLES["feed_counters"] = (
 
 ORACLES["exact_notional_by_coin"] = (
     _with(_TRADE, _FEED)
-    + """SELECT coin, dir AS side, count(*) AS trades, CAST(sum(worth) AS DECIMAL(38,16)) AS notional
-FROM raw WHERE letter <> 'X' GROUP BY coin, dir"""
+    + """SELECT coin, side, trades, regexp_replace(regexp_replace(
+    (b * 1000000000000000000::HUGEINT + c // 100) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') || lpad(CAST(a AS VARCHAR), 20, '0'),
+    '0+$', ''), '\\.$', '') AS notional
+FROM (SELECT coin, dir AS side, count(*) AS trades,
+    COALESCE(sum(CAST(worth * 100 AS HUGEINT)) FILTER (WHERE e % 3 = 0), 0)::HUGEINT AS a,
+    COALESCE(sum(CAST(worth * 100 AS HUGEINT)) FILTER (WHERE e % 3 = 1), 0)::HUGEINT AS b,
+    COALESCE(sum(CAST(worth * 100 AS HUGEINT)) FILTER (WHERE e % 3 = 2), 0)::HUGEINT AS c
+  FROM raw WHERE letter <> 'X' GROUP BY coin, dir)"""
 )
 
 _LINE_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
@@ -248,13 +256,12 @@ ORACLES["canonical_decimal"] = f"""SELECT l_orderkey, l_linenumber,
 FROM lineitem"""
 
 ORACLES["decimal_checks"] = f"""SELECT l_linenumber, count(*) AS n_rows,
-  count(*) FILTER (WHERE odd IN (0, 1)) AS numbers,
-  count(*) FILTER (WHERE odd = 2) AS out_of_range,
-  count(*) FILTER (WHERE odd = 0 AND p > 0) AS positive,
-  count(*) FILTER (WHERE odd = 0 OR (odd = 1 AND p = 0)) AS equal,
+  count(*) FILTER (WHERE odd <> 3) AS numbers,
+  count(*) FILTER (WHERE odd IN (2, 5, 6) OR (odd IN (0, 4) AND p > 0)) AS positive,
+  count(*) FILTER (WHERE odd = 0 OR (odd IN (1, 4) AND p = 0)) AS equal,
   count(*) AS equal_with_zero,
   CAST(0 AS BIGINT) AS equal_to_text
-FROM (SELECT l_linenumber, l_linenumber % 4 AS odd, {_LINE_PRICE} AS p FROM lineitem)
+FROM (SELECT l_linenumber, l_linenumber % 7 AS odd, {_LINE_PRICE} AS p FROM lineitem)
 GROUP BY l_linenumber"""
 
 ORACLES["trade_validation_reasons"] = (
@@ -308,7 +315,9 @@ ORACLES["batch_with_undecodable"] = (
 ORACLES["flush_reason_counts"] = (
     _with(_TRADE, _log("trade"), _SEGMENT_BY_SIZE_OR_TIME, _BATCH, recursive=True)
     + """SELECT reason AS flush_reason, count(*) AS batches_out, CAST(sum(n) AS BIGINT) AS trades_out,
-  CAST(sum(total) AS DECIMAL(38,16)) AS total_notional
+  """
+    + _canonical("sum(total)")
+    + """ AS total_notional
 FROM batch GROUP BY reason"""
 )
 
@@ -404,7 +413,9 @@ ORACLES["settled_by_coin"] = (
     _with(_TRADE, _log(_CLEAN), _SEGMENT_BY_SIZE_OR_TIME, _BATCH, _TRIES, recursive=True)
     + """SELECT coin, CASE WHEN won IS NULL THEN 'dead_letter' ELSE 'settled' END AS outcome,
   count(*) AS trades, count(DISTINCT batch_id) AS batches,
-  CAST(sum(worth) AS DECIMAL(38,16)) AS notional
+  """
+    + _canonical("sum(worth)")
+    + """ AS notional
 FROM seg JOIN batch USING (part, k) LEFT JOIN tries USING (part, k)
 GROUP BY 1, 2"""
 )

@@ -52,7 +52,7 @@ def test_rejects_one_trade_not_the_message(spark):
         ({"side": "X"}, 'unknown side "X"'),
         ({"px": "abc"}, "unparseable px"),
         ({"sz": "abc"}, "unparseable sz"),
-        ({"px": "0.123456789"}, "decimal_out_of_range"),
+        ({"px": "1e"}, "unparseable px"),
     ]
     rows = normalized(spark, message(*[{**RAW, **b} for b, _ in bad], RAW))
     assert [r.reject_reason for r in rows] == [reason for _, reason in bad] + [None]
@@ -98,3 +98,9 @@ def test_feed_is_counted_on_the_way(spark):
     rows = normalize.normalize(feed(spark, message(RAW, {**RAW, "side": "X"})), "s")
     metrics.watch_feed(rows, seen).collect()
     assert seen.get == {"produced": 1, "skipped": 1}
+
+
+def test_prices_of_any_size(spark):
+    cases = {("0.123456789", "2"): "0.246913578", ("1e-30", "12345678901"): "0.000000000000000000012345678901", ("98765432109876543210.5", "4"): "395061728439506172842"}
+    rows = normalized(spark, message(*[{**RAW, "px": px, "sz": sz} for px, sz in cases]))
+    assert [(r.reject_reason, r.trade.notional) for r in rows] == [(None, worth) for worth in cases.values()]
