@@ -565,6 +565,16 @@ def stream_batches(spark, folder):
     )
 
 
+@query
+def stream_time_flush(spark, folder):
+    """B1, B2: a running publisher whose last batches only timers close, as no record follows."""
+    events = _events(spark, folder)
+    built = streams.stream_time_flush(spark, fixtures.clean_log(events), _by_size_or_time(events))
+    return built.select(
+        "batch_id", "flush_reason", "trade_count", _money("total_notional").alias("total_notional")
+    )
+
+
 @query
 def stream_restart_no_loss(spark, folder):
     """A run cut off after its writes and repeated loses and repeats nothing."""

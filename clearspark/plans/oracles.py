@@ -426,6 +426,8 @@ ORACLES["stream_dedup_by_table"] = ORACLES["ingest_accepted"]
 
 ORACLES["stream_batches"] = ORACLES["batch_size_or_time"]
 
+ORACLES["stream_time_flush"] = ORACLES["batch_size_or_time"]
+
 ORACLES["stream_restart_no_loss"] = (
     _with(_TRADE, _log(_CLEAN), _SEGMENT_BY_SIZE_OR_TIME, _BATCH, recursive=True)
     + """SELECT count(*) AS batches, CAST(sum(n) AS BIGINT) AS distinct_trade_ids,

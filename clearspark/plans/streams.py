@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clearspark.operators import batching
 from clearspark.session import fresh_folder, landed
 from clearspark.sources import logs
-from clearspark.streaming import ingest, memory, publish, settle
+from clearspark.streaming import ingest, memory, publish, settle, timeflush
 
 STEPS = 4
 
@@ -124,6 +124,35 @@ def stream_publish(
     return publish.published(spark, out)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def stream_time_flush(
+    spark: SparkSession, log: DataFrame, flush: batching.Flush, seconds: float = 300
+) -> DataFrame:
+    """B1, B2 on a stream that no record follows: all batches, the last ones closed by timers alone."""
+    root = fresh_folder(spark, "time-flush")
+    arrived, out = os.path.join(root, "normalized"), os.path.join(root, "out")
+    log.write.parquet(arrived)
+    trades = logs.read_log(spark, arrived).count()
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        query = timeflush.start(
+            logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), flush, F.lit(0).cast("bigint")
+        )
+        try:
+            published = lambda: publish.published(spark, out).agg(F.sum("trade_count")).first()[0]
+            if not timeflush.wait_until(query, lambda: published() == trades, seconds, 1.0):
+                raise TimeoutError(f"{published()} of {trades} trades are published")
+        finally:
+            query.stop()
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+    return publish.published(spark, out)
+
+
 def stream_settle(
     spark: SparkSession,
     log: DataFrame,

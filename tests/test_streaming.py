@@ -1,12 +1,16 @@
 """Streams against the batch form, across micro-batches, restarts and replays."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from clearspark.functions import codec
 from clearspark.operators import batching, metrics, validate
 from clearspark.operators.batching import Flush
-from clearspark.streaming import ingest, memory, publish, settle, tables
+from clearspark.plans import streams
+from clearspark.sources import logs
+from clearspark.streaming import ingest, memory, publish, settle, tables, timeflush
 from test_batching import random_log, replay, spans
 from test_settle import batch, fails, log, TRIES
 from test_validate import GOOD
@@ -64,6 +68,54 @@ def test_wall_clock_closes_a_waiting_batch_once(spark, tmp_path):
     assert next(clock) == 10**9
 
 
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, streams.ROCKSDB)
+    yield
+    spark.conf.unset(name)
+
+
+def test_one_trade_on_an_idle_log_goes_out_by_time(spark, tmp_path, rocksdb):
+    now = time.time_ns() // 1000
+    arrived, out, progress = (str(tmp_path / name) for name in ("log", "out", "progress"))
+    log = normalized(spark, [(0, 0, now, True), (0, 1, now, False), (1, 0, now, False)])
+    log = log.select(F.lit("t").alias("topic"), "partition", "offset", "timestamp", F.lit(b"k").alias("key"), F.col("value").cast("binary"))
+    log.write.parquet(arrived)
+    flush = Flush(100, 20_000_000)
+    query = timeflush.start(logs.stream_log(spark, arrived), out, progress, flush, interval="500 milliseconds")
+    try:
+        count = lambda: publish.published(spark, out).count()
+        while query.lastProgress is None or not query.lastProgress["numInputRows"]:
+            assert time.time_ns() // 1000 < now + 60_000_000
+            time.sleep(0.2)
+            if query.recentProgress and any(p["numInputRows"] for p in query.recentProgress):
+                break
+        early = count() if time.time_ns() // 1000 < now + flush.max_wait_us else 0
+        assert early == 0
+        assert timeflush.wait_until(query, lambda: count() > 0, 60)
+    finally:
+        query.stop()
+    (one,) = publish.published(spark, out).collect()
+    assert (one.batch_id, one.flush_reason, one.trade_count) == ("batch-p0_0_1", "time", 1)
+    assert one.created_at_ms * 1000 >= now + flush.max_wait_us
+
+
+def test_timer_batches_equal_the_batch_form(spark, rocksdb):
+    rows = monotone(random_log(5, n=200))
+    log = normalized(spark, rows).withColumn("topic", F.lit("t")).withColumn("key", F.lit(b"k")).withColumn("value", F.col("value").cast("binary"))
+    trades = sum(r[3] for r in rows)
+    folder = streams.fresh_folder(spark, "timer-test")
+    log.select("topic", "partition", "offset", "timestamp", "key", "value").write.parquet(folder + "/log")
+    query = timeflush.start(logs.stream_log(spark, folder + "/log"), folder + "/out", folder + "/progress", Flush(5, 40))
+    try:
+        done = lambda: publish.published(spark, folder + "/out").agg(F.sum("trade_count")).first()[0] == trades
+        assert timeflush.wait_until(query, done, 60)
+    finally:
+        query.stop()
+    assert spans(publish.published(spark, folder + "/out").collect()) == replay(rows, 5, 40)
+
+
 def test_settler_has_each_batch_once(spark, tmp_path):
     folder = str(tmp_path)
     tries = fails("batch-p0_1_2", 1) + fails("batch-p0_9_9", 0) + fails("batch-p1_0_0", 6, False)
