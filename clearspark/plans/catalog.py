@@ -29,7 +29,8 @@ from clearspark.streaming import tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-FIFO_CAPACITY, FIFO_SHARDS = 4, 16
+# One memory over the whole log, in chunks small enough for these tables to have many.
+FIFO_CAPACITY, FIFO_SHARDS, FIFO_CHUNK_BITS = 4, 1, 13
 
 
 def query(function: Query) -> Query:
@@ -281,7 +282,7 @@ def dedup_fifo_bounded(spark, folder):
         (F.col("event_id") * 2).alias("offset"),
         F.col("user_id").cast("string").alias("user"),
     )
-    return dedup.bounded_memory_verdicts(rows, "user", FIFO_CAPACITY, FIFO_SHARDS)
+    return dedup.bounded_memory_verdicts(rows, "user", FIFO_CAPACITY, FIFO_SHARDS, FIFO_CHUNK_BITS)
 
 
 @query

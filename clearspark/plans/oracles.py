@@ -407,7 +407,7 @@ SELECT 'chain-submitter', 'submit attempt failed',
   CAST(sum(CASE WHEN outcome = 'settled' THEN attempts - 1 ELSE attempts END) AS BIGINT) FROM decided"""
 )
 
-ORACLES["dedup_fifo_bounded"] = _fifo(4, 16)
+ORACLES["dedup_fifo_bounded"] = _fifo(4, 1)
 
 ORACLES["settled_by_coin"] = (
     _with(_TRADE, _log(_CLEAN), _SEGMENT_BY_SIZE_OR_TIME, _BATCH, _TRIES, recursive=True)
@@ -441,5 +441,5 @@ FROM decided WHERE outcome = 'settled'"""
 )
 
 ORACLES["stream_fifo"] = (
-    f'SELECT partition, "offset" FROM ({_fifo(4, 16, 4)}) WHERE admitted'
+    f'SELECT partition, "offset" FROM ({_fifo(4, 1, 4)}) WHERE admitted'
 )

@@ -55,8 +55,13 @@ def remember(
                 newest = Window.partitionBy("_shard").orderBy(
                     F.desc("partition"), F.desc("offset")
                 )
+                # The newest of each chunk first, so that no task sorts a whole shard.
+                chunk = F.shiftright("offset", chunk_bits)
+                lately = Window.partitionBy("_shard", "partition", chunk).orderBy(F.desc("offset"))
                 kept = (
                     admitted.withColumn("_shard", shard)
+                    .withColumn("_age", F.row_number().over(lately))
+                    .filter(F.col("_age") <= max(capacity, 1))
                     .withColumn("_age", F.row_number().over(newest))
                     .filter(F.col("_age") <= max(capacity, 1))
                 )

@@ -70,6 +70,22 @@ def test_matches_replay_with_a_hot_key(spark, capacity):
     assert got.count(True) > len(set(keys))
 
 
+def test_chunks_whose_memory_never_washes_out(spark):
+    # One key more than the memory holds, over and over, and a key that comes first only:
+    # each chunk depends on where the one before has left off.
+    keys = ["x"] + list("abcde") * 40 + list("ab") * 10 + list("abcdef") * 30
+    for capacity in (4, 5):
+        assert verdicts(keyed(spark, keys), capacity=capacity, shards=1, chunk_bits=5) == replay(keys, capacity)
+
+
+def test_one_memory_over_partitions_and_missing_keys(spark):
+    rng = random.Random(9)
+    rows = [(p, o, rng.choice([None, "a", "b", "c", "d"])) for p in range(3) for o in sorted(rng.sample(range(400), 120))]
+    df = spark.createDataFrame(rows, "partition int, offset bigint, trade_id string").repartition(3)
+    assert verdicts(df, capacity=2, shards=1, chunk_bits=4) == replay([k for _, _, k in rows], 2)
+    assert dedup.bounded_memory_verdicts(df.limit(0)).count() == 0
+
+
 def test_shards_are_memories_of_their_own(spark):
     rng = random.Random(5)
     keys = [rng.choice("abcdefghijklmnop") for _ in range(400)]
