@@ -6,8 +6,10 @@ product their ball allows, and the best one is opened next. How many leaves a qu
 is calibrated: for some queries the true neighbours are found by brute force over all rows,
 and the visits are widened until the target share of them lies in the visited leaves.
 
-Leaves are dealt into blocks of bounded size on both sides, so neither a common vector nor a
-common query direction makes a large task.
+Leaves are dealt into groups of about equal size, a large leaf into several, and a group's
+queries into crowds of bounded size; so neither a common vector nor a common query direction
+makes a large task. A task goes through its leaves one after another and holds of each query only
+the best so far, so what leaves it grows with the queries and not with the leaves visited.
 """
 
 import heapq
@@ -162,11 +164,11 @@ def truths(rows: DataFrame, queries: pd.DataFrame, tree: Tree, k: int) -> pd.Dat
                 )
 
     each = rows.select("id", "v").mapInArrow(found, "q bigint, id bigint, score double, leaf bigint")
-    return _nearest(each, k).toPandas()
+    return _nearest(each, k, "q").toPandas()
 
 
-def _nearest(each: DataFrame, k: int) -> DataFrame:
-    by = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+def _nearest(each: DataFrame, k: int, *query: str) -> DataFrame:
+    by = Window.partitionBy(*query).orderBy(F.desc("score"), "id")
     return each.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
@@ -202,18 +204,20 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     k: int = 20,
-    target: float = 0.97,
+    target: float = 0.95,
     sample: int = 20_000,
-    leaf: int = 1024,
-    probes: int = 64,
-    block: int = 4096,
+    leaf: int = 256,
+    probes: int = 128,
+    groups: int = 16,
+    crowd: int = 4096,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): up to k nearest found of each query, by inner product.
 
     Queries are the rows where `is_query` holds; candidates all rows but those with the
     query's key. Vectors that are null, zero, or hold null or non-finite components take
     no part, nor do those of another length than most, nor rows with a null key. Ties go to
-    the smaller key; repeated rows are candidates each. Every row is indexed; no rows, no
+    the smaller key. A query that stands twice is asked once; one key with several vectors has
+    a list for each. Repeated rows are candidates each. Every row is indexed; no rows, no
     result.
     """
     right = vectors.filter(usable(vector) & F.col(key).isNotNull())
@@ -221,68 +225,155 @@ def nearest(
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.filter(F.size("v") == (sizes["n"] if sizes else 0))
     tree = fit(rows.select("id", "v"), rows.filter("asks").select("id", "v"), k, target, sample, leaf, probes)
-    sent = vectors.sparkSession.sparkContext.broadcast(tree)
+    spark = vectors.sparkSession
+    sent = spark.sparkContext.broadcast(tree)
 
     def placed(batches):
         tree = sent.value
         for batch in batches:
-            own = _matrix(batch.column(1))
-            leaves = tree.leaf_of(own)
-            walks = [tree.walk(v, tree.visits) if asks else [] for v, asks in zip(own, batch.column(2).to_pylist(), strict=True)]
-            columns = [batch.column(0), batch.column(1), pa.array(leaves), pa.array(walks, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "leaf", "walk"])
+            leaves = tree.leaf_of(_matrix(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves)], names=["id", "v", "asks", "leaf"])
 
     kind = vectors.schema[vector].dataType.simpleString()
-    spread = landed(rows.mapInArrow(placed, f"id bigint, v {kind}, leaf bigint, walk array<bigint>"), "leaves")
-    counts = spread.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
-    counts = landed(counts, "leaf-sizes")
-    listed = spread.join(counts, "leaf").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")))
-    asked = spread.filter(F.size("walk") > 0).select("id", "v", F.explode("walk").alias("leaf"))
-    crowd = asked.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("long").alias("crowds"))
-    pairs = counts.join(crowd, "leaf")
-    asked = asked.join(pairs, "leaf").withColumn("crowd", F.pmod(F.xxhash64(F.lit("crowd"), "id"), F.col("crowds")))
-    asked = asked.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
-    listed = listed.drop("parts").join(pairs, "leaf").withColumn("crowd", F.explode(F.expr("sequence(0L, crowds - 1)")))
-    fields = ["leaf", "part", "crowd", "id", "v"]
-    both = listed.select(*fields, F.lit(False).alias("asks")).unionByName(asked.select(*fields, F.lit(True).alias("asks")))
+    spread = landed(rows.mapInArrow(placed, f"id bigint, v {kind}, asks boolean, leaf bigint"), "leaves")
+    # At most a row for each of the tree's leaves, which the sample bounds.
+    own = {r["leaf"]: r["n"] for r in spread.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    dealt = deal(own, groups)
+    where = spark.sparkContext.broadcast(dealt)
+
+    def asked(batches):
+        """A query goes to each group with the leaves that its walk opens there."""
+        tree, (first, parts) = sent.value, where.value
+        for batch in batches:
+            ids, wanted, kept = batch.column(0), [], []
+            for i, query in enumerate(_matrix(batch.column(1))):
+                by: dict[int, list[int]] = {}
+                for at in tree.walk(query, tree.visits):
+                    for g in range(first.get(at, 0), first.get(at, 0) + parts.get(at, 0)):
+                        by.setdefault(g, []).append(at)
+                for g, leaves in by.items():
+                    kept.append(i)
+                    wanted.append((g, leaves))
+            at = pa.array(kept, pa.int64())
+            columns = [pa.array([g for g, _ in wanted], pa.int64()), ids.take(at), batch.column(1).take(at), pa.array([w for _, w in wanted], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["grp", "id", "v", "walk"])
+
+    queries = spread.filter("asks").select("id", "v").distinct()
+    asks = landed(queries.mapInArrow(asked, f"grp bigint, id bigint, v {kind}, walk array<bigint>"), "walks")
+    crowds = asks.groupBy("grp").agg(F.ceil(F.count("*") / crowd).cast("long").alias("crowds"))
+    asks = asks.join(crowds, "grp").withColumn("crowd", F.pmod(F.xxhash64(F.lit("crowd"), "id"), F.col("crowds")))
+    first = spark.createDataFrame([(at, g, dealt[1][at]) for at, g in dealt[0].items()], "leaf bigint, first bigint, parts bigint")
+    listed = spread.join(first, "leaf").withColumn("grp", F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("parts")))
+    listed = listed.join(crowds, "grp").withColumn("crowd", F.explode(F.expr("sequence(0L, crowds - 1)")))
+    # Queries before vectors: leaf -1.
+    none = F.lit(None).cast("array<bigint>").alias("walk")
+    hashed = F.xxhash64("v").alias("h")
+    both = asks.select("grp", "crowd", F.lit(-1).cast("bigint").alias("leaf"), "id", "v", "walk", hashed).unionByName(
+        listed.select("grp", "crowd", "leaf", "id", "v", none, F.lit(0).cast("bigint").alias("h"))
+    )
 
     def found(batches):
-        for rows in _groups(batches):
-            ids, own, asks = rows
-            candidates, names = own[~asks], ids[~asks]
-            top_q, top_id, top_score = [], [], []
-            for q, query in zip(ids[asks].tolist(), own[asks], strict=True):
-                scores = products(candidates, query)
-                scores[names == q] = -np.inf
-                top = best(names, scores, k)
-                top = top[scores[top] > -np.inf]
-                top_q.append(np.full(len(top), q))
-                top_id.append(names[top])
-                top_score.append(scores[top])
-            if top_q:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (top_q, top_id, top_score)], names=["q", "id", "score"])
-
-    dealt = both.repartition("leaf", "part", "crowd").sortWithinPartitions("leaf", "part", "crowd")
-    each = dealt.mapInArrow(found, "q bigint, id bigint, score double")
-    return _nearest(each, k).select(F.col("q").alias("query_id"), F.col("rank"), F.col("id").alias(key), "score")
-
-
-def _groups(batches):
-    """Ids, vectors and whether they ask, of each run of equal (leaf, part, crowd)."""
-    held, at = [], None
+        task = None
+        for group, leaf, ids, own, hashes, walks in _stretches(batches):
+            if task is None or task.group != group:
+                if task is not None:
+                    yield from task.result()
+                task = _Crowd(group, k)
+            if leaf < 0:
+                task.ask(ids, own, hashes, walks)
+            else:
+                task.look(leaf, ids, own)
+        if task is not None:
+            yield from task.result()
+
+    dealt_rows = both.repartition("grp", "crowd").sortWithinPartitions("grp", "crowd", "leaf")
+    each = dealt_rows.mapInArrow(found, "q bigint, h bigint, id bigint, score double")
+    return _nearest(each, k, "q", "h").select(F.col("q").alias("query_id"), F.col("rank"), F.col("id").alias(key), "score")
+
+
+def deal(sizes: dict[int, int], groups: int) -> tuple[dict[int, int], dict[int, int]]:
+    """The first group of each leaf and how many it is spread over; no group has much more than its share of all rows."""
+    share = max(1, -(-sum(sizes.values()) // groups))
+    first, parts, group, room = {}, {}, 0, share
+    for leaf, n in sorted(sizes.items()):
+        if n > share:
+            if room < share:
+                group, room = group + 1, share
+            first[leaf], parts[leaf] = group, -(-n // share)
+            group += parts[leaf]
+            continue
+        if room < share and n > room:
+            group, room = group + 1, share
+        first[leaf], parts[leaf] = group, 1
+        room -= n
+    return first, parts
+
+
+class _Crowd:
+    """The best rows so far of each query of a crowd, leaf by leaf."""
+
+    def __init__(self, group: tuple[int, int], k: int):
+        self.group, self.k = group, k
+        self.ids: list[int] = []
+        self.hashes: list[int] = []
+        self.vectors: list[np.ndarray] = []
+        self.tops: list[tuple[np.ndarray, np.ndarray]] = []
+        self.visitors: dict[int, list[int]] = {}
+
+    def ask(self, ids: np.ndarray, own: np.ndarray, hashes: np.ndarray, walks: list[list[int]]) -> None:
+        for q, h, query, walk in zip(ids.tolist(), hashes.tolist(), own, walks, strict=True):
+            for leaf in walk:
+                self.visitors.setdefault(leaf, []).append(len(self.ids))
+            self.ids.append(q)
+            self.hashes.append(h)
+            self.vectors.append(query)
+            self.tops.append((np.zeros(0, np.int64), np.zeros(0)))
+
+    def look(self, leaf: int, names: np.ndarray, candidates: np.ndarray) -> None:
+        visitors = self.visitors.get(leaf, [])
+        if not visitors:
+            return
+        # A quick product finds who may beat a query's worst; the exact one decides.
+        rough = candidates @ np.stack([self.vectors[i] for i in visitors]).T
+        slack = 1e-9 * (1 + np.abs(rough).max())
+        for column, i in enumerate(visitors):
+            held, scores = self.tops[i]
+            floor = scores[-1] - slack if len(scores) == self.k else -np.inf
+            some = np.flatnonzero(rough[:, column] >= floor)
+            some = some[names[some] != self.ids[i]]
+            if not len(some):
+                continue
+            if len(some) > 4 * self.k:
+                edge = np.partition(rough[some, column], len(some) - self.k)[len(some) - self.k]
+                some = some[rough[some, column] >= edge - slack]
+            names_ = np.concatenate([held, names[some]])
+            scores_ = np.concatenate([scores, products(candidates[some], self.vectors[i])])
+            top = best(names_, scores_, self.k)
+            self.tops[i] = names_[top], scores_[top]
+
+    def result(self):
+        sizes = [len(t[0]) for t in self.tops]
+        if not sum(sizes):
+            return
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.array(self.ids, np.int64), sizes)),
+                pa.array(np.repeat(np.array(self.hashes, np.int64), sizes)),
+                pa.array(np.concatenate([t[0] for t in self.tops])),
+                pa.array(np.concatenate([t[1] for t in self.tops])),
+            ],
+            names=["q", "h", "id", "score"],
+        )
+
+
+def _stretches(batches):
+    """((group, crowd), leaf, ids, vectors, hashes, walks) of each run of equal group, crowd and leaf in a batch."""
     for batch in batches:
         names = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)
-        ids, own = batch.column(3).to_numpy(), _matrix(batch.column(4))
-        asks = batch.column(5).to_numpy(zero_copy_only=False)
+        if not len(names):
+            continue
+        ids, own, hashes = batch.column(3).to_numpy(), _matrix(batch.column(4)), batch.column(6).to_numpy()
         cuts = np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
-            if a == b:
-                continue
-            name = tuple(names[a])
-            if held and name != at:
-                yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
-                held = []
-            at = name
-            held.append((ids[a:b], own[a:b], asks[a:b]))
-    if held:
-        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+            walks = batch.column(5).slice(a, b - a).to_pylist() if names[a, 2] < 0 else []
+            yield (int(names[a, 0]), int(names[a, 1])), int(names[a, 2]), ids[a:b], own[a:b], hashes[a:b], walks

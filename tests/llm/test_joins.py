@@ -2,6 +2,8 @@
 
 import random
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -118,7 +120,7 @@ def test_neighbours_reach_the_recall(spark):
     own = (centres[rng.integers(0, 40, 3000)] + 0.4 * rng.normal(size=(3000, 16))).astype(np.float32)
     own[1000:1400] = own[1000]
     table = vectors(spark, [(i, v.tolist(), "x", 1) for i, v in enumerate(own)])
-    found = kmeans_tree.nearest(table, F.col("vec_id") % 20 == 0, leaf=64, block=64).collect()
+    found = kmeans_tree.nearest(table, F.col("vec_id") % 20 == 0, leaf=64, groups=7, crowd=16).collect()
     exact, hits = own.astype(float), 0
     for q in range(0, 3000, 20):
         scores = (exact * exact[q]).sum(1)
@@ -138,3 +140,28 @@ def test_vectors_that_take_no_part(spark):
     found = kmeans_tree.nearest(vectors(spark, [(*r, "x", 1) for r in rows]), F.col("vec_id") % 20 == 0).collect()
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(0, 1, 1, 0.5), (0, 2, 8, 0.5)]
     assert kmeans_tree.nearest(vectors(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_queries_that_stand_twice(spark):
+    rng = np.random.default_rng(5)
+    own = rng.normal(size=(60, 4)).astype(np.float32).astype(float).tolist()
+    rows = [(i, v, "x", 1) for i, v in enumerate(own)]
+    rows += [rows[0], rows[0], (20, own[7], "x", 1), rows[1]]
+    found = kmeans_tree.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=5).collect()
+    expected = []
+    for q, v in {(0, tuple(own[0])), (20, tuple(own[20])), (20, tuple(own[7])), (40, tuple(own[40]))}:
+        scores = sorted((-float((np.array(x) * np.array(v)).sum()), i) for i, x, _, _ in rows if i != q)
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in found) == sorted((*e[:3], round(e[3], 9)) for e in expected)
+
+
+def test_groups_have_about_equal_shares():
+    rng = np.random.default_rng(6)
+    sizes = {i: int(n) for i, n in enumerate(rng.zipf(1.5, 200).clip(0, 5000))}
+    sizes[50] = sum(sizes.values()) // 2
+    first, parts = kmeans_tree.deal(sizes, 16)
+    load = Counter()
+    for leaf, n in sizes.items():
+        for g in range(first[leaf], first[leaf] + parts[leaf]):
+            load[g] += n / parts[leaf]
+    assert max(load.values()) <= sum(sizes.values()) / 16 + 1 and max(load) < 3 * 16
