@@ -132,7 +132,7 @@ def op10_suffix_tree(spark, folder):
     docs = table(spark, folder, "documents")
     held = id_remainder(7) == 2
     model = suffix_tree.fit(docs.filter(~held))
-    return suffix_tree.score(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"])
+    return suffix_tree.score(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"], trained=~F.col("held_out"))
 
 
 @query

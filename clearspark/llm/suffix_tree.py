@@ -6,9 +6,10 @@ parts, and with `DEPTH` edges as the text's beginning.
 A context becomes a state when its next bytes diverge from those of its own suffix by more
 than their number and weight explain; distributions are smoothed with the suffix's. All
 counts are gathered over all training texts, distributed and pre-aggregated. The tree is a
-table of all states; the scores of the distinct bytes with their contexts are joined from
-it. What is sent to the tasks only saves joins and is bounded: the scores of at most
-`frequent` of these and the counts of at most `frequent` words; all others are joined.
+table of all states; each distinct byte with its context is scored once, beside the states
+that end in the same three bytes. What is sent to the tasks only saves joins and is bounded: the
+scores of at most `often` of these and the counts of at most `frequent` words; all others are
+joined.
 """
 
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ EDGE = 32
 #: The weight a context needs before its divergence is tested.
 WEIGHT = 12
 SYMBOLS = 257
+#: Bytes that a task counts at once, and distinct bytes with contexts that one group scores.
+GATHERED, GROUP = 1 << 22, 1 << 18
 
 
 @dataclass
@@ -43,9 +46,10 @@ class Model:
     distinct: int
     texts: int
     edges: DataFrame
+    grams: DataFrame
     common: tuple[np.ndarray, np.ndarray]
     common_from: int
-    frequent: int
+    often: int
 
     @cached_property
     def tree(self) -> Backoff:
@@ -90,10 +94,19 @@ def long_contexts(texts: DataFrame, text: str) -> DataFrame:
     """(gram, n): each predicted byte with the DEPTH bytes before it, packed, and how often the texts have it."""
 
     def cut(batches):
+        held: list[np.ndarray] = []
         for batch in batches:
             for _, _, words in sliced(batch.column(0)):
-                grams, n = np.unique(packed(words)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
+                held.append(packed(words)[0])
+                if sum(map(len, held)) >= GATHERED:
+                    yield counted(held)
+                    held.clear()
+        if held:
+            yield counted(held)
+
+    def counted(held):
+        grams, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
     content = texts.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
     return content.mapInArrow(cut, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -123,64 +136,115 @@ def packed(words: ByteWords) -> tuple[np.ndarray, np.ndarray]:
     return out, ends[words.firsts]
 
 
-def shorter(size: Column | str, context: Column) -> Column:
-    """The last `size` bytes of a packed context."""
-    return context.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.lit(8) * F.col(size)).cast("int")) - 1)
+def shorter(size: int, packed_bytes: Column) -> Column:
+    """The last `size` bytes of packed ones."""
+    return packed_bytes.bitwiseAND((1 << (8 * size)) - 1)
 
 
-def contexts(grams: DataFrame) -> DataFrame:
-    """(size, context, byte, n): the byte of each gram after each suffix of its context."""
-    each = grams.select(F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("size"), "gram", "n")
-    each = each.select(
-        "size", shorter("size", F.shiftright("gram", 8)).alias("context"), F.col("gram").bitwiseAND(255).cast("int").alias("byte"), "n"
-    )
-    return each.groupBy("size", "context", "byte").agg(F.sum("n").alias("n"))
+def nodes_of(edges: DataFrame) -> DataFrame:
+    """(context, total, kinds, ns): each context's count, and the counts of its next bytes, at most 256."""
+    own = F.map_from_entries(F.collect_list(F.struct("byte", "n")))
+    return edges.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), own.alias("ns"))
 
 
 def states(grams: DataFrame) -> DataFrame:
-    """(size, context, byte, n): next bytes of all contexts that pass the divergence test, suffix-closed."""
-    edges = landed(contexts(grams), "edges")
-    nodes = edges.groupBy("size", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    weighty = edges.join(nodes.filter(F.col("total") >= WEIGHT), ["size", "context"])
-    suffix = shorter("_up", F.col("context"))
-    child = weighty.filter("size > 0").withColumn("_up", F.col("size") - 1).select("size", "context", "byte", "n", "total", "kinds", suffix.alias("suffix"))
-    parent = weighty.select(
-        (F.col("size") + 1).alias("size"), F.col("context").alias("suffix"), "byte", F.col("n").alias("up_n"), F.col("total").alias("up_total")
-    )
-    gain = F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("up_n") / F.col("up_total")))
-    tested = child.join(parent, ["size", "suffix", "byte"]).groupBy("size", "context").agg(
-        F.sum(gain).alias("gain"), F.first("kinds").alias("kinds"), F.first("total").alias("total")
-    )
-    passed = tested.filter(F.col("gain") > F.lit(0.5) * F.col("kinds") * F.log("total"))
-    closed = passed.select(F.explode(F.sequence(F.lit(0), "size")).alias("size"), F.col("context").alias("long"))
-    closed = closed.select("size", shorter("size", F.col("long")).alias("context")).distinct()
-    root = edges.filter("size = 0")
-    return edges.filter("size > 0").join(closed.filter("size > 0"), ["size", "context"]).unionByName(root)
+    """(size, context, byte, n): next bytes of all contexts that pass the divergence test, suffix-closed.
+
+    The counts of a size come from those of the next larger one, so each step has fewer rows.
+    Only contexts of some weight are compared with their suffix, which weighs no less.
+    """
+    byte = F.col("gram").bitwiseAND(255).cast("int").alias("byte")
+    edges = grams.select(F.shiftright("gram", 8).alias("context"), byte, "n")
+    nodes, root = {}, None
+    for size in range(DEPTH, -1, -1):
+        if size < DEPTH:
+            edges = edges.groupBy(shorter(size, F.col("context")).alias("context"), "byte").agg(F.sum("n").alias("n"))
+            edges = landed(edges, "edges")
+        nodes[size] = landed(nodes_of(edges).filter(F.col("total") >= WEIGHT), "nodes")
+        root = edges
+    kept, out = None, root.select(F.lit(0).alias("size"), "context", "byte", "n")
+    for size in range(DEPTH, 0, -1):
+        suffix = shorter(size - 1, F.col("context")).alias("suffix")
+        child = nodes[size].select("*", suffix)
+        parent = nodes[size - 1].select(F.col("context").alias("suffix"), F.col("total").alias("up_total"), F.col("ns").alias("up"))
+        gain = F.aggregate(
+            F.map_entries("ns"),
+            F.lit(0.0),
+            lambda total, own: total + own["value"] * F.log((own["value"] / F.col("total")) / (F.element_at("up", own["key"]) / F.col("up_total"))),
+        )
+        passed = child.join(parent, "suffix").filter(gain > F.lit(0.5) * F.col("kinds") * F.log("total")).select("context")
+        if kept is not None:
+            passed = passed.union(kept.select(shorter(size, F.col("context")).alias("context"))).distinct()
+        kept = landed(passed, "kept")
+        own = nodes[size].join(kept, "context")
+        out = out.unionByName(own.select(F.lit(size).alias("size"), "context", F.explode("ns").alias("byte", "n")))
+    return out
+
+
+def _smoothed(found: Column, total: Column, kinds: Column, lower: Column) -> Column:
+    return (found + kinds * lower) / (total + kinds)
 
 
 def chances(grams: DataFrame, edges: DataFrame) -> DataFrame:
-    """(gram, log): the log10 probability of each gram's byte after its context.
+    """(gram, n, log): the log10 probability of each gram's byte after its context.
 
     From the empty context up, a state smooths its counts with its suffix's probability and
-    any other context has its suffix's. A byte and context meet at most one row of each table
-    and at most 256 longer contexts, so no key of these joins is hot.
+    any other context has its suffix's. Up to two bytes of context that is done for the
+    distinct last four bytes of the grams; there are at most 257 shorter contexts. Grams then
+    meet all longer states by the last three bytes of their contexts, in groups of bounded size.
     """
-    own = F.map_from_entries(F.collect_list(F.struct("byte", "n")))
-    nodes = edges.groupBy("size", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), own.alias("ns"))
-    asked = contexts(grams).drop("n").join(nodes, ["size", "context"], "left")
-    asked = landed(asked.withColumn("n", F.coalesce(F.try_element_at("ns", F.col("byte")), F.lit(0))).drop("ns"), "asked")
-    lower = None
-    for k in range(DEPTH + 1):
-        rows = asked.filter(F.col("size") == k)
-        if lower is None:
-            rows = rows.withColumn("lower", F.lit(1 / SYMBOLS))
-        else:
-            rows = rows.withColumn("_up", F.col("size") - 1).withColumn("suffix", shorter("_up", F.col("context")))
-            rows = rows.join(lower, ["suffix", "byte"])
-        smoothed = (F.col("n") + F.col("kinds") * F.col("lower")) / (F.col("total") + F.col("kinds"))
-        lower = rows.select(F.col("context").alias("suffix"), "byte", F.coalesce(smoothed, "lower").alias("lower"))
-    gram = F.shiftleft("suffix", 8).bitwiseOR(F.col("byte").cast("bigint"))
-    return lower.select(gram.alias("gram"), F.log10("lower").alias("log"))
+    ends = grams.select(shorter(4, F.col("gram")).alias("end")).distinct()
+    lower = F.lit(1 / SYMBOLS)
+    rows = ends.select("end", F.col("end").bitwiseAND(255).cast("int").alias("byte"), lower.alias("lower"))
+    for size in range(3):
+        own = nodes_of(edges.filter(F.col("size") == size))
+        own = own.withColumn("kinds", F.col("kinds").cast("double"))
+        rows = rows.withColumn("context", shorter(size, F.shiftright("end", 8)))
+        rows = rows.join(F.broadcast(own) if size < 2 else own, "context", "left")
+        seen = F.coalesce(F.try_element_at("ns", F.col("byte")), F.lit(0))
+        value = F.coalesce(_smoothed(seen, F.col("total"), F.col("kinds"), F.col("lower")), F.col("lower"))
+        rows = rows.select("end", "byte", value.alias("lower"))
+    last = lambda packed_bytes: shorter(3, packed_bytes)
+    longer = edges.filter("size >= 3")
+    side = longer.select(last(F.col("context")).alias("end3"), "size", F.col("context").alias("gram"), "byte", "n", F.lit(0.0).alias("lower"))
+    side = side.unionByName(rows.select(F.shiftright("end", 8).alias("end3"), F.lit(-1).alias("size"), F.col("end").alias("gram"), "byte", F.lit(0).cast("bigint").alias("n"), "lower"))
+    asked = grams.withColumn("end3", last(F.shiftright("gram", 8)))
+    crowds = asked.groupBy("end3").count()
+    groups = max(1, -(-(crowds.agg(F.sum("count")).first()[0] or 0) // GROUP))
+    # An end that many grams share is asked in several groups, each with its states.
+    hot = landed(crowds.filter(F.col("count") > GROUP).select("end3", F.ceil(F.col("count") / GROUP).cast("bigint").alias("parts")), "crowds")
+    asked = asked.join(hot, "end3", "left").withColumn("part", F.pmod(F.xxhash64("gram"), F.coalesce("parts", F.lit(1))))
+    side = side.join(hot, "end3", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1)))
+    group = F.pmod(F.xxhash64("end3", "part"), F.lit(groups)).alias("grp")
+    asked, side = asked.select(group, "gram", "n"), side.select(group, "size", "gram", "byte", "n", "lower")
+    return asked.groupBy("grp").cogroup(side.groupBy("grp")).applyInPandas(_logs, "gram bigint, n bigint, log double")
+
+
+def _logs(asked: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+    grams = asked["gram"].to_numpy(np.int64)
+    byte, context = grams & 255, grams >> 8
+    size, packed_bytes, n = side["size"].to_numpy(), side["gram"].to_numpy(np.int64), side["n"].to_numpy(np.int64)
+    ends = size < 0
+    keys, first = np.unique(packed_bytes[ends], return_index=True)
+    if not len(grams):
+        return pd.DataFrame({"gram": grams, "n": grams, "log": np.zeros(0)})
+    chance = side["lower"].to_numpy(np.float64)[ends][first][np.searchsorted(keys, grams & 0xFFFFFFFF)]
+    for k in range(3, DEPTH + 1):
+        own = size == k
+        if not own.any():
+            continue
+        edges = (packed_bytes[own] << 8) | side["byte"].to_numpy(np.int64)[own]
+        # Several groups' states may stand here twice: a hot end's parts can share a group.
+        edges, first = np.unique(edges, return_index=True)
+        counts = n[own][first]
+        listed, which = np.unique(edges >> 8, return_inverse=True)
+        total, kinds = np.bincount(which, counts), np.bincount(which)
+        short = context & ((1 << (8 * k)) - 1)
+        state = find(listed, short)
+        at = find(edges, (short << 8) | byte)
+        seen = np.where(at >= 0, counts[at], 0)
+        chance = np.where(state >= 0, (seen + kinds[state] * chance) / (total[state] + kinds[state]), chance)
+    return pd.DataFrame({"gram": grams, "n": asked["n"].to_numpy(np.int64), "log": np.log10(chance)})
 
 
 def tree(edges: pd.DataFrame) -> Backoff:
@@ -215,7 +279,7 @@ def tree(edges: pd.DataFrame) -> Backoff:
     return Backoff(DEPTH + 1, grams[order], logs, listed, weights, np.array([-np.log10(SYMBOLS)]))
 
 
-def fit(texts: DataFrame, text: str = "text", frequent: int = 1 << 19) -> Model:
+def fit(texts: DataFrame, text: str = "text", frequent: int = 1 << 19, often: int = 1 << 21) -> Model:
     """The model of all rows' whole texts; null texts are empty ones. No rows: no counts, every byte alike."""
     counts = landed(word_counts(texts, text), "word-counts")
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.length("word") == 0, F.col("n"))).alias("t")).first()
@@ -225,23 +289,30 @@ def fit(texts: DataFrame, text: str = "text", frequent: int = 1 << 19) -> Model:
     order = np.argsort(h)
     grams = landed(long_contexts(texts, text), "long-contexts")
     edges = landed(states(grams), "states")
-    return Model(counts, sums["n"] or 0, sums["v"] or 0, sums["t"] or 0, edges, (h[order], n[order]), least, frequent)
+    return Model(counts, sums["n"] or 0, sums["v"] or 0, sums["t"] or 0, edges, grams, (h[order], n[order]), least, often)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", trained: Column | None = None) -> DataFrame:
     """The columns `keep` with n_tokens, n_known, train_tokens, base_score and score.
 
     A text's tokens are its words and one end. `base_score` is the sum of log10
     ((c+1)/(N+V+1)) over them with the training counts c; `score` is the tree's log10
     probability of the text, whose end comes after a word with the training share of ends.
-    Null and empty texts are an end alone. Rows stay as they are, repeated ones too.
+    Null and empty texts are an end alone. Rows stay as they are, repeated ones too. With
+    `trained` telling which rows the model was fitted on, theirs need not be counted again.
     """
     content = F.coalesce(F.col(text), F.lit(""))
-    grams = landed(long_contexts(docs.select(content.alias("_text")), "_text"), "long-contexts")
-    logs = landed(grams.join(chances(grams, model.edges), "gram"), "chances")
-    often = bounded_from(logs, F.col("n"), model.frequent)
-    own = logs.filter(F.col("n") >= often).select("gram", "log").toPandas().sort_values("gram")
-    best = own["gram"].to_numpy(np.int64).view(np.uint64), own["log"].to_numpy(np.float64)
+    if trained is None:
+        grams = long_contexts(docs.select(content.alias("_text")), "_text")
+    else:
+        other = long_contexts(docs.filter(~trained).select(content.alias("_text")), "_text")
+        grams = model.grams.unionByName(other).groupBy("gram").agg(F.sum("n").alias("n"))
+    logs = landed(chances(landed(grams, "long-contexts"), model.edges), "chances")
+    often = bounded_from(logs, F.col("n"), model.often)
+    own = logs.filter(F.col("n") >= often).select("gram", "log").toArrow()
+    order = np.argsort(own.column(0).to_numpy())
+    best = own.column(0).to_numpy()[order].view(np.uint64), own.column(1).to_numpy()[order]
+    del own, order
     sent = docs.sparkSession.sparkContext.broadcast((best, model.common))
     below = np.log10(model.tokens + model.distinct + 1)
     ends = (model.texts + 1) / (model.tokens + 2)
@@ -262,8 +333,10 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
                 listed = at >= 0
                 shares = np.where(listed, np.log10(counts[at] + 1.0) - below, 0.0) if len(counts) else np.zeros(len(at))
                 spelled, starts = packed(words)
-                spot = find(often_grams, spelled)
-                logs = np.where(spot >= 0, often_logs[spot], 0.0) if len(often_logs) else np.zeros(len(spot))
+                unique, which = np.unique(spelled, return_inverse=True)
+                spot = find(often_grams, unique)
+                logs = np.where(spot >= 0, often_logs[spot], 0.0)[which] if len(often_logs) else np.zeros(len(spelled))
+                spot = spot[which]
                 tokens[a:b] += np.diff(words.firsts)
                 value[a:b] += np.diff(words.firsts) * go
                 for sums, part, firsts in ((known, listed, words.firsts), (base, shares, words.firsts), (value, logs, starts)):

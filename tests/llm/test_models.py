@@ -81,7 +81,7 @@ def test_base_scores_match_plain_counts(spark):
 
 def test_rare_words_are_joined(spark):
     docs = odd_table(spark)
-    model = suffix_tree.fit(docs, frequent=3)
+    model = suffix_tree.fit(docs, frequent=3, often=3)
     found = suffix_tree.score(docs, model, keep=["doc_id"]).collect()
     expected = sorted((r[0] or -1, r[1], r[2], round(r[4], 6)) for r in plain_scores(odd_rows(), lambda r: False))
     assert sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in found) == expected
@@ -133,7 +133,7 @@ def test_all_contexts_that_pass_are_kept_and_scored(spark):
     expected = plain_states(listed * 14)
     assert len(expected) > 150_000 / suffix_tree.DEPTH
     for frequent in (1 << 19, 1000):
-        model = suffix_tree.fit(docs, frequent=frequent)
+        model = suffix_tree.fit(docs, frequent=frequent, often=frequent)
         assert len(model.tree.contexts) == len(expected)
         found = suffix_tree.score(docs.filter("id = 0").limit(2000), model, ["text"]).collect()
         assert len(found) == 2000
