@@ -203,21 +203,16 @@ def run_ingest(spark, source, folder, horizon):
     return query
 
 
-def test_streaming_ingest_and_its_horizon(spark, tmp_path):
+def test_streaming_ingest_drops_repeats_and_no_late_row(spark, tmp_path):
     folder = str(tmp_path)
-    rows = [(0, i, i * 1_000_000, True) for i in range(1000, 1010)]
-    source = normalized(spark, rows)
-    source.write.mode("append").parquet(f"{folder}/in")
-    ingest.assert_nothing_late(run_ingest(spark, source, folder, "30 seconds"))
-    source.limit(5).write.mode("append").parquet(f"{folder}/in")
-    ingest.assert_nothing_late(run_ingest(spark, source, folder, "30 seconds"))
-    assert spark.read.parquet(f"{folder}/out").count() == 10
-    far = normalized(spark, [(0, 5000, 5_000_000_000, True)])
-    far.write.mode("append").parquet(f"{folder}/in")
-    run_ingest(spark, source, folder, "30 seconds")
-    normalized(spark, [(0, 1, 1_000_000, True)]).write.mode("append").parquet(f"{folder}/in")
-    with pytest.raises(ingest.LateRows):
-        ingest.assert_nothing_late(run_ingest(spark, source, folder, "30 seconds"))
+    source = normalized(spark, [(0, i, i * 1_000_000, True) for i in range(1000, 1010)]).coalesce(1)
+    late = normalized(spark, [(0, 1, 1_000_000, True)]).coalesce(1)
+    far = normalized(spark, [(0, 5000, 5_000_000_000, True)]).coalesce(1)
+    for rows in (source, source.limit(5), far, late, source.unionByName(late)):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        query = run_ingest(spark, source, folder, "1 hour")
+        assert not any(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    assert sorted(r.offset for r in spark.read.parquet(f"{folder}/out").collect()) == [1, *range(1000, 1010), 5000]
 
 
 def test_batch_form_of_the_whole_log(spark):
@@ -241,8 +236,12 @@ def test_forwarder_folds_copies_and_loses_nothing_late(spark, tmp_path):
     handle(far, 2)
     late = normalized(spark, [(0, 11, 1 * second, True)])
     handle(late.unionByName(some.filter("offset = 1")), 3)
-    found = sorted(r.offset for r in spark.read.parquet(folder).collect())
+    found = sorted(r.offset for r in ingest.forwarded(spark, folder).collect())
     assert found == [*range(10), 11, 500]
+    # Only the folders of the hash buckets that late rows fall into are read for them.
+    handle(late.limit(0), 4)
+    handle(late.withColumn("offset", F.lit(12).cast("bigint")), 5)
+    assert sorted(r.offset for r in ingest.forwarded(spark, folder).collect()) == [*range(10), 11, 500]
 
 
 def test_ingest_is_counted_on_the_way(spark, tmp_path):
