@@ -34,7 +34,7 @@ EDGE = 32
 WEIGHT = 12
 SYMBOLS = 257
 #: Bytes that a task counts at once, and distinct bytes with contexts that one group scores.
-GATHERED, GROUP = 1 << 22, 1 << 18
+GATHERED, GROUP = 1 << 23, 1 << 18
 
 
 @dataclass
@@ -61,15 +61,31 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     """(h, word, n): every distinct token and its count; the empty word is a text's end."""
 
     def counted(batches):
+        held: list[tuple] = []
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0], pa.int64()), pa.array([b""], pa.binary()), pa.array([batch.num_rows], pa.int64())], names=names
             )
             for _, _, words in sliced(batch.column(0)):
-                new, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
-                data = words.symbols.tobytes()
-                spelled = [data[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), pa.array(spelled, pa.binary()), pa.array(n)], names=names)
+                held.append((*np.unique(words.hashes, return_index=True, return_counts=True), words))
+                if len(held) == 8:
+                    yield summed(held)
+                    held.clear()
+        if held:
+            yield summed(held)
+
+    def summed(held):
+        edges = np.cumsum([0, *(len(h[0]) for h in held)])
+        new, first, which = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+        n = np.bincount(which, np.concatenate([h[2] for h in held]), len(new)).astype(np.int64)
+        source = np.searchsorted(edges, first, "right") - 1
+        spelled: list[bytes] = [b""] * len(new)
+        for k, (_, places, _, words) in enumerate(held):
+            mine = np.flatnonzero(source == k)
+            at, data = places[first[mine] - edges[k]], words.symbols.tobytes()
+            for i, a, b in zip(mine.tolist(), words.starts[at].tolist(), words.ends[at].tolist(), strict=True):
+                spelled[i] = data[a:b]
+        return pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), pa.array(spelled, pa.binary()), pa.array(n)], names=names)
 
     names = ["h", "word", "n"]
     content = texts.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
@@ -77,6 +93,50 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     return rows.groupBy("h", "word").agg(F.sum("n").alias("n"))
 
 
+class Slots:
+    """Values of 64-bit keys by hashed place: nearly all lie in their first slot, a look instead of a search."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(len(keys)).bit_length() + 1)
+        self.levels = []
+        for level in range(3):
+            shift = np.uint64(64 - max(4, bits - 3 * level))
+            held = np.zeros(1 << int(64 - shift), np.uint64)
+            logs = np.full(len(held), np.nan, np.float32)
+            at = self._place(keys, level, shift)
+            held[at], logs[at] = keys, values
+            lost = held[at] != keys
+            self.levels.append((shift, held, logs))
+            keys, values = keys[lost], values[lost]
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    @staticmethod
+    def _place(keys: np.ndarray, level: int, shift: np.uint64) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys + np.uint64(level)) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, NaN where it has none."""
+        out, rest = np.full(len(keys), np.nan, np.float32), None
+        for level, (shift, held, logs) in enumerate(self.levels):
+            own = keys if rest is None else keys[rest]
+            at = self._place(own, level, shift)
+            hit = held[at] == own
+            if rest is None:
+                out = np.where(hit, logs[at], out)
+                rest = np.flatnonzero(~hit)
+            else:
+                out[rest[hit]] = logs[at][hit]
+                rest = rest[~hit]
+            if not len(rest):
+                return out
+        if len(self.keys):
+            at = find(self.keys, keys[rest])
+            out[rest] = np.where(at >= 0, self.values[at], out[rest])
+        return out
+
+
 def bounded_from(rows: DataFrame, measure: Column, most: int) -> float:
     """A threshold of a positive measure that at most `most` rows reach."""
     step = F.floor(F.log2(measure) * 8)
@@ -309,10 +369,9 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", tr
         grams = model.grams.unionByName(other).groupBy("gram").agg(F.sum("n").alias("n"))
     logs = landed(chances(landed(grams, "long-contexts"), model.edges), "chances")
     often = bounded_from(logs, F.col("n"), model.often)
-    own = logs.filter(F.col("n") >= often).select("gram", "log").toArrow()
-    order = np.argsort(own.column(0).to_numpy())
-    best = own.column(0).to_numpy()[order].view(np.uint64), own.column(1).to_numpy()[order]
-    del own, order
+    own = logs.filter(F.col("n") >= often).select("gram", F.col("log").cast("float").alias("log")).toArrow()
+    best = own.column(0).to_numpy().view(np.uint64), own.column(1).to_numpy()
+    del own
     sent = docs.sparkSession.sparkContext.broadcast((best, model.common))
     below = np.log10(model.tokens + model.distinct + 1)
     ends = (model.texts + 1) / (model.tokens + 2)
@@ -320,7 +379,8 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", tr
     end_count, kept = model.texts, len(keep)
 
     def scored(batches):
-        (often_grams, often_logs), (common, counts) = sent.value
+        best, (common, counts) = sent.value
+        slots = Slots(*best)
         serial = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = batch.num_rows
@@ -333,15 +393,14 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", tr
                 listed = at >= 0
                 shares = np.where(listed, np.log10(counts[at] + 1.0) - below, 0.0) if len(counts) else np.zeros(len(at))
                 spelled, starts = packed(words)
-                unique, which = np.unique(spelled, return_inverse=True)
-                spot = find(often_grams, unique)
-                logs = np.where(spot >= 0, often_logs[spot], 0.0)[which] if len(often_logs) else np.zeros(len(spelled))
-                spot = spot[which]
+                logs = slots.of(spelled).astype(np.float64)
+                unsent = np.isnan(logs)
+                logs[unsent] = 0.0
                 tokens[a:b] += np.diff(words.firsts)
                 value[a:b] += np.diff(words.firsts) * go
                 for sums, part, firsts in ((known, listed, words.firsts), (base, shares, words.firsts), (value, logs, starts)):
                     sums[a:b] += _sums(part, firsts)
-                for lists, left, missed, firsts in ((rare, words.hashes, ~listed, words.firsts), (unlisted, spelled, spot < 0, starts)):
+                for lists, left, missed, firsts in ((rare, words.hashes, ~listed, words.firsts), (unlisted, spelled, unsent, starts)):
                     others = np.flatnonzero(missed)
                     edges = np.searchsorted(others, firsts)
                     left = left[others].view(np.int64)

@@ -164,3 +164,16 @@ def test_scores_without_training_rows(spark):
     model = suffix_tree.fit(empty_table(spark))
     found = suffix_tree.score(odd_table(spark), model, keep=["doc_id"]).collect()
     assert {(r.n_known, r.train_tokens, r.base_score) for r in found} == {(0, 0, 0.0)}
+
+
+def test_slots_hold_every_key():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 50_000):
+        keys = np.unique(rng.integers(0, 1 << 56, n).astype(np.uint64))
+        values = rng.normal(size=len(keys)).astype(np.float32)
+        slots = suffix_tree.Slots(keys, values)
+        order = rng.permutation(len(keys))
+        assert (slots.of(keys[order]) == values[order]).all()
+        other = np.setdiff1d(rng.integers(0, 1 << 56, 500).astype(np.uint64), keys)
+        assert np.isnan(slots.of(other)).all()
+    assert np.isnan(suffix_tree.Slots(np.array([5], np.uint64), np.array([1], np.float32)).of(np.array([0], np.uint64))).all()
