@@ -26,8 +26,10 @@ from pyspark.sql.types import ArrayType, LongType
 from clearspark.llm.backoff import Backoff, find
 from clearspark.llm.bytewords import ByteWords, sliced
 from clearspark.llm.pretokens import hashed_rows
+from clearspark.llm.wordspans import byte_set
 from clearspark.session import landed
 
+_SOLID = ~byte_set(b"\x20\x09\x0a\x0b\x0c\x0d")
 DEPTH = 6
 EDGE = 32
 #: The weight a context needs before its divergence is tested.
@@ -183,15 +185,20 @@ def packed(words: ByteWords) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(before + sizes + 1) - sizes - 1
     total = int((before + sizes + 1).sum())
     symbols = np.full(total, EDGE, np.uint64)
-    inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    symbols[np.repeat(starts, sizes) + inner] = words.symbols[np.repeat(words.starts, sizes) + inner]
+    solid = words.symbols[_SOLID[words.symbols]]
+    symbols[np.arange(len(solid)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)] = solid
     predicted = np.ones(total, bool)
     for k in range(1, DEPTH + 1):
         predicted[(starts - k)[before >= k]] = False
-    places = np.flatnonzero(predicted)
-    out = symbols[places]
-    for k in range(1, DEPTH + 1):
-        out |= symbols[places - k] << np.uint64(8 * k)
+    # Two bytes from one, four from two, and so on; the text's first edges are predicted nowhere.
+    out, have = symbols, 1
+    while have <= DEPTH:
+        step = min(have, DEPTH + 1 - have)
+        wider = out.copy()
+        # What overlaps is the same byte twice.
+        wider[step:] |= out[:-step] << np.uint64(8 * step)
+        out, have = wider, have + step
+    out = out[predicted] & np.uint64((1 << (8 * (DEPTH + 1))) - 1)
     ends = np.append(0, np.cumsum(sizes + 1))
     return out, ends[words.firsts]
 
@@ -381,6 +388,9 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", tr
     def scored(batches):
         best, (common, counts) = sent.value
         slots = Slots(*best)
+        # Places up to 2^24 are exact.
+        listed_at = Slots(common, np.arange(len(common), dtype=np.float32))
+        weights = np.log10(counts + 1.0) - below
         serial = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = batch.num_rows
@@ -389,9 +399,10 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", tr
             rare: list[np.ndarray] = [np.zeros(0, np.int64)] * rows
             unlisted: list[np.ndarray] = [np.zeros(0, np.int64)] * rows
             for a, b, words in sliced(batch.column(kept)):
-                at = find(common, words.hashes)
-                listed = at >= 0
-                shares = np.where(listed, np.log10(counts[at] + 1.0) - below, 0.0) if len(counts) else np.zeros(len(at))
+                at = listed_at.of(words.hashes)
+                listed = ~np.isnan(at)
+                shares = np.zeros(len(at))
+                shares[listed] = weights[at[listed].astype(np.int64)]
                 spelled, starts = packed(words)
                 logs = slots.of(spelled).astype(np.float64)
                 unsent = np.isnan(logs)
