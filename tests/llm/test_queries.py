@@ -16,7 +16,7 @@ def test_queries_match_their_sql(spark):
 def test_one_query_for_each_operator():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
@@ -30,6 +30,9 @@ def test_columns_of_the_contracts(spark):
         "op7": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
         "op8": "query_id bigint, rank int, vec_id bigint, score double",
         "op10": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+        "op11": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+        "op12": "page_id bigint, url string, text string, n_chars bigint",
+        "op13": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
     }
     for n, columns in shown.items():
         name = next(q for q in QUERIES if q.startswith(f"{n}_"))
