@@ -139,14 +139,14 @@ def stream_time_flush(
     spark.conf.set(_PROVIDER, ROCKSDB)
     try:
         query = timeflush.start(
-            logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), flush, F.lit(0).cast("bigint")
+            logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), flush, F.lit(0).cast("bigint"), "5 seconds"
         )
         try:
             published = lambda: publish.published(spark, out).agg(F.sum("trade_count")).first()[0]
             if not timeflush.wait_until(query, lambda: published() == trades, seconds, 1.0):
                 raise TimeoutError(f"{published()} of {trades} trades are published")
         finally:
-            query.stop()
+            timeflush.stop(query)
     finally:
         spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
     return publish.published(spark, out)

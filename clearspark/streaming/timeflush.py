@@ -9,6 +9,7 @@ through one task and are sorted there; the source's rate limit bounds them.
 
 import os
 import sys
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -150,3 +151,12 @@ def wait_until(query: StreamingQuery, done: Callable[[], bool], seconds: float,
         if query.awaitTermination(step):
             return done()
     return done()
+
+
+def stop(query: StreamingQuery, seconds: float = 3) -> None:
+    """Stops a query between two micro-batches rather than inside one, where it can."""
+    for _ in range(int(seconds / 0.02)):
+        if not query.isActive or not query.status["isTriggerActive"]:
+            break
+        time.sleep(0.02)
+    query.stop()

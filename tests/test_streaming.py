@@ -95,7 +95,7 @@ def test_one_trade_on_an_idle_log_goes_out_by_time(spark, tmp_path, rocksdb):
         assert early == 0
         assert timeflush.wait_until(query, lambda: count() > 0, 60)
     finally:
-        query.stop()
+        timeflush.stop(query)
     (one,) = publish.published(spark, out).collect()
     assert (one.batch_id, one.flush_reason, one.trade_count) == ("batch-p0_0_1", "time", 1)
     assert one.created_at_ms * 1000 >= now + flush.max_wait_us
@@ -112,7 +112,7 @@ def test_timer_batches_equal_the_batch_form(spark, rocksdb):
         done = lambda: publish.published(spark, folder + "/out").agg(F.sum("trade_count")).first()[0] == trades
         assert timeflush.wait_until(query, done, 60)
     finally:
-        query.stop()
+        timeflush.stop(query)
     assert spans(publish.published(spark, folder + "/out").collect()) == replay(rows, 5, 40)
 
 
