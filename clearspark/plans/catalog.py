@@ -21,7 +21,7 @@ from clearspark.operators import (
     validate,
 )
 from clearspark.plans import fixtures, flows, streams
-from clearspark.session import landed
+from clearspark.session import fresh_folder, landed
 from clearspark.sources import logs
 from clearspark.streaming import settle as stream_settling
 from clearspark.streaming import tables
@@ -92,6 +92,17 @@ def keyed_order(spark, folder):
     return ordered.select(F.col("key").cast("string").alias("coin"), "partition", "offset")
 
 
+@query
+def keyed_order_ranks(spark, folder):
+    """The place of each row in the log as written, and how often its order breaks."""
+    path = fresh_folder(spark, "ordered")
+    logs.write_log(fixtures.trades_log(_events(spark, folder)), path, spark.sparkContext.defaultParallelism)
+    breaks = logs.order_breaks(spark, path).scalar()
+    return logs.ranked(spark, path).select(
+        F.col("key").cast("string").alias("coin"), "partition", "offset", "rank", breaks.alias("breaks")
+    )
+
+
 @query
 def strict_decode(spark, folder):
     """Damaged records are unparseable, absent fields are zero, unknown ones ignored."""
@@ -610,6 +621,23 @@ def stream_settle(spark, folder):
     return ledger.select("batch_id", "tx_hash", "attempts", "trade_count")
 
 
+@query
+def stream_settle_cells(spark, folder):
+    """Batches far apart in the log, a third of them delivered again long after.
+
+    The ledger has each in its cell, from the micro-batch that settled it first.
+    """
+    built = fixtures.far_apart(_clean_batches(spark, folder))
+    last = streams.STEPS - 1
+    first = fixtures.corrupted_batches(built).withColumn("step", (F.col("offset") % last).cast("int"))
+    again = first.filter(F.col("offset") % 3 == 0).withColumn("step", F.lit(last))
+    out = streams.stream_settle(
+        spark, first.unionByName(again), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
+    )
+    ledger = tables.read_table(spark, f"{out}/{stream_settling.LEDGER}", stream_settling.LEDGER_SCHEMA)
+    return ledger.select("batch_id", "tx_hash", "log_partition", "span", tables.STEP)
+
+
 @query
 def stream_fifo(spark, folder):
     """The bounded memory carried from micro-batch to micro-batch."""

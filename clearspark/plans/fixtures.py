@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearspark.functions import clock, codec
+from clearspark.operators import batching
 from clearspark.plans import flows
 
 PARTITIONS = 4
@@ -16,6 +17,7 @@ MAX_ATTEMPTS = 4
 INGEST_MS = 1_800_000_000_000
 CREATED_MS = 1_800_000_001_000
 FAILED_MS = 1_800_000_002_000
+FAR = 1 << 16
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -224,6 +226,13 @@ def corrupted_batches(batches: DataFrame) -> DataFrame:
     )
 
 
+def far_apart(batches: DataFrame) -> DataFrame:
+    """FIXTURES.md B5: ids that name offsets FAR times as large, so that few share a ledger cell."""
+    low = F.col("first_offset") * FAR
+    spans = F.array(F.struct(F.col("first_partition").alias("partition"), low.alias("lo"), (low + 1).alias("hi")))
+    return batches.withColumn("batch_id", batching.span_identifier(spans))
+
+
 def attempts(batches: DataFrame, tries: int = 6) -> DataFrame:
     """FIXTURES.md B3: outcomes of tries 1..6; batches at first offset 0 mod 11 always fail."""
     low = F.col("first_offset")

@@ -190,6 +190,13 @@ ORACLES["keyed_order"] = (
     _with(_TRADE) + 'SELECT coin, part AS partition, off AS "offset" FROM delivery'
 )
 
+ORACLES["keyed_order_ranks"] = (
+    _with(_TRADE)
+    + """SELECT coin, part AS partition, off AS "offset",
+  row_number() OVER (ORDER BY coin, part, off) - 1 AS rank, CAST(0 AS BIGINT) AS breaks
+FROM delivery"""
+)
+
 ORACLES["strict_decode"] = (
     _with(_TRADE)
     + """SELECT e AS event_id, parsed,
@@ -440,6 +447,15 @@ ORACLES["stream_settle"] = (
 FROM decided WHERE outcome = 'settled'"""
 )
 
+_FAR = f"lo * {fx.FAR}"
+_FAR_ID = f"'batch-p' || part || '_' || ({_FAR}) || '_' || ({_FAR} + 1)"
+ORACLES["stream_settle_cells"] = (
+    _with(*_CLEAN_DECIDED)
+    + f"""SELECT {_FAR_ID} AS batch_id, '0x' || sha256({_FAR_ID}) AS tx_hash, part AS log_partition,
+  {_FAR} // 1048576 AS span, lo % 3 AS micro_batch
+FROM decided WHERE outcome = 'settled'"""
+)
+
 ORACLES["stream_fifo"] = (
     f'SELECT partition, "offset" FROM ({_fifo(4, 1, 4)}) WHERE admitted'
 )

@@ -3,7 +3,7 @@
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,18 +19,57 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("attempts", T.LongType()),
         T.StructField("trade_count", T.LongType()),
         T.StructField("total_notional", T.StringType()),
+        T.StructField("log_partition", T.IntegerType()),
         T.StructField("span", T.LongType()),
     ]
 )
 
-# The ledger is cut by the first offset of a batch, 2^20 offsets per folder, so a
-# micro-batch looks only at the stretch of the log its own batches come from.
+# The ledger is cut by the log partition and the first offset of a batch, 2^20 offsets per
+# folder. Ids that name no position are dealt over OTHER_SPANS folders by their hash.
 SPAN_BITS = 20
+OTHER_PARTITION, OTHER_SPANS = -1, 256
+CELL = ("log_partition", "span")
+# Up to so many touched cells are named to the reader one by one; with more, the whole
+# ledger is read, which finds the same rows.
+NAMED_CELLS = 1024
 
 
-def _span(batch_id: Column) -> Column:
-    low = F.regexp_extract(batch_id, r"^batch-p[0-9]+_([0-9]+)_", 1)
-    return F.shiftright(F.coalesce(low.try_cast("bigint"), F.lit(0)), SPAN_BITS)
+def with_cell(rows: DataFrame) -> DataFrame:
+    """Adds the ledger cell of `batch_id`; a null id is in the cell of the empty one."""
+    place = r"^batch-p([0-9]+)_([0-9]+)_"
+    batch_id = F.coalesce("batch_id", F.lit(""))
+    partition = F.regexp_extract(batch_id, place, 1).try_cast("int")
+    low = F.regexp_extract(batch_id, place, 2).try_cast("bigint")
+    placed = partition.isNotNull() & low.isNotNull()
+    other = F.pmod(F.xxhash64(batch_id), F.lit(OTHER_SPANS))
+    return rows.withColumns(
+        {
+            "log_partition": F.when(placed, partition).otherwise(F.lit(OTHER_PARTITION)),
+            "span": F.when(placed, F.shiftright(low, SPAN_BITS)).otherwise(other),
+        }
+    )
+
+
+def known_in_cells(spark: SparkSession, ledger: str, settled: DataFrame) -> DataFrame:
+    """The ledger's rows in the cells of `settled`; folders of other cells are not listed.
+
+    Only the cells go to the driver, and no more than NAMED_CELLS of them.
+    """
+    cells = with_cell(settled).select(*CELL).distinct().limit(NAMED_CELLS + 1).collect()
+    if len(cells) > NAMED_CELLS:
+        return tables.read_table(spark, ledger, LEDGER_SCHEMA)
+    named = [tuple(zip(CELL, cell)) for cell in cells]
+    return tables.read_cells(spark, ledger, LEDGER_SCHEMA, named)
+
+
+def write_ledger(fresh: DataFrame, ledger: str, step: int) -> None:
+    """Appends one micro-batch to the cells it touches; the same again when replayed.
+
+    Rows go out by range, so a task writes to neighbouring cells only and a cell that
+    gets most rows is written by several tasks.
+    """
+    rows = with_cell(fresh)
+    tables.write_cells(rows.repartitionByRange(*CELL, "batch_id"), ledger, step, CELL)
 
 
 def settler(
@@ -63,16 +102,9 @@ def settler(
         decided = settle.decide(judged, results, max_attempts).persist()
         try:
             settled = decided.filter(F.col("outcome") == settle.SETTLED)
-            span = settled.select(_span(F.col("batch_id")).alias("s")).agg(
-                F.min("s").alias("lo"), F.max("s").alias("hi")
-            ).first()
-            known = tables.read_table(spark, ledger_folder, LEDGER_SCHEMA).filter(
-                F.col("span").between(span["lo"], span["hi"])
-            )
-            fresh = settle.settle_once(decided, tables.before_step(known, step)).withColumn(
-                "span", _span(F.col("batch_id"))
-            )
-            tables.write_step(fresh, ledger_folder, step, ("span",))
+            known = known_in_cells(spark, ledger_folder, settled)
+            fresh = settle.settle_once(decided, tables.before_step(known, step))
+            write_ledger(fresh, ledger_folder, step)
             letters = settle.dead_letters(decided, failed_at_ms)
             tables.write_step(letters, os.path.join(folder, DEAD_LETTERS), step)
             waiting_now = decided.filter(F.col("outcome") == "pending").select(*columns)

@@ -5,6 +5,7 @@ that is replayed after a failure leaves exactly what its first run would have le
 """
 
 import os
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +94,44 @@ def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], columns)
 
 
+def _cell_path(cell: Sequence[tuple[str, object]]) -> str:
+    return "/".join(f"{name}={value}" for name, value in cell)
+
+
+def write_cells(rows: DataFrame, folder: str, step: int, cell: tuple[str, ...]) -> None:
+    """Writes a micro-batch into a table cut by `cell` first and by micro-batch inside of it.
+
+    Only the folders that get rows are replaced, so a micro-batch that is written again
+    replaces what its first run wrote and nothing else.
+    """
+    (
+        rows.withColumn(STEP, F.lit(step).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*cell, STEP)
+        .parquet(folder)
+    )
+
+
+def read_cells(
+    spark: SparkSession, folder: str, schema: T.StructType, cells: Sequence[Sequence[tuple[str, object]]]
+) -> DataFrame:
+    """The named cells of a table written by `write_cells`; those that are absent have no rows.
+
+    The cells are alternatives of one path pattern, so that no other folder is listed.
+    """
+    columns = T.StructType([*schema.fields, T.StructField(STEP, T.LongType())])
+    if not cells:
+        return spark.createDataFrame([], columns)
+    pattern = "{" + ",".join(sorted(map(_cell_path, cells))) + "}"
+    try:
+        # The pattern is matched when the reader is made.
+        return spark.read.schema(columns).option("basePath", folder).parquet(f"{folder}/{pattern}")
+    except AnalysisException as error:
+        _raise_unless_absent(error)
+        return spark.createDataFrame([], columns)
+
+
 def before_step(table: DataFrame, step: int) -> DataFrame:
     """Rows of earlier micro-batches only: a replay must not see its own first run."""
     return table.filter(F.col(STEP) < step)

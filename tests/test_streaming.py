@@ -140,6 +140,40 @@ def test_settler_has_each_batch_once(spark, tmp_path):
     assert sorted(r.batch_id for r in found) == ["batch-p0_1_2", "batch-p0_9_9", "waits"]
 
 
+def test_ledger_reads_the_touched_cells_only(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    far = 5 << settle.SPAN_BITS
+    names = ["batch-p0_1_2", f"batch-p0_{far}_{far}", "batch-p7_3_4", f"batch-p7_{far}_{far}", "x", "y"]
+    tries = [row for name in names for row in fails(name, 0)]
+    handle = settle.settler(folder, spark.createDataFrame(tries, TRIES), 3)
+    for step in range(2):
+        handle(log(spark, *[batch(name, "a") for name in names[3 * step : 3 * step + 3]]), step)
+    known = settle.known_in_cells(
+        spark, f"{folder}/ledger", spark.createDataFrame([(n,) for n in names[1:3]], "batch_id string")
+    )
+    assert sorted(r.batch_id for r in known.collect()) == sorted(names[1:3])
+    read = {tuple(f.split("/")[-4:-2]) for f in known.inputFiles()}
+    assert read == {("log_partition=0", "span=5"), ("log_partition=7", "span=0")}
+    # An old delivery long after, beside one that no cell has yet; the step is handled twice.
+    again = log(spark, batch(names[0], "a"), batch(names[3], "a"), batch("x", "a"), batch("batch-p9_0_0", "a"))
+    late = settle.settler(folder, spark.createDataFrame(tries + fails("batch-p9_0_0", 0), TRIES), 3)
+    late(again, 2)
+    monkeypatch.setattr(settle, "NAMED_CELLS", 1)
+    late(again, 2)
+    ledger = tables.read_table(spark, f"{folder}/ledger", settle.LEDGER_SCHEMA)
+    found = {r.batch_id: (r.log_partition, r.micro_batch) for r in ledger.collect()}
+    assert ledger.count() == 7
+    assert found.pop("batch-p9_0_0") == (9, 2)
+    assert found == {n: (p, i // 3) for i, (n, p) in enumerate(zip(names, [0, 0, 7, 7, -1, -1]))}
+
+
+def test_ledger_cells_of_odd_ids(spark):
+    rows = spark.createDataFrame([(None,), ("",), ("batch-p99999999999_1_2",), ("batch-p1_2_3-p2_0_0",)], "batch_id string")
+    found = settle.with_cell(rows).collect()
+    assert [r.log_partition for r in found] == [-1, -1, -1, 1]
+    assert found[0].span == found[1].span and all(0 <= r.span < settle.OTHER_SPANS for r in found)
+
+
 def test_settler_sees_tries_that_come_later(spark, tmp_path):
     folder, tries = str(tmp_path / "out"), str(tmp_path / "tries")
     spark.createDataFrame(fails("other", 1), TRIES).write.parquet(tries)
