@@ -3,10 +3,11 @@
 A message's text is JSON: an assistant's `tool_calls` each have an id, a name, arguments and
 the ids that they wait for (`after`); a tool's message has `tool_call_id` and `content`.
 Calls and results meet in a hash join on (conversation, id). The order is by level: a call
-stands one level above the highest call it waits for. Levels are found in rounds over the
-waiting pairs alone, so a conversation is never gathered, however long it is; rounds are as
-many as the longest chain, and what is left when a round resolves nothing waits in a circle
-or for something in one.
+stands one level above the highest call it waits for. Calls that wait for one call alone form
+chains, whose ends are found by doubling; levels of the others are then found in rounds over
+their waiting pairs. So a conversation is never gathered, however long it is; rounds are as
+many as the calls with several waits on one path, and the logarithm of the longest chain. What
+is left when a round resolves nothing waits in a circle or for something in one.
 """
 
 import json
@@ -86,6 +87,28 @@ def parsed(messages: DataFrame, conv: str, turn: str, role: str, text: str) -> D
     return messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), body.alias("m"))
 
 
+def _chains(single: DataFrame) -> DataFrame:
+    """(conv, id, end, steps) of calls that wait for one call: the first on their way that does not.
+
+    Each round doubles the calls that are passed over. A chain has no more calls than its
+    conversation, so what has not ended by then runs in a circle; its `end` is a call of it.
+    """
+    longest = single.groupBy("conv").count().agg(F.max("count")).first()[0] or 1
+    chains = landed(single.select("conv", "id", F.col("dep").alias("end"), F.lit(1).cast("bigint").alias("steps")), "chains")
+    for _ in range((longest - 1).bit_length()):
+        on = chains.select(F.col("conv").alias("_c"), F.col("id").alias("_i"), F.col("end").alias("_e"), F.col("steps").alias("_s"))
+        met = chains.join(on, F.col("conv").eqNullSafe(F.col("_c")) & (F.col("end") == F.col("_i")), "left")
+        ahead = F.col("_i").isNotNull()
+        moved = landed(
+            met.select("conv", "id", F.coalesce("_e", "end").alias("end"), (F.col("steps") + F.coalesce("_s", F.lit(0))).alias("steps"), ahead.alias("ahead")),
+            "chains",
+        )
+        chains = moved.drop("ahead")
+        if moved.filter("ahead").isEmpty():
+            break
+    return chains
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, id, level) of the first call of each id; no row for those that wait in a circle.
 
@@ -97,23 +120,34 @@ def levels(calls: DataFrame) -> DataFrame:
     known = nodes.select(F.col("conv").alias("_c"), F.col("id").alias("dep")).distinct()
     waits = waits.join(known, F.col("conv").eqNullSafe(F.col("_c")) & (waits["dep"] == known["dep"])).select("conv", "id", waits["dep"])
     waits = landed(waits, "waits")
-    waiting = waits.select("conv", "id").distinct()
     same = lambda a, b: a["conv"].eqNullSafe(b["conv"]) & (a["id"] == b["id"])
-    free, rest = nodes.select("conv", "id").distinct(), waiting
-    done = landed(free.join(rest, same(free, rest), "left_anti").withColumn("level", F.lit(0)), "levels")
-    out, left = done, waits
+    waiting = waits.groupBy("conv", "id").agg(F.count("*").alias("n"), F.collect_set("dep").alias("deps"))
+    waiting = landed(waiting, "waiting")
+    chains = _chains(waiting.filter("n = 1").select("conv", "id", F.col("deps")[0].alias("dep")))
+    free = nodes.select("conv", "id").distinct()
+    done = landed(free.join(waiting, same(free, waiting), "left_anti").withColumn("level", F.lit(0).cast("bigint")), "levels")
+    passed = chains.select(F.col("conv").alias("_c"), F.col("id").alias("_d"), "end", "steps")
+    left = waiting.filter("n > 1").select("conv", "id", F.explode("deps").alias("dep"))
+    left = left.join(passed, F.col("conv").eqNullSafe(F.col("_c")) & (F.col("dep") == F.col("_d")), "left")
+    steps = F.coalesce("steps", F.lit(0)).cast("bigint").alias("steps")
+    left = left.select("conv", "id", F.lit(0).cast("bigint").alias("floor"), F.coalesce("end", "dep").alias("dep"), steps)
+    out = done
     while True:
         deps = done.select(F.col("conv").alias("_c"), F.col("id").alias("_d"), F.col("level").alias("_l"))
-        seen = left.join(deps, left["conv"].eqNullSafe(deps["_c"]) & (left["dep"] == deps["_d"]), "left")
-        kinds = "any" if "floor" in left.columns else None
-        floor = F.greatest(F.max(F.col("_l") + 1), F.max("floor") if kinds else F.lit(0))
-        state = landed(seen.groupBy("conv", "id").agg(floor.alias("floor"), F.collect_set(F.when(F.col("_l").isNull(), F.col("dep"))).alias("open")), "waiting")
+        seen = left.join(deps, F.col("conv").eqNullSafe(F.col("_c")) & (F.col("dep") == F.col("_d")), "left")
+        floor = F.greatest(F.max(F.col("_l") + F.col("steps") + 1), F.max("floor"))
+        open_ = F.collect_set(F.when(F.col("_l").isNull(), F.struct("dep", "steps")))
+        state = landed(seen.groupBy("conv", "id").agg(floor.alias("floor"), open_.alias("open")), "waiting")
         ready = state.filter(F.size("open") == 0).select("conv", "id", F.col("floor").alias("level"))
         if ready.isEmpty():
-            return out
+            break
         done = ready
         out = out.unionByName(ready)
-        left = state.filter(F.size("open") > 0).select("conv", "id", "floor", F.explode("open").alias("dep"))
+        left = state.filter(F.size("open") > 0).select("conv", "id", "floor", F.inline("open"))
+    ends = out.select(F.col("conv").alias("_c"), F.col("id").alias("_d"), "level")
+    above = chains.join(ends, F.col("conv").eqNullSafe(F.col("_c")) & (F.col("end") == F.col("_d")))
+    above = above.select("conv", "id", (F.col("level") + F.col("steps")).alias("level"))
+    return out.unionByName(above).withColumn("level", F.col("level").cast("int"))
 
 
 def link(
@@ -129,7 +163,8 @@ def link(
     circular, invalid, unanswered. `message` is the canonical JSON of call and result.
     Ordered by (conv, level, turn, position) calls come after what they wait for. Null ids
     make orphans or unlinked calls; null conversations are one conversation; messages
-    without calls and results give no row; repeated messages give repeated calls.
+    without calls and results give no row; repeated messages give repeated calls. Arguments
+    with half a surrogate pair or nested deeper than DEPTH make a call invalid.
     """
     rows = landed(parsed(messages, conv, turn, role, text), "messages")
     calls = rows.filter("role = 'assistant'").select("conv", "turn", F.posexplode("m.tool_calls").alias("position", "c"))
@@ -180,14 +215,43 @@ def _arrow(messages: DataFrame, ddl: str) -> pa.Schema:
     return to_arrow_schema(messages.sparkSession.createDataFrame([], ddl).schema)
 
 
-def _checked(row: dict, schemas: dict[str, dict]) -> dict:
-    found: list[str] = []
+#: Arguments with more levels of arrays and objects than these are not read.
+DEPTH = 200
+
+
+def _depth(value) -> int:
+    deepest, rest = 0, [(value, 1)]
+    while rest:
+        at, depth = rest.pop()
+        if isinstance(at, (dict, list)):
+            deepest = max(deepest, depth)
+            rest += [(x, depth + 1) for x in (at.values() if isinstance(at, dict) else at)]
+    return deepest
+
+
+def _arguments(text: str | None) -> tuple[object, str, list[str]]:
+    """The value, its canonical JSON and what is wrong with a call's arguments.
+
+    Text that is no JSON, that escapes half a surrogate pair, which no Unicode text can hold,
+    or that is nested deeper than DEPTH stays text.
+    """
+    if text is None:
+        return None, "null", [".: missing"]
     try:
-        arguments = json.loads(row["arguments"]) if row["arguments"] is not None else None
-        if row["arguments"] is None:
-            found.append(".: missing")
-    except (ValueError, RecursionError):
-        arguments, found = row["arguments"], [".: no JSON"]
+        value = json.loads(text)
+        if _depth(value) > DEPTH:
+            return text, canonical(text), [".: too deep"]
+        shown = canonical(value)
+        shown.encode()
+        return value, shown, []
+    except RecursionError:
+        return text, canonical(text), [".: too deep"]
+    except ValueError:
+        return text, canonical(text), [".: no JSON"]
+
+
+def _checked(row: dict, schemas: dict[str, dict]) -> dict:
+    arguments, shown, found = _arguments(row["arguments"])
     if row["name"] not in schemas:
         found = ["unknown tool", *found]
     elif not found:
@@ -199,8 +263,9 @@ def _checked(row: dict, schemas: dict[str, dict]) -> dict:
         else "unanswered" if row["result_turn"] is None
         else "ok"
     )
-    after = sorted({x for x in row["after"] if x is not None})
-    message = canonical({"id": row["id"], "name": row["name"], "arguments": arguments, "after": after, "result": row["content"]})
+    after = canonical(sorted({x for x in row["after"] if x is not None}))
+    rest = canonical({"id": row["id"], "name": row["name"], "result": row["content"]})
+    message = f'{{"after":{after},"arguments":{shown},{rest[1:]}'
     return {k: row[k] for k in ("conv", "turn", "position", "id", "name", "level", "result_turn", "results")} | {
         "status": status, "faults": found, "message": message,
     }

@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -204,6 +205,44 @@ def test_a_message_given_three_times_gives_its_calls_three_times(spark):
     assert found == {("a", "x", "circular"): 3, ("a", "y", "circular"): 1}
 
 
+def test_hostile_arguments_make_a_call_invalid(spark):
+    deep = lambda n: '{"query":"a","limit":' + "[" * n + "]" * n + "}"
+    given = ['{"query":"\\ud800","limit":1}', '{"query":"\\ud83d\\ude00","limit":1}', deep(3000), deep(100000), deep(150), "9" * 5000, '{"query":"a","limit":1e999}']
+    rows = [message("a", i, call(f"x{i}", arguments=text)) for i, text in enumerate(given)]
+    found = {r.turn: r for r in tool_calls.link(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"), tool_messages.SCHEMAS).collect()}
+    assert [found[i].faults for i in range(7)] == [
+        [".: no JSON"], [], [".: too deep"], [".: too deep"], [".limit: not integer"], [".: no JSON"], [".limit: not integer"],
+    ]
+    shown = [json.loads(found[i].message) for i in (0, 1, 3)]
+    assert [m["arguments"] for m in shown] == [given[0], {"query": "\U0001f600", "limit": 1}, given[3]]
+    assert all(list(m) == ["after", "arguments", "id", "name", "result"] for m in shown)
+
+
+def test_a_chain_of_a_thousand_calls(spark):
+    rows = [message("a", i, call(f"x{i}", after=[f"x{i - 1}"] if i else [])) for i in range(1000)]
+    rows += [message("b", i, call(f"x{i}", after=[f"x{(i + 1) % 40}"])) for i in range(40)]
+    started = time.time()
+    found = tool_calls.link(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"), tool_messages.SCHEMAS).collect()
+    assert time.time() - started < 60
+    assert {(r.conv, r.turn): r.level for r in found} == {("a", i): i for i in range(1000)} | {("b", i): None for i in range(40)}
+
+
+def test_levels_of_random_waits(spark):
+    dice, calls = random.Random(5), {}
+    for conv, back in (("dag", True), ("any", False), (None, True)):
+        for i in range(60):
+            ids = [f"x{j}" for j in (range(i) if back else range(60))]
+            calls[conv, f"x{i}"] = dice.sample(ids, min(len(ids), dice.choice([0, 1, 1, 1, 2, 3]))) + ["nobody"]
+    rows = [message(conv, int(i[1:]), call(i, after=after)) for (conv, i), after in calls.items()]
+    expected, left = {}, dict(calls)
+    while ready := {k for k, after in left.items() if all((k[0], d) in expected or (k[0], d) not in calls for d in after)}:
+        expected |= {k: max((expected[k[0], d] + 1 for d in calls[k] if (k[0], d) in calls), default=0) for k in ready}
+        left = {k: after for k, after in left.items() if k not in ready}
+    found = tool_calls.link(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"), tool_messages.SCHEMAS).collect()
+    assert {(r.conv, r.id): r.level for r in found} == {k: expected.get(k) for k in calls}
+    assert 0 < len(left) < 60
+
+
 def test_levels_of_a_table_of_conversations(spark):
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     messages = tool_messages.tool_messages(turns)
