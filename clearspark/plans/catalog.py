@@ -452,15 +452,18 @@ def jitter_bounds(spark, folder):
     )
 
 
-def _both_logs(spark, folder):
-    """All batches as published, and those of them that became dead letters."""
-    built = _clean_batches(spark, folder)
+def _letter_messages(built):
     decided = flows.decide(
         flows.batch_log(built), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
     )
-    letters = settle.dead_letters(decided, _stamp(fixtures.FAILED_MS))
-    messages = settle.dead_letter_messages(letters)
-    return codec.with_batch(flows.batch_log(built)), codec.with_dead_letter(messages)
+    return settle.dead_letter_messages(settle.dead_letters(decided, _stamp(fixtures.FAILED_MS)))
+
+
+def _both_logs(spark, folder):
+    """All batches as published, and those of them that became dead letters."""
+    built = _clean_batches(spark, folder)
+    letters = codec.with_dead_letter(_letter_messages(built))
+    return codec.with_batch(flows.batch_log(built)), letters
 
 
 @query
@@ -638,6 +641,14 @@ def stream_settle_cells(spark, folder):
     return ledger.select("batch_id", "tx_hash", "log_partition", "span", tables.STEP)
 
 
+@query
+def stream_reconcile(spark, folder):
+    """Totals after each step of a log whose batches and dead letters come in any order."""
+    built = _clean_batches(spark, folder)
+    log = fixtures.reconciled_log(built, _letter_messages(built))
+    return streams.stream_reconcile(spark, log, "settlement_batches", "dead_letters")
+
+
 @query
 def stream_fifo(spark, folder):
     """The bounded memory carried from micro-batch to micro-batch."""

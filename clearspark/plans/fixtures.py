@@ -233,6 +233,26 @@ def far_apart(batches: DataFrame) -> DataFrame:
     return batches.withColumn("batch_id", batching.span_identifier(spans))
 
 
+def reconciled_log(batches: DataFrame, letters: DataFrame) -> DataFrame:
+    """FIXTURES.md B6: batches, a part of them twice, and dead letters as one log in steps."""
+    first = flows.batch_log(batches).withColumn("step", (F.col("offset") % 3).cast("int"))
+    twice = first.filter(F.col("offset") % 5 == 0).withColumns(
+        {"offset": F.col("offset") + 1, "step": F.col("step") + 1}
+    )
+    low = F.regexp_extract(F.col("key").cast("string"), "_([0-9]+)_", 1).cast("bigint")
+    step = F.when(low % 7 == 0, 0).otherwise(low % 3 + 1).cast("int")
+    dead = letters.select(
+        F.lit("dead_letters").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        "key",
+        "value",
+        step.alias("step"),
+    )
+    return first.unionByName(twice).unionByName(dead)
+
+
 def attempts(batches: DataFrame, tries: int = 6) -> DataFrame:
     """FIXTURES.md B3: outcomes of tries 1..6; batches at first offset 0 mod 11 always fail."""
     low = F.col("first_offset")

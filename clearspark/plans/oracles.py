@@ -456,6 +456,19 @@ ORACLES["stream_settle_cells"] = (
 FROM decided WHERE outcome = 'settled'"""
 )
 
+ORACLES["stream_reconcile"] = (
+    _with(*_CLEAN_BY_SIZE, _TRIES)
+    + """SELECT micro_batch, CAST(sum(b) AS BIGINT) AS batches, CAST(sum(b * n) AS BIGINT) AS sum_trade_count,
+  CAST(COALESCE(sum(n) FILTER (WHERE b > 0 OR d), 0) AS BIGINT) AS distinct_trade_ids,
+  count(*) FILTER (WHERE d) AS dead_letter_records,
+  CAST(COALESCE(sum(n) FILTER (WHERE d), 0) AS BIGINT) AS dead_letter_distinct_trade_ids
+FROM (
+  SELECT s AS micro_batch, n, CAST(lo % 3 <= s AS INTEGER) + CAST(lo % 5 = 0 AND lo % 3 + 1 <= s AS INTEGER) AS b,
+    won IS NULL AND CASE WHEN lo % 7 = 0 THEN 0 ELSE lo % 3 + 1 END <= s AS d
+  FROM batch LEFT JOIN tries USING (part, k) CROSS JOIN generate_series(0, 3) AS steps(s))
+GROUP BY micro_batch"""
+)
+
 ORACLES["stream_fifo"] = (
     f'SELECT partition, "offset" FROM ({_fifo(4, 1, 4)}) WHERE admitted'
 )

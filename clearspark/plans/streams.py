@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clearspark.operators import batching
 from clearspark.session import fresh_folder, landed
 from clearspark.sources import logs
-from clearspark.streaming import ingest, memory, publish, settle, timeflush
+from clearspark.streaming import ingest, memory, publish, reconcile, settle, timeflush
 
 STEPS = 4
 
@@ -173,6 +173,22 @@ def stream_settle(
     return out
 
 
+def stream_reconcile(
+    spark: SparkSession, log: DataFrame, batches: str, letters: str, steps: int = STEPS
+) -> DataFrame:
+    """R1-R3 on a stream: the totals after each step."""
+    root = fresh_folder(spark, "reconcile")
+    arrived, out = os.path.join(root, "log"), os.path.join(root, "out")
+    staged = staged_steps(log)
+    for step in range(steps):
+        land_step(staged, arrived, step)
+        query = reconcile.follow(
+            logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), batches, letters, availableNow=True
+        )
+        query.awaitTermination()
+    return reconcile.totals(spark, out)
+
+
 def stream_remember(
     spark: SparkSession, log: DataFrame, capacity: int, shards: int, steps: int = STEPS
 ) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from clearspark.functions import codec
 from clearspark.operators import batching, metrics, validate
+from clearspark.operators import reconcile as static
 from clearspark.operators.batching import Flush
 from clearspark.plans import streams
 from clearspark.sources import logs
-from clearspark.streaming import ingest, memory, publish, settle, tables, timeflush
+from clearspark.streaming import ingest, memory, publish, reconcile, settle, tables, timeflush
 from test_batching import random_log, replay, spans
 from test_settle import batch, fails, log, TRIES
 from test_validate import GOOD
@@ -187,6 +188,37 @@ def test_settler_sees_tries_that_come_later(spark, tmp_path):
     assert [r.batch_id for r in found] == ["waits"]
 
 
+def test_reconciliation_equals_the_batch_form_after_each_step(spark):
+    letter = lambda name, *ids: f'{{"batch_id":"{name}","original_batch":{batch(name, *ids)}}}'
+    given = [
+        ("b", 0, batch("one", "x", "y", "x")), ("b", 0, "{"), ("d", 0, letter("early", "z")),
+        ("b", 1, batch("two", "y", "v")), ("b", 1, batch("none")), ("d", 1, "broken"), ("other", 1, batch("no", "q")),
+        ("d", 2, letter("one", "x", "y")), ("d", 2, letter("one", "x", "y")), ("b", 2, batch("three", "z", trade_count=7)),
+        ("b", 3, batch("odd", "x", None)),
+    ]
+    rows = [(topic, 0, i, None, None, value.encode(), step) for i, (topic, step, value) in enumerate(given)]
+    every = spark.createDataFrame(rows, "topic string, partition int, offset bigint, timestamp timestamp, key binary, value binary, step int")
+    found = {r.micro_batch: r for r in streams.stream_reconcile(spark, every, "b", "d").collect()}
+    assert sorted(found) == [0, 1, 2, 3]
+    for step, row in found.items():
+        so_far = every.filter(F.col("step") <= step)
+        batches = codec.with_batch(so_far.filter("topic = 'b'"))
+        expected = static.summary(batches, codec.with_dead_letter(so_far.filter("topic = 'd'"))).first()
+        assert row.asDict() == {**expected.asDict(), "micro_batch": step}
+
+
+def test_totals_of_a_repeated_step(spark, tmp_path):
+    folder = str(tmp_path)
+    handle = reconcile.totals_after(folder)
+    some = spark.createDataFrame([("batch", "p", 3), ("trade", "x", 0), ("dead", "x", 0)], "kind string, id string, declared bigint")
+    handle(some.filter("false"), 0)
+    for step in (1, 1, 2):
+        handle(some, step)
+    found = [tuple(r)[:5] for r in reconcile.verdicts(spark, folder, 2).orderBy("micro_batch").collect()]
+    assert found == [(0, 0, 0, 0, 0), (1, 3, 1, 0, 1), (2, 6, 2, 0, 2)]
+    assert [r.verdict for r in reconcile.verdicts(spark, folder, 2).orderBy("micro_batch").collect()] == ["FAIL", "FAIL", "OK"]
+
+
 def test_a_missing_hand_over_stops_the_stream(spark, tmp_path):
     some = normalized(spark, [(0, 0, 0, True)])
     with pytest.raises(tables.MissingStep):
