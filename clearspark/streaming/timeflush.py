@@ -12,6 +12,7 @@ import sys
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -28,10 +29,11 @@ HELD = "offset long, clock_us long, is_trade boolean, value binary"
 HEAD = "trades long, first_us long, clock_us long"
 CLOSED = f"partition int, batch_key long, {HELD}"
 _COLUMNS = ("offset", "clock_us", "is_trade", "value")
+PIECE = 20_000  # rows that are emitted at once
 
 
 class OpenBatches(StatefulProcessor):
-    """The open batch of each partition; closed ones are emitted row by row, named by their first offset."""
+    """The open batch of each partition; the rows of closed ones are emitted in pieces, with the first offset of their batch."""
 
     def __init__(self, size: int, wait_us: int):
         self.size, self.wait_us = size, wait_us
@@ -41,9 +43,8 @@ class OpenBatches(StatefulProcessor):
         self.held = handle.getListState("held", HELD)
         self.head = handle.getValueState("head", HEAD)
 
-    def _emitted(self, key, rows: list[tuple]) -> pd.DataFrame:
-        lowest = min(r[0] for r in rows)
-        frame = pd.DataFrame(rows, columns=_COLUMNS)
+    def _emitted(self, key, lowest, rows: pd.DataFrame) -> pd.DataFrame:
+        frame = rows[list(_COLUMNS)].reset_index(drop=True)
         frame.insert(0, "batch_key", lowest)
         frame.insert(0, "partition", key[0])
         return frame
@@ -55,36 +56,68 @@ class OpenBatches(StatefulProcessor):
         if trades:
             self.handle.registerTimer(-(-(first_us + self.wait_us) // 1000))
 
+    def _ends(self, clocks: np.ndarray, is_trade: np.ndarray, trades: int, first_us: int) -> tuple[list[int], int, int]:
+        """The rows before which batches end, and the trades and first clock of the one left open.
+
+        `trades` and `first_us` are those of the batch open before the rows.
+        """
+        rows, opens = len(clocks), np.flatnonzero(is_trade)
+        ends: list[int] = []
+        if trades:
+            by_size = int(opens[self.size - trades - 1]) + 1 if self.size - trades <= len(opens) else rows + 1
+            late = int(np.searchsorted(clocks, first_us + self.wait_us, side="left"))
+            end = min(by_size, late if late < rows else rows + 1)
+            if end > rows:
+                return ends, trades + len(opens), first_us
+            ends.append(end)
+        # For a batch opened at each trade: where it ends, and the trade that opens the next.
+        full = np.arange(len(opens)) + (self.size - 1)
+        by_size = np.full(len(opens), rows + 1)
+        reached = full < len(opens)
+        by_size[reached] = opens[full[reached]] + 1
+        late = np.maximum(np.searchsorted(clocks, clocks[opens] + self.wait_us, side="left"), opens + 1)
+        closing = np.minimum(by_size, np.where(late < rows, late, rows + 1))
+        following, closing = np.searchsorted(opens, closing, side="left").tolist(), closing.tolist()
+        at = int(np.searchsorted(opens, ends[-1], side="left")) if ends else 0
+        while at < len(opens):
+            if closing[at] > rows:
+                return ends, len(opens) - at, int(clocks[opens[at]])
+            ends.append(closing[at])
+            at = following[at]
+        return ends, 0, first_us
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values("offset")
+        frame = pd.concat([part[list(_COLUMNS)] for part in rows], ignore_index=True).sort_values("offset", ignore_index=True)
         trades, first_us, clock_us = self.head.get() if self.head.exists() else (0, 0, -(1 << 62))
-        old = [tuple(r) for r in self.held.get()] if self.held.exists() else []
-        own: list[tuple] = []
-        closed = False
-        for offset, at, is_trade, value in frame[list(_COLUMNS)].itertuples(index=False):
-            # A clock that steps back is held.
-            clock_us = max(clock_us, int(at))
-            if trades >= self.size or (trades and clock_us - first_us >= self.wait_us):
-                yield self._emitted(key, old + own)
-                old, own, trades, closed = [], [], 0, True
-            if is_trade and not trades:
-                first_us = clock_us
-            trades += bool(is_trade)
-            own.append((int(offset), clock_us, bool(is_trade), value))
-        if trades >= self.size:
-            yield self._emitted(key, old + own)
-            old, own, trades, closed = [], [], 0, True
-        if closed:
+        # A clock that steps back is held.
+        clocks = np.maximum(np.maximum.accumulate(frame["clock_us"].to_numpy(np.int64)), clock_us)
+        frame["clock_us"] = clocks
+        ends, trades, first_us = self._ends(clocks, frame["is_trade"].to_numpy(bool), trades, first_us)
+        if ends:
+            offsets, starts = frame["offset"].to_numpy(np.int64), [0, *ends[:-1]]
+            lowest = offsets[np.minimum(starts, len(offsets) - 1)]
+            if self.held.exists():
+                old = pd.DataFrame([tuple(r) for r in self.held.get()], columns=_COLUMNS)
+                if len(old):
+                    lowest[0] = min([int(old["offset"].min()), *offsets[: min(ends[0], 1)]])
+                    yield self._emitted(key, lowest[0], old)
+            keys = np.repeat(lowest, np.diff([0, *ends]))
+            # Many batches go out in one piece, and none of them at once with all others.
+            for low in range(0, ends[-1], PIECE):
+                high = min(low + PIECE, ends[-1])
+                yield self._emitted(key, keys[low:high], frame.iloc[low:high])
             self.held.clear()
-        if own:
-            self.held.appendList(own)
-        self._keep(trades, first_us, clock_us)
+            frame = frame.iloc[ends[-1] :]
+        if len(frame):
+            self.held.appendList([(int(o), int(c), bool(t), v) for o, c, t, v in frame[list(_COLUMNS)].itertuples(index=False)])
+        self._keep(trades, first_us, int(clocks[-1]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         trades, first_us, clock_us = self.head.get() if self.head.exists() else (0, 0, 0)
         due = first_us + self.wait_us <= timerValues.getCurrentProcessingTimeInMs() * 1000
         if trades and due:
-            yield self._emitted(key, [tuple(r) for r in self.held.get()])
+            held = pd.DataFrame([tuple(r) for r in self.held.get()], columns=_COLUMNS)
+            yield self._emitted(key, held["offset"].min(), held)
             self.held.clear()
             self._keep(0, 0, clock_us)
 
@@ -125,7 +158,9 @@ def start(
 
     def handle(micro: DataFrame, step: int) -> None:
         tables.claim(micro.sparkSession, folder)
-        labelled = codec.with_trade(micro).select("partition", "batch_key", "offset", "trade")
+        # Rows come from one task for each log partition; they are dealt out before they are parsed.
+        dealt = micro.repartition("partition", "batch_key")
+        labelled = codec.with_trade(dealt).select("partition", "batch_key", "offset", "trade")
         built = batching.build(labelled, flush, created_at_ms).persist()
         try:
             # Micro-batches that only look for due timers write nothing.

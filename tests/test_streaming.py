@@ -2,6 +2,7 @@
 
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -326,3 +327,75 @@ def test_ingest_is_counted_on_the_way(spark, tmp_path):
     seen = [p["observedMetrics"]["ingest"] for p in query.recentProgress if p["numInputRows"]]
     totals = {k: sum(s.asDict()[k] for s in seen) for k in ("consumed", "accepted", "dropped")}
     assert totals == {"consumed": 8, "accepted": 6, "dropped": 2}
+
+
+class Kept:
+    """A state variable of one key, in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value if isinstance(self.value, tuple) else iter(self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, rows):
+        self.value = (self.value or []) + rows
+
+    def clear(self):
+        self.value = None
+
+
+class Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getListState(self, name, schema):
+        return Kept()
+
+    getValueState = getListState
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def deleteTimer(self, timer):
+        self.timers.remove(timer)
+
+    def registerTimer(self, timer):
+        self.timers.append(timer)
+
+
+@pytest.mark.parametrize("size,wait", [(5, 40), (1, 40), (1 << 62, 40), (3, 1 << 62), (3, 0)])
+def test_many_batches_of_a_partition_go_out_in_one_piece(size, wait):
+    rows = [r for r in random_log(7, n=900) if r[0] == 0]
+    open_batches = timeflush.OpenBatches(size, wait)
+    open_batches.init(Handle())
+    found, frames = [], 0
+    for low, high in ((0, 1), (1, 2), (2, 40), (40, 41), (41, len(rows))):
+        frame = pd.DataFrame([(o, at, ok, b"v") for _, o, at, ok in rows[low:high]], columns=timeflush._COLUMNS)
+        parts = list(open_batches.handleInputRows((0,), iter([frame.iloc[::-1], frame.iloc[:0]]), None))
+        frames += len(parts)
+        found += [(int(r.batch_key), int(r.offset)) for part in parts for r in part.itertuples()]
+    # Row by row, as the log says it.
+    expected, own, trades, first, clock = [], [], 0, 0, -(1 << 62)
+    for _, offset, at, ok in rows:
+        clock = max(clock, at)
+        if trades >= size or (trades and clock - first >= wait):
+            expected, own, trades = [*expected, own], [], 0
+        if ok and not trades:
+            first = clock
+        trades += ok
+        own.append(offset)
+    if trades >= size:
+        expected, own, trades = [*expected, own], [], 0
+    assert found == [(batch[0], offset) for batch in expected for offset in batch]
+    assert frames <= 10
+    left = open_batches.held
+    assert [r[0] for r in (left.get() if left.exists() else [])] == own
+    assert open_batches.head.get()[0] == trades
+    assert len(open_batches.handle.timers) == (trades > 0)
