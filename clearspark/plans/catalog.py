@@ -615,12 +615,10 @@ def stream_settle(spark, folder):
     """Every batch is delivered twice, in two steps; the ledger has it once."""
     built = _clean_batches(spark, folder)
     step = (F.col("offset") % (streams.STEPS - 1)).cast("int")
-    first = fixtures.corrupted_batches(built).withColumn("step", step)
-    again = first.withColumn("step", F.col("step") + 1)
-    out = streams.stream_settle(
-        spark, first.unionByName(again), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
-    )
-    ledger = tables.read_table(spark, f"{out}/{stream_settling.LEDGER}", stream_settling.LEDGER_SCHEMA)
+    # Each record is made once and delivered twice.
+    log = fixtures.corrupted_batches(built).withColumn("step", F.explode(F.array(step, step + 1)))
+    out = streams.stream_settle(spark, log, fixtures.attempts(built), fixtures.MAX_ATTEMPTS)
+    ledger = stream_settling.read_ledger(spark, f"{out}/{stream_settling.LEDGER}")
     return ledger.select("batch_id", "tx_hash", "attempts", "trade_count")
 
 
@@ -632,12 +630,11 @@ def stream_settle_cells(spark, folder):
     """
     built = fixtures.far_apart(_clean_batches(spark, folder))
     last = streams.STEPS - 1
-    first = fixtures.corrupted_batches(built).withColumn("step", (F.col("offset") % last).cast("int"))
-    again = first.filter(F.col("offset") % 3 == 0).withColumn("step", F.lit(last))
-    out = streams.stream_settle(
-        spark, first.unionByName(again), fixtures.attempts(built), fixtures.MAX_ATTEMPTS
-    )
-    ledger = tables.read_table(spark, f"{out}/{stream_settling.LEDGER}", stream_settling.LEDGER_SCHEMA)
+    step, late = (F.col("offset") % last).cast("int"), F.lit(last)
+    steps = F.when(F.col("offset") % 3 == 0, F.array(step, late)).otherwise(F.array(step))
+    log = fixtures.corrupted_batches(built).withColumn("step", F.explode(steps))
+    out = streams.stream_settle(spark, log, fixtures.attempts(built), fixtures.MAX_ATTEMPTS)
+    ledger = stream_settling.read_ledger(spark, f"{out}/{stream_settling.LEDGER}")
     return ledger.select("batch_id", "tx_hash", "log_partition", "span", tables.STEP)
 
 

@@ -50,26 +50,50 @@ def with_cell(rows: DataFrame) -> DataFrame:
     )
 
 
+def _wide(ledger: str) -> str:
+    """The part of a ledger that holds micro-batches of more than NAMED_CELLS cells."""
+    return f"{ledger}_wide"
+
+
+def _cells(rows: DataFrame) -> list:
+    """The cells of some rows, no more than one over NAMED_CELLS of them."""
+    return with_cell(rows).select(*CELL).distinct().limit(NAMED_CELLS + 1).collect()
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """The whole ledger, with the micro-batch that settled each batch."""
+    narrow, wide = (tables.read_table(spark, path, LEDGER_SCHEMA) for path in (ledger, _wide(ledger)))
+    return narrow.unionByName(wide)
+
+
 def known_in_cells(spark: SparkSession, ledger: str, settled: DataFrame) -> DataFrame:
     """The ledger's rows in the cells of `settled`; folders of other cells are not listed.
 
-    Only the cells go to the driver, and no more than NAMED_CELLS of them.
+    Only the cells go to the driver, and no more than NAMED_CELLS of them. In the files of wide
+    micro-batches the cells stand in order, so their statistics tell which to read.
     """
-    cells = with_cell(settled).select(*CELL).distinct().limit(NAMED_CELLS + 1).collect()
+    cells = _cells(settled)
     if len(cells) > NAMED_CELLS:
-        return tables.read_table(spark, ledger, LEDGER_SCHEMA)
+        return read_ledger(spark, ledger)
     named = [tuple(zip(CELL, cell)) for cell in cells]
-    return tables.read_cells(spark, ledger, LEDGER_SCHEMA, named)
+    wide = tables.read_table(spark, _wide(ledger), LEDGER_SCHEMA)
+    for name in CELL:
+        wide = wide.filter(F.col(name).isin(sorted({cell[name] for cell in cells})))
+    return tables.read_cells(spark, ledger, LEDGER_SCHEMA, named).unionByName(wide)
 
 
 def write_ledger(fresh: DataFrame, ledger: str, step: int) -> None:
     """Appends one micro-batch to the cells it touches; the same again when replayed.
 
     Rows go out by range, so a task writes to neighbouring cells only and a cell that
-    gets most rows is written by several tasks.
+    gets most rows is written by several tasks. A micro-batch of more than NAMED_CELLS cells
+    is one folder with its cells in order, as a folder for each would be as many files as rows.
     """
-    rows = with_cell(fresh)
-    tables.write_cells(rows.repartitionByRange(*CELL, "batch_id"), ledger, step, CELL)
+    rows = with_cell(fresh).repartitionByRange(*CELL, "batch_id")
+    if len(_cells(fresh)) > NAMED_CELLS:
+        tables.write_step(rows.sortWithinPartitions(*CELL), _wide(ledger), step)
+    else:
+        tables.write_cells(rows, ledger, step, CELL)
 
 
 def settler(

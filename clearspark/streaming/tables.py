@@ -84,6 +84,11 @@ def claim(spark: SparkSession, folder: str) -> None:
         raise ForeignFolder(f"{folder} was written by query {owner['query']}")
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form that costs a query no tasks."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).filter(F.lit(False))
+
+
 def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All micro-batches; an empty table before the first."""
     columns = T.StructType([*schema.fields, T.StructField(STEP, T.LongType())])
@@ -91,7 +96,7 @@ def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFr
         return spark.read.schema(columns).parquet(folder)
     except AnalysisException as error:
         _raise_unless_absent(error)
-        return spark.createDataFrame([], columns)
+        return _empty(spark, columns)
 
 
 def _cell_path(cell: Sequence[tuple[str, object]]) -> str:
@@ -122,14 +127,14 @@ def read_cells(
     """
     columns = T.StructType([*schema.fields, T.StructField(STEP, T.LongType())])
     if not cells:
-        return spark.createDataFrame([], columns)
+        return _empty(spark, columns)
     pattern = "{" + ",".join(sorted(map(_cell_path, cells))) + "}"
     try:
         # The pattern is matched when the reader is made.
         return spark.read.schema(columns).option("basePath", folder).parquet(f"{folder}/{pattern}")
     except AnalysisException as error:
         _raise_unless_absent(error)
-        return spark.createDataFrame([], columns)
+        return _empty(spark, columns)
 
 
 def before_step(table: DataFrame, step: int) -> DataFrame:

@@ -399,3 +399,21 @@ def test_many_batches_of_a_partition_go_out_in_one_piece(size, wait):
     assert [r[0] for r in (left.get() if left.exists() else [])] == own
     assert open_batches.head.get()[0] == trades
     assert len(open_batches.handle.timers) == (trades > 0)
+
+
+def test_a_micro_batch_of_many_cells_is_one_folder(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    names = [f"batch-p0_{i << settle.SPAN_BITS}_{i << settle.SPAN_BITS}" for i in range(9)]
+    tries = [row for name in names for row in fails(name, 0)]
+    handle = settle.settler(folder, spark.createDataFrame(tries, TRIES), 3)
+    monkeypatch.setattr(settle, "NAMED_CELLS", 4)
+    handle(log(spark, *[batch(name, "a") for name in names[:2]]), 0)
+    for _ in range(2):
+        handle(log(spark, *[batch(name, "a") for name in names[1:8]]), 1)
+    # Known from a wide micro-batch and from a narrow one.
+    handle(log(spark, *[batch(name, "a") for name in (names[0], names[5], names[8])]), 2)
+    found = {r.batch_id: (r.span, r.micro_batch) for r in settle.read_ledger(spark, f"{folder}/ledger").collect()}
+    assert settle.read_ledger(spark, f"{folder}/ledger").count() == 9
+    assert found == {name: (i, 0 if i < 2 else 1 if i < 8 else 2) for i, name in enumerate(names)}
+    assert len(list((tmp_path / "ledger").glob("*/span=*"))) == 3
+    assert [p.name for p in (tmp_path / "ledger_wide").glob("*=*")] == ["micro_batch=1"]
