@@ -92,7 +92,26 @@ def product(price: Column, size: Column) -> Column:
 def notional(price: Column, size: Column) -> Column:
     """The exact product of two decimal texts in shortest form; NULL when either does not parse."""
     quick = canonical_text(product(plain_decimal(price), plain_decimal(size)))
-    return F.coalesce(quick, let(F.struct(parse_decimal(price).alias("a"), parse_decimal(size).alias("b")), _wide_product))
+    return F.coalesce(quick, let(F.struct(parse_decimal(price).alias("a"), parse_decimal(size).alias("b")), _parsed_product))
+
+
+def _parsed_product(pair: Column) -> Column:
+    """The text of the product of two parsed numbers, NULL when one is NULL; in limbs only where digits are many."""
+    digits = 18
+    a, b = pair["a"], pair["b"]
+    # Digits without their powers: decimal(18,0) * decimal(18,0) is decimal(37,0), so nothing is lost.
+    short = (F.length(a["digits"]) <= digits) & (F.length(b["digits"]) <= digits)
+    whole = lambda number: number["digits"].try_cast(f"decimal({digits},0)")
+
+    def shaped(text: Column) -> Column:
+        bare = F.rtrim(text, F.lit("0"))
+        power = a["power"] + b["power"] + F.length(text) - F.length(bare)
+        negative = (a["negative"] != b["negative"]) & (bare != "")
+        return plain_text(F.struct(negative.alias("negative"), bare.alias("digits"), power.alias("power")))
+
+    # A number without digits is zero.
+    text = F.coalesce((whole(a) * whole(b)).cast(_WIDE), F.lit(0).cast(_WIDE)).cast("string")
+    return F.when(short, let(text, shaped)).otherwise(_wide_product(pair))
 
 
 def _spelled_out(value: Column) -> Column:

@@ -18,20 +18,24 @@ INGEST_MS = 1_800_000_000_000
 CREATED_MS = 1_800_000_001_000
 FAILED_MS = 1_800_000_002_000
 FAR = 1 << 16
+# Rows of a table that one task makes records of.
+TASK_ROWS = 1 << 17
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """A scan with fewer splits than there are cores, dealt out to all of them.
+def spread(rows: DataFrame, at_most: int = TASK_ROWS) -> DataFrame:
+    """A scan with fewer splits than there are cores, or of more than `at_most` rows each, dealt out anew.
 
-    Parsing is the costly step here, and a small table is one file with one split. A
-    table of many files has splits enough and is left as it is.
+    Parsing is the costly step here, and rows are small in their files: a table of few
+    files has few splits, however many rows it has. So the number of tasks grows with
+    the rows and no task with the table. A table of many files is left as it is.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    wanted = max(cores, -(-rows.count() // at_most))
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
 def max_wait_us(events: DataFrame) -> int:

@@ -1,16 +1,17 @@
 """Streams against the batch form, across micro-batches, restarts and replays."""
 
 import time
+from decimal import Decimal, localcontext
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from clearspark.functions import codec
+from clearspark.functions import codec, decimals
 from clearspark.operators import batching, metrics, validate
 from clearspark.operators import reconcile as static
 from clearspark.operators.batching import Flush
-from clearspark.plans import streams
+from clearspark.plans import fixtures, streams
 from clearspark.sources import logs
 from clearspark.streaming import ingest, memory, publish, reconcile, settle, tables, timeflush
 from test_batching import random_log, replay, spans
@@ -417,3 +418,20 @@ def test_a_micro_batch_of_many_cells_is_one_folder(spark, tmp_path, monkeypatch)
     assert found == {name: (i, 0 if i < 2 else 1 if i < 8 else 2) for i, name in enumerate(names)}
     assert len(list((tmp_path / "ledger").glob("*/span=*"))) == 3
     assert [p.name for p in (tmp_path / "ledger_wide").glob("*=*")] == ["micro_batch=1"]
+
+
+def test_tasks_grow_with_the_rows(spark):
+    rows = spark.range(0, 1000, 1, 4)
+    assert fixtures.spread(rows, 100).rdd.getNumPartitions() == 10
+    assert fixtures.spread(rows).rdd.getNumPartitions() == 4
+    assert fixtures.spread(spark.range(0, 1000, 1, 20), 100).rdd.getNumPartitions() == 20
+    assert fixtures.spread(rows, 100).distinct().count() == 1000
+
+
+def test_products_of_few_digits_with_powers(spark):
+    pairs = [("1.5e20", "2"), ("-2e-20", "50"), ("0e5", "-3"), ("999999999999999999e3", "-999999999999999999e-40"), ("1" + "9" * 30, "2e7"), ("5e-9", "2e9")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", decimals.notional(F.col("a"), F.col("b")).alias("product"))
+    for row in rows.collect():
+        with localcontext(prec=200):
+            assert Decimal(row["product"]) == Decimal(row["a"]) * Decimal(row["b"])
+        assert not row["product"].startswith("-0.0e") and row["product"] != "-0"
