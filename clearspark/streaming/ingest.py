@@ -80,13 +80,12 @@ def forwarder(
                 touched = [r["bucket"] for r in behind.collect()]
                 recent, older = seen.filter(F.col("timestamp") >= bound), seen.filter(F.col("timestamp") < bound)
                 seen = recent.unionByName(older.filter(F.col("bucket").isin(touched))) if touched else recent
-            fresh = firsts.join(seen.select("trade_id"), "trade_id", "left_anti").persist()
-            try:
-                tables.write_step(fresh.select(*NORMALIZED.names), os.path.join(folder, FORWARDED), step)
-                ids = fresh.select("trade_id", "timestamp", "bucket").repartition("bucket")
-                tables.write_step(ids, os.path.join(folder, IDS), step, ("bucket",))
-            finally:
-                fresh.unpersist()
+            fresh = firsts.join(seen.select("trade_id"), "trade_id", "left_anti")
+            tables.write_step(fresh.select(*NORMALIZED.names), os.path.join(folder, FORWARDED), step)
+            # The ids of what was written, read from there: two narrow columns, and no second copy of the rows is held.
+            written = spark.read.schema(NORMALIZED).parquet(tables.step_path(os.path.join(folder, FORWARDED), step))
+            ids = written.select("trade_id", "timestamp", bucket).repartition("bucket")
+            tables.write_step(ids, os.path.join(folder, IDS), step, ("bucket",))
             latest = firsts.agg(F.greatest(F.max(F.unix_micros("timestamp")), F.lit(newest).cast("bigint")).alias("newest"))
             tables.write_step(latest, os.path.join(folder, CLOCKS), step)
         finally:
