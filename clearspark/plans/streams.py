@@ -1,7 +1,8 @@
 """Streaming forms of the flows, run over logs that land step by step."""
 
+import contextlib
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,30 @@ def land_step(log: DataFrame, folder: str, step: int) -> None:
     rows.write.mode("append").parquet(folder)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_KEYED_STATE = {
+    # Keys that grow with the log stay on disk, and a micro-batch writes down only what it changed.
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # What has expired is dropped by the next micro-batch with rows, not by one of its own.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession, **but: str) -> Iterator[None]:
+    """Settings for queries that start inside and keep keys in the state store."""
+    settings = _KEYED_STATE | but
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def run_handler(
     spark: SparkSession, log_folder: str, checkpoint: str, handler: Handler
 ) -> StreamingQuery:
@@ -64,14 +89,15 @@ def stream_ingest(spark: SparkSession, log: DataFrame, horizon: str, steps: int
     staged = staged_steps(log)
     for step in range(steps):
         land_step(staged, arrived, step)
-        query = (
-            ingest.ingest_stream(logs.stream_log(spark, arrived), horizon)
-            .writeStream.format("parquet")
-            .option("checkpointLocation", os.path.join(root, "progress"))
-            .trigger(availableNow=True)
-            .start(out)
-        )
-        query.awaitTermination()
+        with keyed_state(spark):
+            query = (
+                ingest.ingest_stream(logs.stream_log(spark, arrived), horizon)
+                .writeStream.format("parquet")
+                .option("checkpointLocation", os.path.join(root, "progress"))
+                .trigger(availableNow=True)
+                .start(out)
+            )
+            query.awaitTermination()
     return logs.read_log(spark, out)
 
 
@@ -123,10 +149,6 @@ def stream_publish(
     return publish.published(spark, out)
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
 def stream_time_flush(
     spark: SparkSession, log: DataFrame, flush: batching.Flush, seconds: float = 300
 ) -> DataFrame:
@@ -135,9 +157,7 @@ def stream_time_flush(
     arrived, out = os.path.join(root, "normalized"), os.path.join(root, "out")
     log.write.parquet(arrived)
     trades = logs.read_log(spark, arrived).count()
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
-    try:
+    with keyed_state(spark, **{"spark.sql.streaming.noDataMicroBatches.enabled": "true"}):
         query = timeflush.start(
             logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), flush, F.lit(0).cast("bigint"), "5 seconds"
         )
@@ -153,8 +173,6 @@ def stream_time_flush(
                 timeflush.wait_until(query, lambda: published() == trades, seconds, 1.0)
         finally:
             timeflush.stop(query)
-    finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
     return publish.published(spark, out)
 
 
@@ -188,10 +206,11 @@ def stream_reconcile(
     staged = staged_steps(log)
     for step in range(steps):
         land_step(staged, arrived, step)
-        query = reconcile.follow(
-            logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), batches, letters, availableNow=True
-        )
-        query.awaitTermination()
+        with keyed_state(spark):
+            query = reconcile.follow(
+                logs.stream_log(spark, arrived), out, os.path.join(root, "progress"), batches, letters, availableNow=True
+            )
+            query.awaitTermination()
     return reconcile.totals(spark, out)
 
 

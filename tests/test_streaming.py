@@ -420,6 +420,14 @@ def test_a_micro_batch_of_many_cells_is_one_folder(spark, tmp_path, monkeypatch)
     assert [p.name for p in (tmp_path / "ledger_wide").glob("*=*")] == ["micro_batch=1"]
 
 
+def test_keyed_state_is_on_disk_and_settings_come_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    with streams.keyed_state(spark):
+        assert spark.conf.get(name) == streams.ROCKSDB
+    assert spark.conf.get(name, None) == before
+
+
 def test_tasks_grow_with_the_rows(spark):
     rows = spark.range(0, 1000, 1, 4)
     assert fixtures.spread(rows, 100).rdd.getNumPartitions() == 10
