@@ -143,25 +143,20 @@ _STRICT = {
 def _simple_text(text: Column, schema: T.StructType) -> Column:
     """True for text that can only be one flat, well-typed object, if it is JSON at all.
 
-    One pair of braces leaves no room for nesting or for text after the record. With
-    no escapes about, every key is a quote before a colon; all but the known integers
-    must then be followed by a string or null. Saying no costs only time.
+    One pass from brace to brace: each key is followed by a string without escapes or by
+    null, a known integer by digits or null. Saying no costs only time.
     """
     if any(not isinstance(f.dataType, (T.StringType, T.LongType)) for f in schema.fields):
         return F.lit(False)
-    longs = sorted(_names(schema, "long"))
-    bare = F.trim(text, F.lit(" \t\r\n"))
-    inner = F.substring(bare, F.lit(2), F.length(bare) - 2)
-    not_long = "".join(f'(?<!"{name}")' for name in longs)
-    return (
-        bare.startswith("{")
-        & bare.endswith("}")
-        & ~inner.contains("{")
-        & ~inner.contains("}")
-        & ~inner.contains("\\")
-        & ~inner.rlike(rf'"{not_long}\s*+:\s*+(?!"|null)')
-        & ~text.rlike(rf'"({"|".join(longs)})"\s*+:\s*+(?!-?[0-9]++\s*+[,}}]|null)')
-    )
+    longs = "|".join(sorted(_names(schema, "long")))
+    plain = r'[^"\\{}]*+"'
+    # With no known integers the key of one is a pattern that nothing matches.
+    long_key = rf'(?:{longs})"' if longs else "(?!)"
+    of_long = rf"{long_key}\s*+:\s*+(?:-?[0-9]++|null)"
+    of_text = rf'(?!{long_key}){plain}\s*+:\s*+(?:"{plain}|null)'
+    # The loop is possessive, which Java runs without a stack frame for each field.
+    fields = rf'(?:\s*+"(?:{of_long}|{of_text})\s*+(?:,|(?=}})))*+'
+    return text.rlike(rf"\A[ \t\r\n]*+\{{{fields}\s*+}}[ \t\r\n]*+\z")
 
 
 def with_decoded(

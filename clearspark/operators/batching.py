@@ -91,18 +91,9 @@ def batch_marks(
         "_chunk",
         F.coalesce(sequence.before_chunk(F.max("_peak")), F.lit(0)).alias("prior_clock"),
     )
-    running = (
-        Window.partitionBy("partition", "_chunk")
-        .orderBy("offset")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    # Within a chunk the clock runs where the chunk is tabulated, which sorts it anyway.
     timed = slim.join(priors, ["partition", "_chunk"]).select(
-        "partition",
-        "_chunk",
-        "offset",
-        "is_trade",
-        "prior_clock",
-        F.greatest("prior_clock", F.max("_arrival").over(running)).alias("clock"),
+        "partition", "_chunk", "offset", "is_trade", "prior_clock", F.col("_arrival").alias("arrival")
     )
     chunks = timed.groupBy("partition", "_chunk")
     tables = chunks.applyInArrow(

@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from clearspark.operators import shipping
 
@@ -175,11 +176,18 @@ def combine(tables: list[Table], limits: Limits) -> Table:
 
 
 def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and clocks of the trades of a chunk, in offset order."""
-    trades = table.filter(table.column("is_trade"))
-    offsets = trades.column("offset").to_numpy()
+    """Offsets and clocks of the trades of a chunk, in offset order.
+
+    The clock is the latest arrival up to a record, be that a trade or not, and never
+    before the one the chunk begins with; a record without arrival leaves it standing.
+    """
+    offsets = table.column("offset").to_numpy()
     order = np.argsort(offsets)
-    return offsets[order], trades.column("clock").to_numpy()[order]
+    prior = table.column("prior_clock")[0].as_py()
+    arrivals = pc.fill_null(table.column("arrival"), prior).to_numpy()[order]
+    clocks = np.maximum.accumulate(np.maximum(arrivals, prior))
+    trades = pc.fill_null(table.column("is_trade"), False).to_numpy()[order]
+    return offsets[order][trades], clocks[trades]
 
 
 def _table_rows(keys: Iterable[tuple[int, int, int]], tables: Iterable[Table]) -> pa.Table:

@@ -533,16 +533,18 @@ def run_event_summary(spark, folder):
     return metrics.run_summary(written)
 
 
-def _in_steps(events, log):
+def _in_steps(spark, folder, log):
     """A log cut into arrival steps, with the length of a step."""
+    # Two numbers are taken from the scan where it is; only parsing is worth dealing rows out for.
+    events = fixtures.table(spark, folder, "events")
     low, high = streams.arrival_bounds(events, clock.wall_micros(F.col("ts")))
     step = streams.arrival_step(F.unix_micros("timestamp"), low, high)
     return log.withColumn("step", step), (high - low) // streams.STEPS + 1
 
 
-def _replayed_late(events):
+def _replayed_late(spark, folder):
     """The trades log in steps, replays one step behind, a seventh of all in the last; with the length of a step."""
-    log, length_us = _in_steps(events, fixtures.trades_log(events))
+    log, length_us = _in_steps(spark, folder, fixtures.trades_log(_events(spark, folder)))
     replayed, last = F.col("offset") % 2 == 1, F.lit(streams.STEPS - 1)
     late = F.when(F.floor(F.col("offset") / 2) % 7 == 0, last).otherwise(F.least(F.col("step") + replayed.cast("int"), last))
     return log.withColumn("step", late), length_us
@@ -551,7 +553,7 @@ def _replayed_late(events):
 @query
 def stream_dedup(spark, folder):
     """Streaming ingest by state store; replays come a step later, a seventh of all at the end."""
-    log, _ = _replayed_late(_events(spark, folder))
+    log, _ = _replayed_late(spark, folder)
     forwarded = streams.stream_ingest(spark, log, "1 hour")
     return forwarded.select(F.col("key").cast("string").alias("coin"), F.md5("value").alias("value_md5"))
 
@@ -559,7 +561,7 @@ def stream_dedup(spark, folder):
 @query
 def stream_dedup_by_table(spark, folder):
     """Streaming ingest by looking up ids; most late rows are behind the horizon."""
-    log, length_us = _replayed_late(_events(spark, folder))
+    log, length_us = _replayed_late(spark, folder)
     forwarded = streams.stream_forward(spark, log, length_us // 4)
     return forwarded.select(
         "partition",
@@ -572,9 +574,8 @@ def stream_dedup_by_table(spark, folder):
 @query
 def stream_batches(spark, folder):
     """Streaming batches are those of the batch form, wherever micro-batches end."""
-    events = _events(spark, folder)
-    log, _ = _in_steps(events, fixtures.clean_log(events))
-    built = streams.stream_publish(spark, log, _by_size_or_time(events))
+    log, _ = _in_steps(spark, folder, fixtures.clean_log(_events(spark, folder)))
+    built = streams.stream_publish(spark, log, _by_size_or_time(fixtures.table(spark, folder, "events")))
     return built.select(
         "batch_id", "flush_reason", "trade_count", _money("total_notional").alias("total_notional")
     )
@@ -593,9 +594,8 @@ def stream_time_flush(spark, folder):
 @query
 def stream_restart_no_loss(spark, folder):
     """A run cut off after its writes and repeated loses and repeats nothing."""
-    events = _events(spark, folder)
-    log, _ = _in_steps(events, fixtures.clean_log(events))
-    built = streams.stream_publish(spark, log, _by_size_or_time(events), fail_at=1)
+    log, _ = _in_steps(spark, folder, fixtures.clean_log(_events(spark, folder)))
+    built = streams.stream_publish(spark, log, _by_size_or_time(fixtures.table(spark, folder, "events")), fail_at=1)
     ids = built.select(
         "batch_id", "trade_count", F.posexplode("trades.trade_id").alias("pos", "trade_id")
     )
@@ -651,7 +651,7 @@ def stream_fifo(spark, folder):
     """The bounded memory carried from micro-batch to micro-batch."""
     events = _events(spark, folder)
     users = fixtures.keyed_by_user(events)
-    log, _ = _in_steps(events, users)
+    log, _ = _in_steps(spark, folder, users)
     admitted = streams.stream_remember(spark, log, FIFO_CAPACITY, FIFO_SHARDS)
     return admitted.select("partition", "offset")
 

@@ -2,14 +2,14 @@
 
 import contextlib
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clearspark.operators import batching
-from clearspark.session import fresh_folder, landed
+from clearspark.session import fresh_folder, landed, settings
 from clearspark.sources import logs
 from clearspark.streaming import ingest, memory, publish, reconcile, settle, timeflush
 
@@ -33,8 +33,12 @@ def arrival_bounds(events: DataFrame, clock_us) -> tuple[int, int]:
 
 
 def staged_steps(log: DataFrame) -> DataFrame:
-    """The log with one folder per step, so that landing a step reads no other."""
-    return landed(log, "staged", "step")
+    """The log with one folder per step, so that landing a step reads no other.
+
+    A task keeps a file open for each step, so that it need not sort whole messages by step.
+    """
+    with settings(log.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(STEPS)}):
+        return landed(log, "staged", "step")
 
 
 def land_step(log: DataFrame, folder: str, step: int) -> None:
@@ -53,18 +57,9 @@ _KEYED_STATE = {
 }
 
 
-@contextlib.contextmanager
-def keyed_state(spark: SparkSession, **but: str) -> Iterator[None]:
+def keyed_state(spark: SparkSession, **but: str) -> contextlib.AbstractContextManager[None]:
     """Settings for queries that start inside and keep keys in the state store."""
-    settings = _KEYED_STATE | but
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return settings(spark, _KEYED_STATE | but)
 
 
 def run_handler(

@@ -1,10 +1,12 @@
 """Session settings and the shared folder for state that must outlive an executor."""
 
+import contextlib
 import functools
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,24 @@ def landed(rows: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = fresh_folder(rows.sparkSession, label)
     rows.write.partitionBy(*partition_by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, named: dict[str, str]) -> Iterator[None]:
+    """The settings inside; those from before after it."""
+    before = {name: spark.conf.get(name, None) for name in named}
+    for name, value in named.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def kept_in_even_tasks(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Rows persisted inside are kept in as many pieces as they fill, not in one per shuffle partition.
+
+    Every later pass over them has a task for each piece, and its shuffles a file for each pair.
+    """
+    return settings(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"})

@@ -5,6 +5,7 @@ less than one batch per partition, to the next. All of it is written before the
 checkpoint moves on; a replay reads the same hand-over and writes the same ids.
 """
 
+import contextlib
 import os
 import time
 from collections.abc import Callable
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clearspark.functions import codec
 from clearspark.operators import batching
+from clearspark.session import kept_in_even_tasks
 from clearspark.streaming import tables
 
 BATCHES, DRAINED, OPEN, CLOCKS = "batches", "drained", "open", "clocks"
@@ -40,7 +42,7 @@ def _pinned_clock(
 
 def _open_batches(labelled: DataFrame, flush: batching.Flush, now_us: int | None) -> DataFrame:
     """(partition, batch_key) of the batch still open in each partition."""
-    is_trade = F.col("trade").isNotNull()
+    is_trade = batching.is_trade(labelled)
     batches = labelled.groupBy("partition", "batch_key").agg(
         F.max("offset").alias("hi"),
         F.count_if(is_trade).alias("n"),
@@ -77,26 +79,29 @@ def publisher(
         if carried is not None:
             rows = rows.unionByName(carried.select(*ROW))
         now = _pinned_clock(spark, folder, step, now_us) if now_us else None
-        rows = rows.persist()
-        try:
-            labelled = batching.label_by_size_or_time(rows, flush, **options).persist()
-            try:
-                unfinished = _open_batches(labelled, flush, now)
-                keys = ["partition", "batch_key"]
-                closed = labelled.join(unfinished, keys, "left_anti")
-                built = batching.build(closed, flush, created_at_ms)
-                tables.write_step(built, os.path.join(folder, BATCHES), step)
-                held = labelled.join(unfinished, keys, "left_semi").select(
-                    "partition",
-                    "offset",
-                    F.timestamp_micros("clock_us").alias("timestamp"),
-                    "trade",
-                )
-                tables.write_step(held, os.path.join(folder, OPEN), step)
-            finally:
-                labelled.unpersist()
-        finally:
-            rows.unpersist()
+        # The passes that only place batches read the flag and not the trade.
+        rows = rows.withColumn("is_trade", F.col("trade").isNotNull())
+        with contextlib.ExitStack() as kept:
+            kept.enter_context(kept_in_even_tasks(spark))
+
+            def keep(table: DataFrame) -> DataFrame:
+                kept.callback(table.unpersist)
+                return table.persist()
+
+            labelled = keep(batching.label_by_size_or_time(keep(rows), flush, **options))
+            # One row per partition at most, found once and sent to the rows: no trade moves for it.
+            unfinished = F.broadcast(keep(_open_batches(labelled, flush, now)))
+            keys = ["partition", "batch_key"]
+            closed = labelled.join(unfinished, keys, "left_anti")
+            built = batching.build(closed, flush, created_at_ms)
+            tables.write_step(built, os.path.join(folder, BATCHES), step)
+            held = labelled.join(unfinished, keys, "left_semi").select(
+                "partition",
+                "offset",
+                F.timestamp_micros("clock_us").alias("timestamp"),
+                "trade",
+            )
+            tables.write_step(held, os.path.join(folder, OPEN), step)
 
     return handle
 

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +177,12 @@ def test_combining_long_waits_takes_no_loop_over_trades():
     assert merged.n == whole.n and merged.clocks.tolist() == whole.clocks.tolist()
     for name in ("counts", "firsts", "starts", "preds"):
         assert np.array_equal(getattr(merged, name), getattr(whole, name)), name
+
+
+def test_the_clock_of_a_chunk_stands_still_where_it_steps_back_or_is_absent():
+    chunk = pa.table({
+        "offset": [4, 1, 2, 3, 5], "arrival": [50, 30, None, 70, 90], "is_trade": [True, True, True, False, True],
+        "prior_clock": [40] * 5,
+    })
+    offsets, clocks = cutting._arrays(chunk)
+    assert (offsets.tolist(), clocks.tolist()) == ([1, 2, 4, 5], [40, 40, 70, 90])

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from clearspark import session
 from clearspark.functions import codec, decimals
 from clearspark.operators import batching, metrics, validate
 from clearspark.operators import reconcile as static
@@ -443,3 +444,21 @@ def test_products_of_few_digits_with_powers(spark):
         with localcontext(prec=200):
             assert Decimal(row["product"]) == Decimal(row["a"]) * Decimal(row["b"])
         assert not row["product"].startswith("-0.0e") and row["product"] != "-0"
+
+
+def test_the_passes_that_place_batches_read_a_flag_and_no_trade(spark):
+    rows = [(0, o, o // 2, o * 10, True) for o in range(5)] + [(1, 0, 0, 0, False)]
+    labelled = spark.createDataFrame(rows, "partition int, offset long, batch_key long, clock_us long, is_trade boolean")
+    still_open = publish._open_batches(labelled, batching.Flush(2, None), None)
+    assert sorted(map(tuple, still_open.collect())) == [(0, 2), (1, 0)]
+
+
+def test_rows_are_kept_in_as_many_pieces_as_they_fill(spark):
+    with session.kept_in_even_tasks(spark):
+        rows = spark.range(100).groupBy(F.col("id") % 50).count().persist()
+        try:
+            rows.count()
+            pieces = rows.rdd.getNumPartitions()
+        finally:
+            rows.unpersist()
+    assert pieces < int(spark.conf.get("spark.sql.shuffle.partitions"))
