@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,9 +68,20 @@ def settings(spark: SparkSession, named: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def kept_in_even_tasks(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
-    """Rows persisted inside are kept in as many pieces as they fill, not in one per shuffle partition.
+@contextlib.contextmanager
+def keeping(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a `persist` whose tables are dropped at the end.
 
-    Every later pass over them has a task for each piece, and its shuffles a file for each pair.
+    They are kept in as many pieces as they fill, not in one per shuffle partition: every
+    later pass has a task for each piece, and its shuffles a file for each pair.
     """
-    return settings(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"})
+    with (
+        settings(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}),
+        contextlib.ExitStack() as kept,
+    ):
+
+        def keep(rows: DataFrame) -> DataFrame:
+            kept.callback(rows.unpersist)
+            return rows.persist()
+
+        yield keep

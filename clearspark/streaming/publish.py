@@ -5,7 +5,6 @@ less than one batch per partition, to the next. All of it is written before the
 checkpoint moves on; a replay reads the same hand-over and writes the same ids.
 """
 
-import contextlib
 import os
 import time
 from collections.abc import Callable
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clearspark.functions import codec
 from clearspark.operators import batching
-from clearspark.session import kept_in_even_tasks
+from clearspark.session import keeping
 from clearspark.streaming import tables
 
 BATCHES, DRAINED, OPEN, CLOCKS = "batches", "drained", "open", "clocks"
@@ -81,13 +80,7 @@ def publisher(
         now = _pinned_clock(spark, folder, step, now_us) if now_us else None
         # The passes that only place batches read the flag and not the trade.
         rows = rows.withColumn("is_trade", F.col("trade").isNotNull())
-        with contextlib.ExitStack() as kept:
-            kept.enter_context(kept_in_even_tasks(spark))
-
-            def keep(table: DataFrame) -> DataFrame:
-                kept.callback(table.unpersist)
-                return table.persist()
-
+        with keeping(spark) as keep:
             labelled = keep(batching.label_by_size_or_time(keep(rows), flush, **options))
             # One row per partition at most, found once and sent to the rows: no trade moves for it.
             unfinished = F.broadcast(keep(_open_batches(labelled, flush, now)))
