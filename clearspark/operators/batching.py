@@ -6,6 +6,7 @@ one partition with one key form a batch. Undecodable rows take part, as they
 belong to the offset span of a batch, but are no trades of it.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -69,10 +70,12 @@ def batch_marks(
     flush: Flush,
     chunk_bits: int = sequence.CHUNK_BITS,
     group_bits: int = 8,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """B1: one row per batch and chunk it touches, saying where the batch starts.
 
-    Only positions and clocks take part, never the trades themselves.
+    Only positions and clocks take part, never the trades themselves. The tables of the
+    chunks are read twice; a caller that can drop them again has them kept by `keep`.
     """
     limits = cutting.Limits(flush.size, flush.wait)
     slim = sequence.with_chunk(
@@ -99,6 +102,7 @@ def batch_marks(
     tables = chunks.applyInArrow(
         cutting.chunk_tabulator(limits, group_bits), cutting.TABLE_SCHEMA
     )
+    tables = keep(tables) if keep else tables
     grouped = tables.groupBy("partition", "_group")
     groups = grouped.applyInArrow(cutting.group_combiner(limits), cutting.TABLE_SCHEMA)
     group_edges = (
@@ -119,6 +123,7 @@ def label_by_size_or_time(
     flush: Flush,
     chunk_bits: int = sequence.CHUNK_BITS,
     group_bits: int = 8,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """B1: `batch_key` is the first offset of the batch before, -1 for the first batch.
 
@@ -126,7 +131,7 @@ def label_by_size_or_time(
     Named so, an undecodable row after the close of a batch already has the key of
     the batch still to open.
     """
-    marks = batch_marks(rows, flush, chunk_bits, group_bits)
+    marks = batch_marks(rows, flush, chunk_bits, group_bits, keep)
     mark = F.struct("batch_start", "batch_pred", "batch_first", "batch_base", "prior_clock")
     marked = (
         sequence.with_chunk(rows, chunk_bits)

@@ -81,7 +81,7 @@ def publisher(
         # The passes that only place batches read the flag and not the trade.
         rows = rows.withColumn("is_trade", F.col("trade").isNotNull())
         with keeping(spark) as keep:
-            labelled = keep(batching.label_by_size_or_time(keep(rows), flush, **options))
+            labelled = keep(batching.label_by_size_or_time(keep(rows), flush, keep=keep, **options))
             # One row per partition at most, found once and sent to the rows: no trade moves for it.
             unfinished = F.broadcast(keep(_open_batches(labelled, flush, now)))
             keys = ["partition", "batch_key"]

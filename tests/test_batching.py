@@ -186,3 +186,14 @@ def test_the_clock_of_a_chunk_stands_still_where_it_steps_back_or_is_absent():
     })
     offsets, clocks = cutting._arrays(chunk)
     assert (offsets.tolist(), clocks.tolist()) == ([1, 2, 4, 5], [40, 40, 70, 90])
+
+
+def test_a_caller_may_keep_the_tables_of_the_chunks(spark):
+    rows = spark.range(40).select(
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), F.timestamp_micros(F.col("id") * 7).alias("timestamp"), F.lit("t").alias("trade")
+    )
+    kept = []
+    plain = batching.label_by_size_or_time(rows, Flush(3, 30), 3, 1)
+    found = batching.label_by_size_or_time(rows, Flush(3, 30), 3, 1, lambda table: kept.append(table) or table)
+    assert [table.columns[:3] for table in kept] == [["partition", "_group", "_chunk"]]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
