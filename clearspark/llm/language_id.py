@@ -9,16 +9,19 @@ the language reach.
 
 import functools
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clearspark.llm.backoff import Backoff, WordScores, find, framed
 from clearspark.llm.names import free
-from clearspark.llm.pretokens import _lower, hashed, slices
+from clearspark.llm.pretokens import SLICE, _lower, hashed, slices
 
 ORDER = 5
 EDGE = 32
@@ -233,19 +236,30 @@ def identify(
 
     Null texts and texts without a letter are `und` with score 0, and rejected. Whole texts
     are scored; no shuffle. The model is bounded by its sample and sent to the tasks once.
+    Only the text goes to Python and only the result comes back: the kept columns, a text
+    among them, are never copied through Arrow.
     """
     keep = keep if keep is not None else rows.columns
     sent = rows.sparkSession.sparkContext.broadcast(model)
+    kind = StructType().add(into[0], "string").add(into[1], "double").add(into[2], "boolean")
 
-    def predicted(batches):
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = sent.value
-        for batch in batches:
-            names, score, rejected = own.predict(batch.column(len(keep)).to_pylist())
-            columns = [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *into])
-
-    schema = rows.select(*keep).schema
-    for name, kind in zip(into, ("string", "double", "boolean"), strict=True):
-        schema = schema.add(name, kind)
-    (content,) = free(keep, "content")
-    return rows.select(*keep, F.col(text).alias(content)).mapInArrow(predicted, schema)
+        for texts in batches:
+            parts = [own.predict(part.to_pylist()) for part in _stretches(texts)]
+            names = [n for part in parts for n in part[0]]
+            score, rejected = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in (1, 2))
+            columns = [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected.astype(bool), pa.bool_())]
+            yield pa.StructArray.from_arrays(columns, names=list(into))
+
+    # Else a later filter on the result is pushed below and the texts are scored twice.
+    found = F.arrow_udf(predicted, kind).asNondeterministic()
+    (result,) = free([*keep, *into], "result")
+    scored = rows.select(*keep, found(F.col(text)).alias(result))
+    return scored.select("*", *(F.col(result)[x].alias(x) for x in into)).drop(result)
+
+
+def _stretches(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in stretches that are handled as one array, so that few are Python strings at a time."""
+    for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), SLICE):
+        yield texts.slice(a, b - a)

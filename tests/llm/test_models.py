@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clearspark.llm import language_id, suffix_tree
@@ -60,6 +61,27 @@ def test_no_labels_no_language(spark):
     assert language_id.identify(empty_table(spark), model, into=("a", "b", "c")).count() == 0
 
 
+def test_kept_columns_stay_out_of_python_and_texts_are_scored_once(spark):
+    rows = odd_table(spark)
+    model = language_id.fit(rows)
+    found = language_id.identify(rows, model).filter("NOT rejected").withColumn("other", F.coalesce("lang", "lang_pred"))
+    assert found.columns == [*rows.columns, "lang_pred", "score", "rejected", "other"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+    every = [r.asDict() for r in rows.collect()]
+    names, _, rejected = model.predict([r["text"] for r in every])
+    wanted = [(str(r["doc_id"]), str(r["text"]), n) for r, n, x in zip(every, names, rejected.tolist(), strict=True) if not x]
+    assert sorted((str(r.doc_id), str(r.text), r.lang_pred) for r in found.collect()) == sorted(wanted)
+
+
+def test_texts_become_strings_in_bounded_stretches():
+    texts = ["é" * 50_000, None, "", "a" * 600_000] * 20
+    parts = [p.to_pylist() for p in language_id._stretches(pa.array(texts))]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= language_id.SLICE for p in parts)
+    assert not list(language_id._stretches(pa.array([], pa.string())))
+
+
 def plain_scores(rows, held):
     counts = Counter(w for r in rows if not held(r) for w in [*words(r[1]), b""])
     total, distinct = sum(counts.values()), len(counts)
