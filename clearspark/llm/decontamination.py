@@ -14,6 +14,7 @@ all rows in turn.
 """
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -264,32 +265,35 @@ def with_leaks(
     An item is a leak when a passage scores at least `threshold` of the item's own score
     and holds at least `overlap` of its word n-grams; each leak has the item's key, both
     figures and the question's and answer's shares. Null and empty texts have none. Every
-    row is kept; no shuffle.
+    row is kept; no shuffle. Only the text goes to Python and only the leaks come back.
     """
     keep = keep if keep is not None else docs.columns
-    (content,) = free([*keep, into], "content")
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(content), F.expr(f"cast(array() as {_KIND})").alias(into))
-    shape = rows.schema
-    for index in indexes(items, item_key, item_text, threshold, most):
-        rows = rows.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(index), len(keep), overlap), shape)
-    return rows.drop(content)
+    parts = indexes(items, item_key, item_text, threshold, most)
+    content, *found = free([*keep, into], "content", *["found"] * len(parts))
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(content))
+    for index, name in zip(parts, found, strict=True):
+        search = _searcher(docs.sparkSession.sparkContext.broadcast(index), overlap)
+        rows = rows.withColumn(name, search(F.col(content)))
+    leaks = F.concat(F.expr(f"cast(array() as {_KIND})"), *map(F.col, found))
+    return rows.select(*keep, leaks.alias(into))
 
 
 _KIND = "array<struct<item_id: bigint, overlap: double, score: double, question: double, answer: double>>"
+_ARROW_KIND = pa.list_(pa.struct([("item_id", pa.int64()), *[(n, pa.float64()) for n in ("overlap", "score", "question", "answer")]]))
 
 
-def _searcher(sent, kept: int, overlap: float):
-    def searched(batches):
+def _searcher(sent, overlap: float):
+    def searched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = sent.value
-        for batch in batches:
-            leaks = batch.column(kept + 1).to_pylist()
-            for a, _, words in sliced(batch.column(kept)):
+        for texts in batches:
+            leaks = [[] for _ in range(len(texts))]
+            for a, _, words in sliced(texts):
                 for k, own in _found(index, words, overlap).items():
-                    leaks[a + k] = leaks[a + k] + [
+                    leaks[a + k] = [
                         {"item_id": index.items[i], "overlap": v[0], "score": v[1], "question": v[2], "answer": v[3]}
                         for i, v in sorted(own.items())
                     ]
-            column = pa.array(leaks, batch.schema.field(kept + 1).type)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: kept + 1], column], schema=batch.schema)
+            yield pa.array(leaks, _ARROW_KIND)
 
-    return searched
+    # Else a later filter on the leaks is pushed below and the texts are searched twice.
+    return F.arrow_udf(searched, _KIND).asNondeterministic()

@@ -10,6 +10,9 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch while rows are landed. A batch is held by the JVM, outside its heap, and by the Python worker.
+BATCH_BYTES = "4m"
+
 
 def build_session(app: str = "clearspark", cores: str = "*", **conf: str) -> SparkSession:
     """Local session for tests and benches; on a cluster the submitter configures Spark."""
@@ -44,17 +47,6 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def landed(rows: DataFrame, label: str, *partition_by: str) -> DataFrame:
-    """The rows written to the shared folder and read back.
-
-    A stage whose result several later ones read is computed once, and a lost executor
-    costs a read of the table and not the stage.
-    """
-    path = fresh_folder(rows.sparkSession, label)
-    rows.write.partitionBy(*partition_by).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 @contextlib.contextmanager
 def settings(spark: SparkSession, named: dict[str, str]) -> Iterator[None]:
     """The settings inside; those from before after it."""
@@ -68,6 +60,19 @@ def settings(spark: SparkSession, named: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def landed(rows: DataFrame, label: str, *partition_by: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    A stage whose result several later ones read is computed once, and a lost executor
+    costs a read of the table and not the stage. Wide rows go to Python in batches of
+    bounded bytes, whatever the number of rows that Spark's batches have.
+    """
+    path = fresh_folder(rows.sparkSession, label)
+    with settings(rows.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}):
+        rows.write.partitionBy(*partition_by).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def keeping(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Gives a `persist` whose tables are dropped at the end.

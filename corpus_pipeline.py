@@ -15,12 +15,13 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a language that the labelled ones teach; a null lang becomes the one found.
 
     Those that identification rejects go: null texts, texts without a letter, and texts
-    that are unlikely even in their nearest language.
+    that are unlikely even in their nearest language. Landed, so that the texts go to Python
+    in batches of bounded bytes.
     """
     names = free(docs.columns, "lang_pred", "score", "rejected")
     found = language_id.identify(docs, language_id.fit(docs), into=tuple(names))
     kept = found.filter(~F.col(names[2])).withColumn("lang", F.coalesce("lang", names[0]))
-    return kept.select(*docs.columns)
+    return landed(kept.select(*docs.columns), "language-ID")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +39,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; landed, as those of `keep_languages`."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     (leaks,) = free(docs.columns, "leaks")
-    return decontamination.with_leaks(docs, items, into=leaks).filter(F.size(leaks) == 0).select(*docs.columns)
+    clean = decontamination.with_leaks(docs, items, into=leaks).filter(F.size(leaks) == 0)
+    return landed(clean.select(*docs.columns), "benchmark-decontamination")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,6 +65,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
+#: Stages whose results are landed already.
+LANDED = (keep_languages, drop_leaks)
+
 #: Tokens, language models and windows are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL: str | None = None
 
@@ -71,5 +76,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each on the landed result of the one before."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stage(spark, docs, sf_dir)
+        if stage not in LANDED:
+            docs = landed(docs, name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,5 +1,7 @@
 """The pipeline's stages: what goes, what stays, and what they return."""
 
+import pyarrow as pa
+
 import corpus_pipeline
 from clearspark.session import landed
 from tests.llm.cases import empty_table, odd_table, prose, shingles
@@ -49,6 +51,25 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
         assert stage(spark, empty_table(spark), FOLDER).count() == 0
 
 
+def test_wide_rows_go_to_python_in_batches_of_bounded_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(0, 6000, 1, 1).selectExpr("id", "repeat('x', 4000) AS text")
+    found = landed(rows.mapInArrow(sizes, "n long, bytes long"), "test-batches").collect()
+    assert sum(r.n for r in found) == 6000 and max(r.bytes for r in found) < 5_000_000
+    assert spark.conf.get(name) == before
+
+
+def test_stages_that_send_texts_to_python_return_landed_rows(spark):
+    for stage in (corpus_pipeline.keep_languages, corpus_pipeline.drop_leaks):
+        plan = stage(spark, odd_table(spark), FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "InArrow" not in plan
+
+
 def test_one_of_each_group_stays(spark):
     base = prose(3, 90)
     rows = [(5, base), (2, base + " more"), (9, prose(4, 50)), (9, prose(4, 50)), (9, prose(5, 50)), (None, base), (1, None), (1, "")]

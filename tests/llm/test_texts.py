@@ -160,6 +160,17 @@ def test_leaks_of_odd_rows(spark):
     assert decontamination.with_leaks(empty_table(spark), items, keep=["doc_id"]).count() == 0
 
 
+def test_leaks_are_found_from_texts_alone(spark):
+    items = spark.createDataFrame([(i, prose(2 + i, 30)) for i in range(6)], "item_id long, text string")
+    for most in (50_000, 2):
+        found = decontamination.with_leaks(odd_table(spark), items, into="content", most=most).filter("size(content) < 9")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == (1 if most > 6 else 3) and "MapInArrow" not in plan
+        assert found.columns == [*odd_table(spark).columns, "content"]
+        plain = [tuple(map(str, r[:-1])) for r in found.collect()]
+        assert sorted(plain) == sorted(tuple(map(str, r)) for r in odd_table(spark).collect())
+
+
 def call(key, name="search", arguments='{"query":"x","limit":3}', after=()):
     return {"id": key, "name": name, "arguments": arguments, "after": list(after)}
 
