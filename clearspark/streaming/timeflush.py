@@ -3,7 +3,8 @@
 Each log partition keeps its open batch in keyed state, with a processing-time timer at the
 first trade's clock plus the wait. Spark runs a micro-batch for due timers without any
 input, so a batch goes out on an idle log. A micro-batch's rows of one partition pass
-through one task and are sorted there; the source's rate limit bounds them.
+through one task, sorted by Spark, which spills; Python has one Arrow batch of them at a
+time and the rows of the batch left open, whatever the size of the micro-batch.
 `streaming.publish` spreads a partition over many tasks, but needs a next record.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from clearspark.functions import codec
 from clearspark.operators import batching
+from clearspark.session import settings
 from clearspark.streaming import publish, tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,6 +32,8 @@ HEAD = "trades long, first_us long, clock_us long"
 CLOSED = f"partition int, batch_key long, {HELD}"
 _COLUMNS = ("offset", "clock_us", "is_trade", "value")
 PIECE = 20_000  # rows that are emitted at once
+# Spark refuses to sort a stream, as it can sort within a micro-batch only, which is all that is asked here.
+_SORTED = {"spark.sql.streaming.unsupportedOperationCheck": "false"}
 
 
 class OpenBatches(StatefulProcessor):
@@ -87,30 +91,47 @@ class OpenBatches(StatefulProcessor):
         return ends, 0, first_us
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat([part[list(_COLUMNS)] for part in rows], ignore_index=True).sort_values("offset", ignore_index=True)
         trades, first_us, clock_us = self.head.get() if self.head.exists() else (0, 0, -(1 << 62))
-        # A clock that steps back is held.
-        clocks = np.maximum(np.maximum.accumulate(frame["clock_us"].to_numpy(np.int64)), clock_us)
-        frame["clock_us"] = clocks
-        ends, trades, first_us = self._ends(clocks, frame["is_trade"].to_numpy(bool), trades, first_us)
-        if ends:
-            offsets, starts = frame["offset"].to_numpy(np.int64), [0, *ends[:-1]]
-            lowest = offsets[np.minimum(starts, len(offsets) - 1)]
-            if self.held.exists():
-                old = pd.DataFrame([tuple(r) for r in self.held.get()], columns=_COLUMNS)
-                if len(old):
-                    lowest[0] = min([int(old["offset"].min()), *offsets[: min(ends[0], 1)]])
-                    yield self._emitted(key, lowest[0], old)
-            keys = np.repeat(lowest, np.diff([0, *ends]))
-            # Many batches go out in one piece, and none of them at once with all others.
-            for low in range(0, ends[-1], PIECE):
-                high = min(low + PIECE, ends[-1])
-                yield self._emitted(key, keys[low:high], frame.iloc[low:high])
-            self.held.clear()
-            frame = frame.iloc[ends[-1] :]
-        if len(frame):
-            self.held.appendList([(int(o), int(c), bool(t), v) for o, c, t, v in frame[list(_COLUMNS)].itertuples(index=False)])
-        self._keep(trades, first_us, int(clocks[-1]))
+        # Rows of the batch left open: those read here, and whether there may be some in the state.
+        left, stored, last = [], True, None
+        for part in rows:
+            if not len(part):
+                continue
+            frame = part[list(_COLUMNS)].sort_values("offset", kind="stable", ignore_index=True)
+            offsets = frame["offset"].to_numpy(np.int64)
+            if last is not None and offsets[0] < last:
+                raise ValueError(f"offset {offsets[0]} of partition {key[0]} comes after {last}")
+            last = offsets[-1]
+            # A clock that steps back is held.
+            clocks = np.maximum(np.maximum.accumulate(frame["clock_us"].to_numpy(np.int64)), clock_us)
+            frame["clock_us"] = clocks
+            clock_us = int(clocks[-1])
+            ends, trades, first_us = self._ends(clocks, frame["is_trade"].to_numpy(bool), trades, first_us)
+            if ends:
+                starts = [0, *ends[:-1]]
+                lowest = offsets[np.minimum(starts, len(offsets) - 1)]
+                opened = left
+                if stored and self.held.exists():
+                    opened = [pd.DataFrame([tuple(r) for r in self.held.get()], columns=_COLUMNS), *left]
+                    opened = [rows_of for rows_of in opened if len(rows_of)]
+                lowest[0] = min([*(int(rows_of["offset"].min()) for rows_of in opened), *offsets[: min(ends[0], 1)]])
+                for rows_of in opened:
+                    yield self._emitted(key, lowest[0], rows_of)
+                keys = np.repeat(lowest, np.diff([0, *ends]))
+                # Many batches go out in one piece, and none of them at once with all others.
+                for low in range(0, ends[-1], PIECE):
+                    high = min(low + PIECE, ends[-1])
+                    yield self._emitted(key, keys[low:high], frame.iloc[low:high])
+                if stored:
+                    self.held.clear()
+                    stored = False
+                left, frame = [], frame.iloc[ends[-1] :]
+            if len(frame):
+                # Without the rows that went out, of which a slice would be a view.
+                left.append(frame.copy())
+        for frame in left:
+            self.held.appendList([(int(o), int(c), bool(t), v) for o, c, t, v in frame.itertuples(index=False)])
+        self._keep(trades, first_us, clock_us)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         trades, first_us, clock_us = self.head.get() if self.head.exists() else (0, 0, 0)
@@ -129,7 +150,7 @@ def closed_rows(log: DataFrame, flush: batching.Flush) -> DataFrame:
     """Rows of batches as they close, by size, by a later record's clock or by the wall clock.
 
     `log` is a stream of normalized trades. Undecodable rows widen a batch and open none.
-    The state store has to be RocksDB.
+    The state store has to be RocksDB, and the query is started inside `_SORTED`.
     """
     rows = codec.with_trade(log).select(
         "partition",
@@ -138,7 +159,9 @@ def closed_rows(log: DataFrame, flush: batching.Flush) -> DataFrame:
         F.col("trade").isNotNull().alias("is_trade"),
         "value",
     )
-    return rows.groupBy("partition").transformWithStateInPandas(
+    # Dealt out as the state is, so that no exchange comes after the sort.
+    in_order = rows.repartition("partition").sortWithinPartitions("partition", F.col("offset").asc_nulls_last())
+    return in_order.groupBy("partition").transformWithStateInPandas(
         statefulProcessor=OpenBatches(flush.size, flush.wait), outputStructType=CLOSED, outputMode="Append", timeMode="ProcessingTime"
     )
 
@@ -169,13 +192,14 @@ def start(
         finally:
             built.unpersist()
 
-    return (
-        closed_rows(log, flush)
-        .writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=interval)
-        .start()
-    )
+    with settings(log.sparkSession, _SORTED):
+        return (
+            closed_rows(log, flush)
+            .writeStream.foreachBatch(handle)
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval)
+            .start()
+        )
 
 
 def wait_until(query: StreamingQuery, done: Callable[[], bool], seconds: float, step: float = 0.5) -> bool:

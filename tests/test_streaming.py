@@ -403,6 +403,61 @@ def test_many_batches_of_a_partition_go_out_in_one_piece(size, wait):
     assert len(open_batches.handle.timers) == (trades > 0)
 
 
+def in_parts(rows, cuts, size, wait):
+    """What comes out of one micro-batch read in parts, its state, and the most rows that were read and not yet out."""
+    open_batches, waiting = timeflush.OpenBatches(size, wait), [0, 0]
+    open_batches.init(Handle())
+
+    def parts():
+        for low, high in zip(cuts, cuts[1:]):
+            waiting[0] += high - low
+            waiting[1] = max(waiting)
+            yield pd.DataFrame([(o, at, ok, b"v") for _, o, at, ok in rows[low:high]], columns=timeflush._COLUMNS)
+
+    found = []
+    for part in open_batches.handleInputRows((0,), parts(), None):
+        waiting[0] -= len(part)
+        found += [(int(r.batch_key), int(r.offset), int(r.clock_us)) for r in part.itertuples()]
+    trades, first_us, clock_us = open_batches.head.get()
+    head = (trades, first_us if trades else None, clock_us)
+    return found, open_batches.held.value or [], head, open_batches.handle.timers, waiting[1]
+
+
+@pytest.mark.parametrize("size,wait", [(5, 40), (1, 40), (1 << 62, 40), (3, 1 << 62), (3, 0), (1 << 62, 1 << 62)])
+def test_a_micro_batch_goes_out_while_it_is_read(size, wait):
+    rows = [r for r in random_log(7, n=900) if r[0] == 0]
+    *whole, _ = in_parts(rows, [0, len(rows)], size, wait)
+    *parts, most = in_parts(rows, [0, 1, 2, 2, *range(3, len(rows), 16), len(rows)], size, wait)
+    assert parts == whole
+    if (size, wait) != (1 << 62, 1 << 62):
+        assert most < len(rows) / 4
+
+
+def test_rows_that_come_out_of_order_raise():
+    rows = [(0, offset, offset, True) for offset in (0, 1, 5, 3)]
+    with pytest.raises(ValueError, match="offset 3 of partition 0 comes after 5"):
+        in_parts(rows, [0, 3, 4], 2, 40)
+
+
+def test_a_micro_batch_of_many_arrow_batches_is_in_offset_order(spark, rocksdb):
+    rows = monotone(random_log(5, n=200))
+    folder = streams.fresh_folder(spark, "order-test")
+    shuffled = normalized(spark, rows).orderBy(F.xxhash64("partition", "offset")).repartition(3)
+    log = shuffled.select(F.lit("t").alias("topic"), "partition", "offset", "timestamp", F.lit(b"k").alias("key"), F.col("value").cast("binary"))
+    log.write.parquet(folder + "/log")
+    check = "spark.sql.streaming.unsupportedOperationCheck"
+    before = spark.conf.get(check, None)
+    with session.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        query = timeflush.start(logs.stream_log(spark, folder + "/log"), folder + "/out", folder + "/progress", Flush(5, 40))
+        try:
+            done = lambda: publish.published(spark, folder + "/out").agg(F.sum("trade_count")).first()[0] == sum(r[3] for r in rows)
+            assert timeflush.wait_until(query, done, 60)
+        finally:
+            timeflush.stop(query)
+    assert spans(publish.published(spark, folder + "/out").collect()) == replay(rows, 5, 40)
+    assert spark.conf.get(check, None) == before
+
+
 def test_a_micro_batch_of_many_cells_is_one_folder(spark, tmp_path, monkeypatch):
     folder = str(tmp_path)
     names = [f"batch-p0_{i << settle.SPAN_BITS}_{i << settle.SPAN_BITS}" for i in range(9)]
